@@ -80,15 +80,14 @@ def _probes(properties: Mapping[str, str]) -> Column:
     def probe(kind: Column, argument: Column, value: Column) -> Column:
         return F.struct(kind.alias("match_type"), argument.alias("match_argument"), value.alias("match_value"))
 
-    parts = [F.array(probe(F.lit("ALL"), F.lit(""), F.lit("")))]
-    for argument, source in properties.items():
+    def of_property(argument: str, source: str) -> list[Column]:
         value = F.coalesce(F.col(source), F.lit(""))
-        prefixes = F.transform(
-            F.sequence(F.lit(0), F.length(value)),
-            lambda n, v=value, a=argument: probe(F.lit("startswith"), F.lit(a), F.substring(v, 1, n)),
-        )
-        parts += [F.array(probe(F.lit("equals"), F.lit(argument), value)), prefixes]
-    return F.concat(*parts)
+        lengths = F.sequence(F.lit(0), F.length(value))
+        prefixes = F.transform(lengths, lambda n: probe(F.lit("startswith"), F.lit(argument), F.substring(value, 1, n)))
+        return [F.array(probe(F.lit("equals"), F.lit(argument), value)), prefixes]
+
+    everything = F.array(probe(F.lit("ALL"), F.lit(""), F.lit("")))
+    return F.concat(everything, *[part for item in properties.items() for part in of_property(*item)])
 
 
 def _routes_by_join(attributes: DataFrame, rules: DataFrame, root: str) -> DataFrame:

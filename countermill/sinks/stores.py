@@ -119,5 +119,5 @@ def _chunks(values: list, size: int) -> Iterator[list]:
 def write_catalog(tables: Mapping[str, DataFrame], folder: str, mode: str = "overwrite") -> None:
     """Write catalog tables as Parquet, every column in its declared type."""
     for name, df in tables.items():
-        schema = CATALOG[name]
+        schema = T.StructType.fromDDL(CATALOG[name])
         df.select([df[f.name].cast(f.dataType) for f in schema]).write.mode(mode).parquet(f"{folder}/{name}")

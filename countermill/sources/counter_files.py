@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from countermill.schemas import MDC_RECORD, MDC_RECORD_FULL, MEAS_DATA_RECORD
 
@@ -31,12 +30,12 @@ def _with_file(df: DataFrame) -> DataFrame:
     return df.withColumn("source_file", F.col("_metadata.file_path"))
 
 
-def _scan(spark: SparkSession, paths: str | Sequence[str], row_tag: str, schema: T.StructType, charset: str) -> DataFrame:
+def _scan(spark: SparkSession, paths: str | Sequence[str], row_tag: str, schema: str, charset: str) -> DataFrame:
     reader = spark.read.format("xml").option("rowTag", row_tag).option("charset", charset).schema(schema)
     return _with_file(reader.load(paths if isinstance(paths, str) else list(paths)))
 
 
-def _stream(spark: SparkSession, folder: str, row_tag: str, schema: T.StructType, charset: str, files: int) -> DataFrame:
+def _stream(spark: SparkSession, folder: str, row_tag: str, schema: str, charset: str, files: int) -> DataFrame:
     reader = (
         spark.readStream.format("xml")
         .option("rowTag", row_tag)
@@ -93,9 +92,9 @@ def stream_measdata(
     return _stream(spark, folder, row_tag, MEAS_DATA_RECORD, charset, max_files)
 
 
-def _parse(df: DataFrame, text: str, schema: T.StructType, keep: Sequence[str | Column]) -> DataFrame:
+def _parse(df: DataFrame, text: str, schema: str, keep: Sequence[str | Column]) -> DataFrame:
     options = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
-    record = F.from_xml(F.col(text), schema.simpleString(), options)
+    record = F.from_xml(F.col(text), schema, options)
     return df.select(*keep, record.alias("record")).select(*[F.col(k) if isinstance(k, str) else k for k in keep], "record.*")
 
 

@@ -8,7 +8,6 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from countermill.functions.counters import last_entries
 from countermill.functions.text import last_value, last_word, unescape_xml, version_text
@@ -20,10 +19,11 @@ DATA_TYPE_TAGS = ["long", "string", "longlong"]
 SLOT_NAMES = ["pmGroupId", "measurementName"]
 SLOT_PROPERTIES = {"measurementResult": "dataType", "collectionMethod": "counterType"}
 
-MODEL_ROWS = T.StructType.fromDDL(
+MODEL_ROWS = (
     "model STRING, path STRING, parent_path STRING, section STRING, name STRING, entity_pos INT,"
     "prop_pos INT, prop STRING, value STRING"
 )
+MODEL_COLUMNS = [field.split()[0] for field in MODEL_ROWS.split(",")]
 
 
 def _read(spark: SparkSession, paths: str | Sequence[str], tag: str, ddl: str) -> DataFrame:
@@ -189,7 +189,7 @@ def model_rows(documents: DataFrame, text: str = "value") -> DataFrame:
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for document in batch[text]:
-                rows = pd.DataFrame(_walk(document), columns=MODEL_ROWS.names, dtype=object)
+                rows = pd.DataFrame(_walk(document), columns=MODEL_COLUMNS, dtype=object)
                 yield rows.astype({"entity_pos": "int32", "prop_pos": "int32"})
 
     rows = documents.select(text).mapInPandas(walk, MODEL_ROWS)
