@@ -120,5 +120,5 @@ def to_vector_entity(
 
 def vector_long(raw: DataFrame, keys: Sequence[str] = KEY_COLUMNS) -> DataFrame:
     """Long form of vector counters: one row per filled bin, position from 0."""
-    bins = F.posexplode(vector_bins("counter_value_raw")).alias("bin", "value")
-    return raw.select(*keys, F.col("counter_name_raw").alias("counter_name"), bins)
+    bins = F.posexplode_outer(vector_bins("counter_value_raw")).alias("bin", "value")
+    return raw.select(*keys, F.col("counter_name_raw").alias("counter_name"), bins).filter(F.col("bin").isNotNull())

@@ -3,6 +3,10 @@
 The map form has one row per object instance and period with all its counters in
 one map. The long form has one row per counter. Both come from explodes and
 native expressions only; neither shuffles.
+
+Where an exploded expression is costly, the outer explode is used and its empty
+rows are filtered after: for an inner explode Spark infers a filter on the
+expression, which would evaluate it a second time.
 """
 
 from __future__ import annotations
@@ -108,7 +112,7 @@ def raw_counters(instances: DataFrame, index_base: int = 0) -> DataFrame:
     """
     results = C.last_results("names", "results", index_base, F.col("names_distinct"))
     kept = [c for c in instances.columns if c not in LIST_COLUMNS]
-    exploded = instances.select(*kept, "names", F.explode(results).alias("result"))
+    exploded = instances.select(*kept, "names", F.explode_outer(results).alias("result"))
     return exploded.select(
         *kept,
         C.counter_name_at("names", "result._p", index_base).alias("counter_name_raw"),
@@ -125,7 +129,8 @@ def explode_counters(maps: DataFrame, names: Sequence[str] | None = None, counte
     if names is not None:
         wanted = F.map_filter(wanted, lambda name, _: name.isin(list(names)))
     kept = [c for c in maps.columns if c != counters]
-    return maps.select(*kept, F.explode(wanted).alias("counter_name_raw", "counter_value_raw"))
+    rows = maps.select(*kept, F.explode_outer(wanted).alias("counter_name_raw", "counter_value_raw"))
+    return rows.filter(F.col("counter_name_raw").isNotNull())
 
 
 def long_counters(raw: DataFrame) -> DataFrame:

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import io
 from collections.abc import Iterator
-from xml.etree import ElementTree
+from xml.parsers import expat
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -41,22 +40,46 @@ def _local(name: str) -> str:
     return name.rpartition("}")[2]
 
 
-def _profile(document: str) -> Iterator[tuple[str, int, int, list[str]]]:
-    """Paths of one document with occurrences, occurrences with text, attribute names."""
-    found: dict[str, list] = {}
+def _profile(document: str, found: dict[str | None, list]) -> None:
+    """Add a document's paths to ``found``: [occurrences, with text, attribute names].
+
+    A document that breaks off counts once under None and adds nothing else.
+    """
+    mine: dict[str | None, list] = {}
     open_tags: list[str] = []
-    for event, element in ElementTree.iterparse(io.BytesIO(document.encode("utf-8")), ("start", "end")):
-        if event == "start":
-            open_tags.append(_local(element.tag))
-            continue
-        entry = found.setdefault(".".join(open_tags), [0, 0, set()])
+
+    def start(tag: str, attributes: dict[str, str]) -> None:
+        open_tags.append(_local(tag))
+        path = ".".join(open_tags)
+        entry = mine.setdefault(path, [0, 0, set()])
         entry[0] += 1
-        entry[1] += element.text is not None
-        entry[2].update(element.attrib)
+        entry[2].update(f"{{{name}" if "}" in name else name for name in attributes)
+        text_of.append(entry)
+
+    def text(_: str) -> None:
+        # Only text before the first child counts; it is noted once per element.
+        if text_of[-1] is not None:
+            text_of[-1][1] += 1
+            text_of[-1] = None
+
+    def end(_: str) -> None:
         open_tags.pop()
-        element.clear()
-    for path, (occurrences, with_text, attributes) in found.items():
-        yield path, occurrences, with_text, sorted(attributes)
+        text_of.pop()
+        if text_of:
+            text_of[-1] = None
+
+    text_of: list[list | None] = []
+    parser = expat.ParserCreate(namespace_separator="}")
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, text
+    try:
+        parser.Parse(document, True)
+    except expat.ExpatError:
+        mine = {None: [1, 0, set()]}
+    for path, (occurrences, with_text, attributes) in mine.items():
+        entry = found.setdefault(path, [0, 0, set()])
+        entry[0] += occurrences
+        entry[1] += with_text
+        entry[2] |= attributes
 
 
 def xml_path_profile(documents: DataFrame, text: str = "value") -> DataFrame:
@@ -70,21 +93,23 @@ def xml_path_profile(documents: DataFrame, text: str = "value") -> DataFrame:
 
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows: list[tuple] = []
+            found: dict[str | None, list] = {}
             for document in batch[text].dropna():
-                try:
-                    rows.extend(_profile(document))
-                except ElementTree.ParseError:
-                    rows.append((None, 1, 0, []))
+                _profile(document, found)
+            rows = [(path, n, with_text, sorted(names)) for path, (n, with_text, names) in found.items()]
             yield pd.DataFrame(rows, columns=["path", "occurrences", "with_text", "attributes"])
 
     partials = documents.select(text).mapInPandas(profile, PATH_PARTIALS)
-    attributes = partials.select("path", F.explode("attributes").alias("attribute")).distinct()
-    named = attributes.groupBy("path").agg(F.array_sort(F.collect_list("attribute")).alias("attributes"))
-    counts = partials.groupBy("path").agg(F.sum("occurrences").alias("occurrences"), F.sum("with_text").alias("with_text"))
-    return counts.join(named, "path", "left").select(
+    # One row per path and attribute combination reaches the shuffle; a path has
+    # few combinations, so their set stays small.
+    profiles = partials.groupBy("path").agg(
+        F.sum("occurrences").alias("occurrences"),
+        F.sum("with_text").alias("with_text"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("attributes")))).alias("attributes"),
+    )
+    return profiles.select(
         "path",
         F.when(F.col("occurrences") > 1, F.lit("Multiple")).otherwise(F.lit("Single")).alias("occurrence"),
         (F.col("with_text") > 0).alias("contains_text"),
-        F.coalesce("attributes", F.array().cast("array<string>")).alias("attributes"),
+        "attributes",
     )

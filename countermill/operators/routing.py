@@ -71,7 +71,9 @@ def _routes_in_plan(attributes: DataFrame, rules: Sequence[Row], root: str) -> D
             routes.append(reduce(lambda w, case: w.when(*case), cases[1:], F.when(*cases[0])))
     if not routes:
         return attributes.limit(0).select("*", F.lit("").alias("target_package_name"), F.lit("").alias("table"))
-    return attributes.select("*", F.inline(F.array_compact(F.array(*routes))))
+    # Outer, so that no inferred filter evaluates all rules a second time.
+    routed = attributes.select("*", F.inline_outer(F.array_compact(F.array(*routes))))
+    return routed.filter(F.col("table").isNotNull())
 
 
 def _probes(properties: Mapping[str, str]) -> Column:
@@ -116,9 +118,9 @@ def _routes_by_join(attributes: DataFrame, rules: DataFrame, root: str) -> DataF
         "rule_name",
         F.col("target_name").alias("attribute_target"),
     )
-    by_object = attributes.select("*", F.inline(_probes(OBJECT_PROPERTIES))).join(objects, probe).drop(*probe)
+    by_object = attributes.select("*", F.inline_outer(_probes(OBJECT_PROPERTIES))).join(objects, probe).drop(*probe)
     by_attribute = (
-        by_object.select("*", F.inline(_probes(ATTRIBUTE_PROPERTIES)))
+        by_object.select("*", F.inline_outer(_probes(ATTRIBUTE_PROPERTIES)))
         .join(children, [*probe, "target_package_name", "object_rule"])
         .drop(*probe)
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,27 +93,35 @@ def stream_measdata(
     return _stream(spark, folder, row_tag, MEAS_DATA_RECORD, charset, max_files)
 
 
-def _parse(df: DataFrame, text: str, schema: str, keep: Sequence[str | Column]) -> DataFrame:
+def _parse(df: DataFrame, text: str, schema: str, file: str) -> DataFrame:
+    # The record goes through a generator so that it is parsed once: filters on
+    # its fields cannot be pushed below, which would parse it again for each.
     options = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
     record = F.from_xml(F.col(text), schema, options)
-    return df.select(*keep, record.alias("record")).select(*[F.col(k) if isinstance(k, str) else k for k in keep], "record.*")
+    return df.select(F.col(file).alias("source_file"), F.inline(F.array(record)))
 
 
 def parse_mdc_text(df: DataFrame, text: str, file: str) -> DataFrame:
     """``mdc`` documents held in a text column instead of files; ``file`` names them."""
-    return _parse(df, text, MDC_RECORD, [F.col(file)]).withColumnRenamed(file, "source_file")
+    return _parse(df, text, MDC_RECORD, file)
 
 
 def parse_measdata_text(df: DataFrame, text: str, file: str) -> DataFrame:
     """``measData`` documents held in a text column instead of files."""
-    return _parse(df, text, MEAS_DATA_RECORD, [F.col(file)]).withColumnRenamed(file, "source_file")
+    return _parse(df, text, MEAS_DATA_RECORD, file)
+
+
+def _unreadable(records: DataFrame) -> Column:
+    """True for a record of which nothing could be read."""
+    data = [c for c in records.columns if c not in (CORRUPT, "source_file")]
+    return reduce(lambda a, b: a & b, [F.col(c).isNull() for c in data], F.col(CORRUPT).isNotNull())
 
 
 def parsed_files(records: DataFrame) -> DataFrame:
-    """Files that were read without error, each once, as ``path``."""
-    return records.filter(F.col(CORRUPT).isNull()).select(F.col("source_file").alias("path")).distinct()
+    """Files with a record that was read, each once, as ``path``."""
+    return records.filter(~_unreadable(records)).select(F.col("source_file").alias("path")).distinct()
 
 
 def unreadable_files(records: DataFrame) -> DataFrame:
-    """Files with at least one record that could not be read, as ``path``."""
-    return records.filter(F.col(CORRUPT).isNotNull()).select(F.col("source_file").alias("path")).distinct()
+    """Files with a record that could not be read, each once, as ``path``."""
+    return records.filter(_unreadable(records)).select(F.col("source_file").alias("path")).distinct()
