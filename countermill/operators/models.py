@@ -27,9 +27,10 @@ def entity_properties(rows: DataFrame, properties: Sequence[str], section: str |
     def value(name: str) -> Column:
         return F.max_by("value", F.when(F.col("prop") == name, F.col("prop_pos")))
 
-    return mine.groupBy("model", "path", "parent_path", "name").agg(
-        *[F.coalesce(value(p), F.lit("")).alias(p.lower()) for p in properties]
-    )
+    entity = ["model", "path", "parent_path", "name"]
+    if not properties:
+        return mine.select(*entity).distinct()
+    return mine.groupBy(*entity).agg(*[F.coalesce(value(p), F.lit("")).alias(p.lower()) for p in properties])
 
 
 def _parents(entities: DataFrame, *columns: str) -> DataFrame:

@@ -80,16 +80,25 @@ def add_partitions(spark: SparkSession, table: str, calendar: DataFrame) -> int:
     return len(clauses)
 
 
-def drop_partitions(spark: SparkSession, table: str, date_ids: Iterable[str]) -> int:
-    """Drop the given days of a table, in one statement; returns their number."""
-    specs = [f"PARTITION (date_id='{d}')" for d in date_ids]
-    if specs:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs)} PURGE")
+def drop_partitions(spark: SparkSession, table: str, date_ids: Iterable[str], batch: int = 500) -> int:
+    """Drop all partitions of the given days of a table; returns their number.
+
+    Partitions are named in full, hours and quarter hours included: not every
+    catalog takes a day alone. The list is catalog metadata, 96 entries a day.
+    """
+    days = list(date_ids)
+    if not days:
+        return 0
+    day = F.regexp_extract("location", r"(?:^|/)date_id=([^/]+)", 1)
+    chosen = table_partitions(spark, table).filter(day.isin(days))
+    specs = [f"PARTITION ({_spec(dict(part.split('=', 1) for part in row['location'].split('/')))})" for row in chosen.collect()]
+    for start in range(0, len(specs), batch):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs[start : start + batch])} PURGE")
     return len(specs)
 
 
 def purge_expired(spark: SparkSession, table: str, today: Day, retention_days: int) -> int:
-    """Drop every expired day of a table; returns the number of days."""
+    """Drop all partitions of every expired day of a table; returns their number."""
     expired = expired_partitions(table_partitions(spark, table), today, retention_days)
     days = [row["date_id"] for row in expired.select("date_id").distinct().collect()]
     return drop_partitions(spark, table, days)
