@@ -21,9 +21,9 @@ def is_header(line: str = "line") -> Column:
 
 
 def with_record(lines: DataFrame, header: Column | None = None, group: Sequence[str] = ("source_file",)) -> DataFrame:
-    """Add ``record``: (block, pos) of the header a line belongs to, NULL before the first one."""
+    """Add ``record``: ``pos`` of the header a line belongs to, NULL before the first one."""
     opens = is_header() if header is None else header
-    return carry_forward(lines, F.when(opens, F.struct("block", "pos")), "record", group)
+    return carry_forward(lines, F.when(opens, F.col("pos")), "record", group)
 
 
 def orphan_lines(lines: DataFrame, group: Sequence[str] = ("source_file",)) -> DataFrame:
@@ -36,7 +36,7 @@ def record_text(
 ) -> DataFrame:
     """One row per record with its lines joined in order."""
     belonging = with_record(lines, header, group).filter(F.col("record").isNotNull())
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("block", "pos", "line"))), lambda part: part["line"])
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda part: part["line"])
     return belonging.groupBy(*group, "record").agg(F.array_join(ordered, separator).alias("text"))
 
 

@@ -2,7 +2,9 @@
 
 A window over an entire log or table would hand one task everything its group
 holds. Here a group is cut into blocks of bounded size; windows run inside a
-block, and a second, tiny pass over one row per block links the blocks.
+block, and a second, tiny pass over one row per block links the blocks. Rows
+carry ``pos``, their order in the group, and ``block``, which never falls as
+``pos`` grows.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ BLOCK_ROWS = 1_000_000
 
 
 def with_blocks(df: DataFrame, pos: ColumnLike, rows: int = BLOCK_ROWS) -> DataFrame:
-    """Add (block, pos) from a whole-number position that no two rows of a group share."""
+    """Add (block, pos): a whole-number position that no two rows of a group share, and its block."""
     position = as_column(pos).cast("bigint")
     return df.withColumn("pos", position).withColumn("block", F.floor(F.col("pos") / F.lit(rows)).cast("bigint"))
 
@@ -38,7 +40,7 @@ def _linked(df: DataFrame, group: Sequence[str], carried: Column, names: dict[st
 
 
 def carry_forward(df: DataFrame, value: Column, name: str, group: Sequence[str] = ("source_file",)) -> DataFrame:
-    """``name``: the last non-null ``value`` at or before each row, by (block, pos) in its group."""
+    """``name``: the last non-null ``value`` at or before each row, by pos in its group."""
     own, end, handed = f"_{name}_own", f"_{name}_end", f"_{name}_handed"
     marked = df.withColumn(own, value)
     last_own = F.max_by(own, F.when(F.col(own).isNotNull(), F.col("pos")))
@@ -49,7 +51,7 @@ def carry_forward(df: DataFrame, value: Column, name: str, group: Sequence[str]
 
 
 def previous(df: DataFrame, value: Column, name: str, group: Sequence[str] = ("source_file",)) -> DataFrame:
-    """``name``: ``value`` of the row before, by (block, pos) in its group."""
+    """``name``: ``value`` of the row before, by pos in its group."""
     own, end, handed = f"_{name}_own", f"_{name}_end", f"_{name}_handed"
     marked = df.withColumn(own, value)
     last_row = F.max_by(F.struct(F.col(own).alias("v")), "pos")["v"]

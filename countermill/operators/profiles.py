@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from countermill.functions.text import rdn_class
 
-PATH_PARTIALS = "path STRING, occurrences BIGINT, with_text BIGINT, attributes ARRAY<STRING>"
+PATH_PARTIALS = "path STRING, attribute STRING, occurrences BIGINT, with_text BIGINT"
 
 
 def coverage(pairs: DataFrame, measurement: str = "measurement", counter: str = "counter_name") -> DataFrame:
@@ -96,16 +96,18 @@ def xml_path_profile(documents: DataFrame, text: str = "value") -> DataFrame:
             found: dict[str | None, list] = {}
             for document in batch[text].dropna():
                 _profile(document, found)
-            rows = [(path, n, with_text, sorted(names)) for path, (n, with_text, names) in found.items()]
-            yield pd.DataFrame(rows, columns=["path", "occurrences", "with_text", "attributes"])
+            rows = [(path, None, n, with_text) for path, (n, with_text, _) in found.items()]
+            rows += [(path, name, 0, 0) for path, (_, _, names) in found.items() for name in names]
+            yield pd.DataFrame(rows, columns=["path", "attribute", "occurrences", "with_text"])
 
     partials = documents.select(text).mapInPandas(profile, PATH_PARTIALS)
-    # One row per path and attribute combination reaches the shuffle; a path has
-    # few combinations, so their set stays small.
-    profiles = partials.groupBy("path").agg(
-        F.sum("occurrences").alias("occurrences"),
-        F.sum("with_text").alias("with_text"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("attributes")))).alias("attributes"),
+    # Summed per path and attribute first, so a path collects each name once.
+    sums = [F.sum(c).alias(c) for c in ("occurrences", "with_text")]
+    profiles = (
+        partials.groupBy("path", "attribute")
+        .agg(*sums)
+        .groupBy("path")
+        .agg(*sums, F.array_sort(F.collect_list("attribute")).alias("attributes"))
     )
     return profiles.select(
         "path",

@@ -1,7 +1,6 @@
 """Entity state folded from an ordered replication log.
 
-Lines are (source_file, block, pos, line); their order is source_file, block,
-pos.
+Lines are (source_file, block, pos, line); their order is source_file, pos.
 """
 
 from __future__ import annotations
@@ -16,6 +15,8 @@ from countermill.operators.ordering import previous
 EXPORTED, REMOVING, IMPORTED = "Exported SI_CUID", "Removing SI_CUID", "Imported SI_CUID"
 IMPORT_ERROR = "Import Error"
 
+EMPTY_ID_SALTS = 64
+
 
 def replication_events(lines: DataFrame) -> DataFrame:
     """Events of a log: (at, kind, cuid, id, name, si_kind)."""
@@ -30,7 +31,7 @@ def replication_events(lines: DataFrame) -> DataFrame:
     short = F.col("kind") == "Removing"
     field = lambda i: F.when(short, delimited_field("line", i - 1)).otherwise(delimited_field("line", i))
     return events.select(
-        F.struct("source_file", "block", "pos").alias("at"),
+        F.struct("source_file", "pos").alias("at"),
         "kind",
         delimited_field("line", 4).alias("cuid"),
         F.when(~short, delimited_field("line", 5)).alias("id"),
@@ -44,7 +45,7 @@ def import_errors(lines: DataFrame) -> DataFrame:
     message = F.when(F.col("line").contains(IMPORT_ERROR), last_field("line"))
     named = previous(lines, message, "message").filter(F.col("message").isNotNull())
     return (
-        named.select(last_field("line").alias("target_id"), "message", F.struct("source_file", "block", "pos").alias("at"))
+        named.select(last_field("line").alias("target_id"), "message", F.struct("source_file", "pos").alias("at"))
         .groupBy("target_id")
         .agg(F.max_by("message", "at").alias("message"))
     )
@@ -90,20 +91,19 @@ def entity_states(events: DataFrame) -> DataFrame:
 def with_errors(states: DataFrame, errors: DataFrame) -> DataFrame:
     """States with the error of their target id, if any.
 
-    States without a target share the empty id; they are spread by their own id
-    instead of meeting in one task, and the one error the empty id may have
-    comes as a scalar.
+    States without a target share the empty id. They are salted, and the one
+    error the empty id may have is repeated per salt, so they do not all meet in
+    one task.
     """
-    untargeted = F.col("target_id") == ""
-    spread = F.when(untargeted, F.concat(F.lit("\0"), "cuid")).otherwise(F.col("target_id"))
-    keyed = errors.filter(F.col("target_id") != "").select(F.col("target_id").alias("_key"), "message")
-    empty = errors.filter(F.col("target_id") == "").agg(F.max("message")).scalar()
-    joined = states.withColumn("_key", spread).join(keyed, "_key", "left")
-    message = F.when(untargeted, empty).otherwise(F.col("message"))
+    empty = F.col("target_id") == ""
+    salt = F.when(empty, F.pmod(F.hash("cuid"), F.lit(EMPTY_ID_SALTS))).otherwise(F.lit(0))
+    salts = F.when(empty, F.sequence(F.lit(0), F.lit(EMPTY_ID_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salted = errors.select("target_id", "message", F.explode(salts).alias("_salt"))
+    joined = states.withColumn("_salt", salt).join(salted, ["target_id", "_salt"], "left")
     return joined.select(
         *states.columns,
-        message.isNotNull().alias("error"),
-        F.coalesce(message, F.lit("Null")).alias("error_message"),
+        F.col("message").isNotNull().alias("error"),
+        F.coalesce("message", F.lit("Null")).alias("error_message"),
     )
 
 

@@ -23,14 +23,20 @@ def stitch_splits(splits: Sequence[DataFrame], keys: Sequence[str], unique_keys:
     Rows with a NULL key match nothing, so they skip the join: all of them would
     otherwise meet in one task. With ``unique_keys`` (no split repeats a key)
     the splits are unioned and aggregated instead: one shuffle for any number of
-    splits, combined before it.
+    splits, combined before it. A key that is repeated after all fails the query.
     """
     columns = list(dict.fromkeys(c for split in splits for c in split.columns))
     loose = [split.filter(_has_null(keys)) for split in splits]
     keyed = [split.filter(~_has_null(keys)) for split in splits]
     if unique_keys:
         values = [c for c in columns if c not in keys]
-        joined = _union(keyed).groupBy(*keys).agg(*[F.any_value(c, True).alias(c) for c in values])
+        flags = [f"_rows{i}" for i in range(len(keyed))]
+        marked = [split.withColumn(flag, F.lit(1)) for split, flag in zip(keyed, flags)]
+        merged = _union(marked).groupBy(*keys).agg(
+            *[F.any_value(c, True).alias(c) for c in values],
+            F.greatest(*[F.coalesce(F.count(flag), F.lit(0)) for flag in flags], F.lit(0)).alias("_repeats"),
+        )
+        joined = merged.filter(F.assert_true(F.col("_repeats") <= 1, "a split repeats a key").isNull()).drop("_repeats")
     else:
         joined = reduce(lambda a, b: a.join(b, list(keys), "full_outer"), keyed)
     return _union([joined, *loose]).select(*columns)

@@ -13,8 +13,9 @@ def scan_log_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     """Lines with their order: (source_file, block, pos, line).
 
     A big file is read split by split: ``block`` is the byte offset of the split
-    and ``pos`` the line's number inside it, so (block, pos) orders a file's
-    lines and no task ever holds more than one split.
+    and ``pos`` that offset plus the line's number inside the split. A split has
+    no more lines than bytes, so ``pos`` orders the lines of the whole file, and
+    no task ever holds more than one split.
     """
     lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
         F.col("_metadata.file_path").alias("source_file"),
@@ -23,6 +24,6 @@ def scan_log_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
         F.col("value").alias("line"),
     )
     in_split = W.partitionBy("source_file", "block").orderBy("read_order")
-    return lines.withColumn("pos", F.row_number().over(in_split).cast("bigint")).select(
+    return lines.withColumn("pos", F.col("block") + F.row_number().over(in_split)).select(
         "source_file", "block", "pos", "line"
     )

@@ -13,6 +13,9 @@ from countermill.operators.files import DROPPED, PARSED
 from countermill.sinks.stores import write_cold
 from countermill.sources.counter_files import parsed_files, unreadable_files
 
+# Files arrive once per result period.
+ROP = "15 minutes"
+
 Handler = Callable[[DataFrame, int], None]
 
 
@@ -23,7 +26,26 @@ def start_ingest(records: DataFrame, handle: Handler, checkpoint: str, available
     what is there, in batches, and stops.
     """
     writer = records.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="15 minutes")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=ROP)
+    return writer.start()
+
+
+def start_long_sink(
+    records: DataFrame, flatten: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, available_now: bool = True
+) -> StreamingQuery:
+    """Stream long rows into Parquet below ``measurement=../date_id=..``.
+
+    The file sink's own log makes every row appear exactly once, so this needs
+    no batch column; use it where the long table is the only sink.
+    """
+    writer = (
+        flatten(records)
+        .writeStream.format("parquet")
+        .partitionBy("measurement", "date_id")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=ROP)
     return writer.start()
 
 
@@ -32,6 +54,8 @@ def long_writer(flatten: Callable[[DataFrame], DataFrame], long_path: str, statu
 
     Rows go below ``batch_id=<n>/measurement=../date_id=..``, replacing what an
     earlier try of the same batch left there, so a repeated batch adds nothing.
+    ``batch_id`` keeps the sinks of one batch together; readers that only want
+    the rows ignore it.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:

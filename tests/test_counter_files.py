@@ -172,6 +172,42 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert states == {"a.xml": PARSED, "b.xml": PARSED, "bad.xml": DROPPED}
 
 
+def test_long_sink_writes_each_row_once(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    out = str(tmp_path / "out")
+
+    def run():
+        stream = CF.stream_mdc(spark, str(tmp_path / "in"))
+        ingest.start_long_sink(stream, flatten.flatten_mdc, out, str(tmp_path / "state")).awaitTermination()
+
+    for name in ("a", "b"):
+        (tmp_path / "in" / f"{name}.xml").write_text(mdc(name, instances=CELLS))
+        run()
+    run()
+    assert spark.read.parquet(out).count() == 12
+
+
+def test_every_entity_of_a_batch_is_written(spark, folder, tmp_path):
+    long = flatten.flatten_mdc(CF.scan_mdc(spark, str(folder)))
+    specs = [
+        entities.EntitySpec("CELL", "CellFDD", ("pma", "pmb"), keys=("moid",)),
+        entities.EntitySpec("SUMS", "CellFDD", ("pma",), "sum", ("node",)),
+        entities.EntitySpec("NONE", "Other", ("pma",), keys=("moid",)),
+    ]
+    entities.write_entities(long, specs, lambda name, df: df.write.parquet(str(tmp_path / "e" / name)))
+    read = {s.name: rows(spark.read.parquet(str(tmp_path / "e" / s.name))) for s in specs}
+    assert read["CELL"] == [(CELLS[0][0], 5, None), (CELLS[1][0], 7, 9)]
+    assert read["SUMS"] == [("N1", 12)] and read["NONE"] == []
+
+
+def test_many_counters_take_the_pivot(spark, folder):
+    long = flatten.flatten_mdc(CF.scan_mdc(spark, str(folder)))
+    many = ["pma", "pmb", *[f"absent{i}" for i in range(entities.CONDITIONAL_COUNTERS)]]
+    wide = entities.to_entity(long, many, keys=["moid"])
+    assert wide.columns == ["moid", *many]
+    assert rows(wide.select("pma", "pmb", "absent0")) == [(5, None, None), (7, 9, None)]
+
+
 def test_repeated_batch_adds_nothing(spark, folder, tmp_path):
     records = CF.scan_mdc(spark, str(folder))
     handle = ingest.long_writer(flatten.flatten_mdc, str(tmp_path / "out"))

@@ -85,6 +85,13 @@ def test_repeated_keys_multiply_in_the_join(spark):
     assert splits.stitch_splits([t0, t1], ["k"]).count() == 4
 
 
+def test_repeated_keys_fail_where_promised_unique(spark):
+    t0 = spark.createDataFrame([(1, "a"), (1, "b")], "k int, x string")
+    t1 = spark.createDataFrame([(1, "A")], "k int, y string")
+    with pytest.raises(Exception, match="repeats a key"):
+        splits.stitch_splits([t0, t1], ["k"], unique_keys=True).collect()
+
+
 def test_natural_full_join_like_the_database(spark):
     random.seed(7)
     sides = [[(random.choice([1, 2, 3, None]), random.choice("ab")) for _ in range(n)] for n in (9, 7, 5)]
