@@ -24,7 +24,7 @@ BLOCK_ROWS = 1_000_000
 def with_blocks(df: DataFrame, pos: ColumnLike, rows: int = BLOCK_ROWS) -> DataFrame:
     """Add (block, pos): a whole-number position that no two rows of a group share, and its block."""
     position = as_column(pos).cast("bigint")
-    return df.withColumn("pos", position).withColumn("block", F.floor(F.col("pos") / F.lit(rows)).cast("bigint"))
+    return df.withColumn("pos", position).withColumn("block", F.expr(f"pos div {rows}"))
 
 
 def _linked(df: DataFrame, group: Sequence[str], carried: Column, names: dict[str, str]) -> DataFrame:
