@@ -35,8 +35,17 @@ def mdc_instances(records: DataFrame) -> DataFrame:
         F.col("mfh.sn").alias("nedn"),
         F.posexplode("md").alias("md_pos", "element"),
     )
-    mi = md.select("source_file", "nedn", "md_pos", F.posexplode("element.mi").alias("mi_pos", "info"))
-    mi = mi.select("source_file", "nedn", "md_pos", "mi_pos", "info", C.all_distinct("info.mt").alias("names_distinct"))
+    return _instances(md.select("source_file", "nedn", "md_pos", F.posexplode("element.mi").alias("mi_pos", "info")))
+
+
+def mdc_part_instances(parts: DataFrame) -> DataFrame:
+    """The same rows from single info blocks, see :func:`scan_mdc_parts`."""
+    place = [F.col("part_pos.block").alias("md_pos"), F.col("part_pos.id").alias("mi_pos")]
+    return _instances(parts.select("source_file", "nedn", *place, "info"))
+
+
+def _instances(info: DataFrame) -> DataFrame:
+    mi = info.withColumn("names_distinct", C.all_distinct("info.mt"))
     mv = mi.select("*", F.posexplode("info.mv").alias("mv_pos", "instance"))
     mts = F.col("info.mts")
     moid = F.col("instance.moid")

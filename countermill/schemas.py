@@ -21,6 +21,15 @@ MDC_RECORD = """
     _corrupt_record STRING
 """
 
+# One info block of such a file, the part scan_mdc_parts() reads.
+MDC_INFO = """
+    mts STRING,
+    gp STRING,
+    mt ARRAY<STRING>,
+    mv ARRAY<STRUCT<moid: STRING, r: ARRAY<STRUCT<_p: BIGINT, _VALUE: STRING>>>>,
+    _corrupt_record STRING
+"""
+
 # All fields of the same file, for callers that want header and footer too.
 MDC_RECORD_FULL = """
     mfh STRUCT<ffv: STRING, sn: STRING, st: STRING, vn: STRING, cbt: STRING>,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from itertools import chain, islice
 from typing import Any
 
 from pyspark.sql import DataFrame, Row
@@ -95,13 +96,14 @@ def delete_by_key(
     """
 
     def delete(rows: Iterable[Row]) -> None:
-        pending = [row[0] for row in rows]
-        if not pending:
+        chunks = _chunks((row[0] for row in rows), batch)
+        first = next(chunks, None)
+        if first is None:
             return
         connection = connect()
         try:
             cursor = connection.cursor()
-            for chunk in _chunks(pending, batch):
+            for chunk in chain([first], chunks):
                 marks = ", ".join([placeholder] * len(chunk))
                 cursor.execute(f"DELETE FROM {table} WHERE {column} IN ({marks})", chunk)
             connection.commit()
@@ -111,9 +113,9 @@ def delete_by_key(
     keys.select(column).distinct().foreachPartition(delete)
 
 
-def _chunks(values: list, size: int) -> Iterator[list]:
-    for start in range(0, len(values), size):
-        yield values[start : start + size]
+def _chunks(values: Iterator[Any], size: int) -> Iterator[list]:
+    while chunk := list(islice(values, size)):
+        yield chunk
 
 
 def write_catalog(tables: Mapping[str, DataFrame], folder: str, mode: str = "overwrite") -> None:

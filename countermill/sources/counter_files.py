@@ -8,13 +8,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countermill.schemas import MDC_RECORD, MDC_RECORD_FULL, MEAS_DATA_RECORD
+from countermill.functions.text import unescape_xml
+from countermill.schemas import MDC_INFO, MDC_RECORD, MDC_RECORD_FULL, MEAS_DATA_RECORD
 
 # Files per micro-batch of the stream: bounds the work of one trigger.
 MAX_FILES_PER_TRIGGER = 3000
 
 CORRUPT = "_corrupt_record"
 
+# Headers are broadcast for up to this many files: one short row per file.
+BROADCAST_FILES = 50_000
+
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.xml") -> DataFrame:
     """Paths of all files below ``folder`` whose name matches; contents are not read."""
@@ -62,6 +66,30 @@ def scan_mdc(
     return _scan(spark, paths, row_tag, MDC_RECORD_FULL if full else MDC_RECORD, charset)
 
 
+def scan_mdc_parts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """One row per info block: source_file, nedn, part_pos and the block as ``info``.
+
+    For very large documents. The XML source reads a document as one row in one
+    task; here a file is split like any text file, at the end tags ``</mi>``, and
+    every block is parsed by itself. The header is one row per file and joined
+    back. Needs ``<mi>`` tags without attributes.
+    """
+    text = spark.read.text(paths if isinstance(paths, str) else list(paths), lineSep="</mi>")
+    parts = _with_file(text).select(
+        "source_file",
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id")).alias("part_pos"),
+        "value",
+    )
+    sender = F.regexp_extract("value", r"<mfh>[\s\S]*?<sn>([^<]*)</sn>", 1)
+    headers = parts.filter(F.col("value").contains("<mfh>")).select("source_file", unescape_xml(sender).alias("nedn"))
+    block = F.concat(F.lit("<mi>"), F.substring_index("value", "<mi>", -1), F.lit("</mi>"))
+    info = F.from_xml(block, MDC_INFO, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
+    blocks = parts.filter(F.col("value").contains("<mi>")).select("source_file", "part_pos", info.alias("info"))
+    if len(text.inputFiles()) <= BROADCAST_FILES:
+        headers = F.broadcast(headers)
+    return blocks.join(headers, "source_file", "left")
+
+
 def scan_measdata(
     spark: SparkSession, paths: str | Sequence[str], *, row_tag: str = "measData", charset: str = "UTF-8"
 ) -> DataFrame:

@@ -83,6 +83,30 @@ def test_repeated_counter_in_one_list_keeps_the_last(spark, tmp_path):
     assert rows(flatten.long_counters(maps).select("moid", "counter_name", "counter_value")) == rows(long)
 
 
+def test_parts_of_split_files_equal_the_whole(spark, tmp_path):
+    for node in ("N1", "N&amp;2"):
+        infos = "".join(
+            f"<mi><mts>202401011015{i % 60:02}Z</mts><gp>900</gp><mt>x</mt><mt>y</mt>"
+            f"<mv><moid>A=1,Cell=c{i}</moid><r p='0'>{i}</r><r p='1'/><r p='0'>{i + 1}</r></mv></mi>\n"
+            for i in range(300)
+        )
+        document = f"<mdc>\n<mfh><ffv>1</ffv>\n<sn>Net=X,Node={node}</sn></mfh><md>{infos}</md><mff><ts>z</ts></mff></mdc>"
+        (tmp_path / f"{node[:2]}{len(node)}.xml").write_text(document)
+    (tmp_path / "empty.xml").write_text("<mdc><mfh><sn>e</sn></mfh><md/></mdc>")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192b")
+    try:
+        parts = CF.scan_mdc_parts(spark, str(tmp_path))
+        split = flatten.long_counters(flatten.raw_counters(flatten.mdc_part_instances(parts)))
+        whole = flatten.flatten_mdc(CF.scan_mdc(spark, str(tmp_path)))
+        compared = ["nedn", "moid", "ropendtime", "date_id", "counter_name", "counter_value", "source_file"]
+        assert parts.select("part_pos.block").distinct().count() > 2
+        assert whole.count() == 1200
+        assert rows(split.select(compared)) == rows(whole.select(compared))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 def test_empty_lists_give_no_rows(spark, tmp_path):
     (tmp_path / "a.xml").write_text(mdc(names=(), instances=[("A=1,Cell=c", [(0, "5")])]))
     (tmp_path / "b.xml").write_text(mdc(instances=()))
