@@ -193,7 +193,14 @@ SELECT cuid, name, coalesce(source_id, '') AS source_id, coalesce(s.target_id, '
 FROM state s LEFT JOIN errors r ON coalesce(s.target_id, '') = r.target_id
 """
 
+_COUNTED = f"""
+SELECT date_id, measurement, event_type AS counter_name, count(*) AS rows, CAST(sum(v) AS BIGINT) AS total
+FROM ({DOC}) GROUP BY date_id, measurement, event_type
+"""
+
 ORACLE: dict[str, str] = {
+    "q_mdc_files": _COUNTED,
+    "q_stream_mdc": _COUNTED,
     "q_counter_pivot": PIVOT,
     "q_counter_pivot_native": PIVOT,
     "q_counter_pivot_sum": f"SELECT date_id, node, {SUMS} FROM ({DOC}) GROUP BY date_id, node",

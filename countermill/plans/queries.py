@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -20,7 +21,7 @@ from countermill.sinks.stores import write_cold
 from countermill.sources import counter_files as CF
 from countermill.sources.node_models import instance_attributes
 from countermill.sources.stores import backlog_older_than
-from countermill.streaming.ingest import start_ingest
+from countermill.streaming.ingest import start_ingest, start_long_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -136,11 +137,42 @@ def path_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.select("path", "occurrence", "contains_text", F.array_join("attributes", ",").alias("attributes"))
 
 
+def _written_documents(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """(scratch folder, folder with the documents as files) in the shared folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    scratch = f"{base}/countermill-{uuid.uuid4().hex}"
+    records = CF.parse_mdc_text(S.mdc_documents(spark, sf_dir), "value", "file").select("mfh", "md")
+    records.write.format("xml").option("rowTag", "mdc").option("rootTag", "files").save(f"{scratch}/in")
+    return scratch, f"{scratch}/in"
+
+
+def _counted(long: DataFrame) -> DataFrame:
+    return long.groupBy("date_id", "measurement", "counter_name").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("counter_value").alias("total")
+    )
+
+
+@query
+def mdc_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents written as files and scanned back, counted per day and class."""
+    return _counted(flatten.flatten_mdc(CF.scan_mdc(spark, _written_documents(spark, sf_dir)[1])))
+
+
+@query
+def stream_mdc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files as a stream into a partitioned long table, counted from there."""
+    scratch, folder = _written_documents(spark, sf_dir)
+    stream = CF.stream_mdc(spark, folder)
+    start_long_sink(stream, flatten.flatten_mdc, f"{scratch}/long", f"{scratch}/state").awaitTermination()
+    schema = "counter_name STRING, counter_value BIGINT, measurement STRING, date_id STRING"
+    return _counted(spark.read.schema(schema).parquet(f"{scratch}/long"))
+
+
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a file stream, written per batch, then counted from what was written."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp"
-    out = f"{base}/stream-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    out = f"{base}/countermill-{uuid.uuid4().hex}"
     schema = S.table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 

@@ -120,6 +120,19 @@ def class_relationships(spark: SparkSession, paths: str | Sequence[str]) -> Data
     )
 
 
+def instance_model_header(spark: SparkSession, paths: str | Sequence[str], description: str = "") -> DataFrame:
+    """Name, version and description of each instance model."""
+    mib = _read(spark, paths, "mib", "_name STRING, _version STRING, _release STRING")
+    version = F.concat_ws("_", "_version", "_release")
+    return mib.select(
+        F.replace("_name", F.lit("PmInstances"), F.lit("")).alias("model"),
+        version.alias("revision"),
+        version.alias("version"),
+        F.col("_release").alias("release"),
+        F.lit(description).alias("description"),
+    )
+
+
 def instance_objects(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Objects of an instance model: parent, name, and their other slots as a map."""
     objects = _read(spark, paths, "object", "_parentDn STRING, slot ARRAY<STRUCT<_name: STRING, value: STRING>>")

@@ -16,6 +16,9 @@ from countermill.sources.counter_files import parsed_files, unreadable_files
 # Files arrive once per result period.
 ROP = "15 minutes"
 
+# Files a batch may add to one folder of the long table.
+FILES_PER_FOLDER = 16
+
 Handler = Callable[[DataFrame, int], None]
 
 
@@ -31,15 +34,24 @@ def start_ingest(records: DataFrame, handle: Handler, checkpoint: str, available
 
 
 def start_long_sink(
-    records: DataFrame, flatten: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, available_now: bool = True
+    records: DataFrame,
+    flatten: Callable[[DataFrame], DataFrame],
+    path: str,
+    checkpoint: str,
+    available_now: bool = True,
+    spread: int = FILES_PER_FOLDER,
 ) -> StreamingQuery:
     """Stream long rows into Parquet below ``measurement=../date_id=..``.
 
     The file sink's own log makes every row appear exactly once, so this needs
-    no batch column; use it where the long table is the only sink.
+    no batch column; use it where the long table is the only sink. A batch puts
+    at most ``spread`` files into a folder and spreads a big class over as many
+    tasks.
     """
+    slice_of = F.pmod(F.xxhash64("moid"), F.lit(spread))
+    rows = flatten(records)
     writer = (
-        flatten(records)
+        rows.repartition(F.col("measurement"), F.col("date_id"), slice_of)
         .writeStream.format("parquet")
         .partitionBy("measurement", "date_id")
         .option("path", path)

@@ -153,6 +153,8 @@ INSTANCES = """<model><mib name="PmInstancesX" version="1" release="2">
 
 def test_instance_model(spark, tmp_path):
     (tmp_path / "i.xml").write_text(INSTANCES)
+    header = NM.instance_model_header(spark, str(tmp_path / "i.xml"), "support")
+    assert rows(header) == [("X", "1_2", "1_2", "2", "support")]
     attributes = NM.instance_attributes(NM.instance_objects(spark, str(tmp_path / "i.xml")))
     assert rows(attributes.select("mo_name", "name", "data_type", "counter_type", "declared")) == [
         ("Cell", "pmA", "long", "CC", True), ("Lost", "pmB", None, None, False),
