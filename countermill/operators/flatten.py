@@ -45,13 +45,23 @@ def mdc_part_instances(parts: DataFrame) -> DataFrame:
 
 
 def _instances(info: DataFrame) -> DataFrame:
-    mi = info.withColumn("names_distinct", C.all_distinct("info.mt"))
-    mv = mi.select("*", F.posexplode("info.mv").alias("mv_pos", "instance"))
-    mts = F.col("info.mts")
+    # Only what the rows need travels beside the exploded list. Were the block
+    # itself kept, every instance would carry a copy of all instances.
+    kept = ["source_file", "nedn", "md_pos", "mi_pos", "mts", "gp", "names", "names_distinct"]
+    mi = info.select(
+        *kept[:4],
+        "info.mts",
+        "info.gp",
+        F.col("info.mt").alias("names"),
+        C.all_distinct("info.mt").alias("names_distinct"),
+        "info.mv",
+    )
+    mv = mi.select(*kept, F.posexplode("mv").alias("mv_pos", "instance"))
+    mts = F.col("mts")
     moid = F.col("instance.moid")
     return mv.select(
         TM.date_id_of_text(mts).alias("date_id"),
-        F.col("info.gp").alias("granularity"),
+        F.col("gp").alias("granularity"),
         moid.alias("moid"),
         "nedn",
         X.last_value("nedn").alias("node"),
@@ -61,7 +71,7 @@ def _instances(info: DataFrame) -> DataFrame:
         X.rdn_class(moid).alias("measurement"),
         "source_file",
         F.struct("md_pos", "mi_pos", "mv_pos").alias("source_pos"),
-        F.col("info.mt").alias("names"),
+        "names",
         "names_distinct",
         F.col("instance.r").alias("results"),
     )
@@ -79,21 +89,30 @@ def measdata_instances(records: DataFrame) -> DataFrame:
         element["_localDn"].alias("node"),
         F.posexplode("managedElement.measInfo").alias("mi_pos", "info"),
     )
-    value = info.select("source_file", "node", "mi_pos", "info", F.posexplode("info.measValue").alias("mv_pos", "instance"))
-    end = F.col("info.granPeriod._endTime")
+    kept = ["source_file", "node", "mi_pos", "end", "duration", "measurement", "names"]
+    block = info.select(
+        *kept[:3],
+        F.col("info.granPeriod._endTime").alias("end"),
+        F.col("info.granPeriod._duration").alias("duration"),
+        F.col("info._measInfoId").alias("measurement"),
+        F.col("info.measType").alias("names"),
+        F.col("info.measValue").alias("values"),
+    )
+    value = block.select(*kept, F.posexplode("values").alias("mv_pos", "instance"))
+    end = F.col("end")
     return value.select(
         TM.date_id(TM.iso_instant(end)).alias("date_id"),
-        TM.duration_seconds("info.granPeriod._duration").alias("granularity"),
+        TM.duration_seconds("duration").alias("granularity"),
         F.col("instance._measObjLdn").alias("moid"),
         F.col("node").alias("nedn"),
         "node",
         TM.iso_instant(end).alias("ropendtime"),
         TM.iso_instant(end).alias("utc_timestamp"),
         TM.iso_wall_clock(end).alias("local_timestamp"),
-        F.col("info._measInfoId").alias("measurement"),
+        "measurement",
         "source_file",
         F.struct(F.lit(0).alias("md_pos"), "mi_pos", "mv_pos").alias("source_pos"),
-        F.col("info.measType").alias("names"),
+        "names",
         F.col("instance.r").alias("results"),
     )
 

@@ -215,6 +215,9 @@ ORACLE: dict[str, str] = {
         SELECT date_id AS day, moid AS object, user_id || '/' || strftime(start, '%Y%m%d%H%M') AS file,
                {_wide("CAST(max(v) FILTER (WHERE event_type = '{c}') AS VARCHAR) AS pm_{c}")}
         FROM ({DOC}) GROUP BY date_id, moid, user_id, start""",
+    "q_entity_merge": f"""
+        SELECT date_id, node, {SUMS}, arg_min(v, start) FILTER (WHERE event_type = 'view') AS first_view
+        FROM ({DOC}) GROUP BY date_id, node""",
     "q_counter_map_values": f"""
         SELECT user_id || '/' || strftime(start, '%Y%m%d%H%M') AS file, event_type AS counter_name_raw,
                CAST(v AS VARCHAR) AS counter_value_raw

@@ -94,6 +94,19 @@ def entity_map_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.to_entity_from_map(flatten.mdc_counter_maps(records), {f"pm_{c}": c for c in S.COUNTERS}, keys=keys)
 
 
+@query
+def entity_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Map lookups of all documents, merged to one row per node and day."""
+    records = CF.parse_mdc_text(S.mdc_documents(spark, sf_dir), "value", "file")
+    keys = ["date_id", "node"]
+    looked_up = entities.to_entity_from_map(
+        flatten.mdc_counter_maps(records), {c: c for c in S.COUNTERS}, keys=[*keys, "source_file"], integers=True
+    )
+    first = entities.merge_rows(looked_up, ["view"], keys, order_by=["source_file"])
+    total = entities.merge_rows(looked_up, S.COUNTERS, keys, agg="sum")
+    return total.join(first.withColumnRenamed("view", "first_view"), keys)
+
+
 @query
 def counter_map_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counter maps exploded for two wanted counters."""

@@ -84,7 +84,9 @@ def scan_mdc_parts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     headers = parts.filter(F.col("value").contains("<mfh>")).select("source_file", unescape_xml(sender).alias("nedn"))
     block = F.concat(F.lit("<mi>"), F.substring_index("value", "<mi>", -1), F.lit("</mi>"))
     info = F.from_xml(block, MDC_INFO, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
-    blocks = parts.filter(F.col("value").contains("<mi>")).select("source_file", "part_pos", info.alias("info"))
+    # Parsed once, as in _parse().
+    blocks = parts.filter(F.col("value").contains("<mi>")).select("source_file", "part_pos", F.inline(F.array(info)))
+    blocks = blocks.select("source_file", "part_pos", F.struct("mts", "gp", "mt", "mv").alias("info"))
     if len(text.inputFiles()) <= BROADCAST_FILES:
         headers = F.broadcast(headers)
     return blocks.join(headers, "source_file", "left")

@@ -49,6 +49,20 @@ def test_wide_forms_agree_when_keys_are_unique(spark, folder):
     assert pivoted.count() == 2
 
 
+@pytest.mark.parametrize("agg", ["first", "sum"])
+def test_merged_wide_rows_equal_the_pivot(spark, tmp_path, agg):
+    for name, names, value in (("b", ("x", "y"), "7"), ("a", ("y", "z"), "5"), ("c", ("z", "w"), "")):
+        cells = [(f"A=1,Cell=c{i}", [(0, value), (1, str(i))]) for i in range(3)]
+        (tmp_path / f"{name}.xml").write_text(mdc(names=names, instances=cells))
+    records = CF.scan_mdc(spark, str(tmp_path))
+    keys, counters = ["moid", "ropendtime"], ["w", "x", "y"]
+    wide = entities.to_entity_from_map(
+        flatten.mdc_counter_maps(records), {c: c for c in counters}, keys=[*keys, "source_file", "source_pos"], integers=True
+    )
+    pivoted = entities.to_entity(flatten.flatten_mdc(records), counters, agg=agg, keys=keys)
+    assert rows(entities.merge_rows(wide, counters, keys, agg)) == rows(pivoted)
+
+
 def test_absent_counter_is_null(spark, folder):
     records = CF.scan_mdc(spark, str(folder))
     wide = entities.to_entity_from_map(flatten.mdc_counter_maps(records), {"x": "pmNone"}, keys=["moid"])
