@@ -76,20 +76,26 @@ def _routes_in_plan(attributes: DataFrame, rules: Sequence[Row], root: str) -> D
     return routed.filter(F.col("table").isNotNull())
 
 
-def _probes(properties: Mapping[str, str]) -> Column:
-    """Everything a rule could say about a row, as (match_type, match_argument, match_value)."""
+def _probes(properties: Mapping[str, str], shapes: Sequence[Row]) -> Column:
+    """All that rules of the given shapes could say about a row.
+
+    A shape is (match_type, match_argument, length of the value); a row is probed
+    with its whole property, or a prefix of that length.
+    """
 
     def probe(kind: Column, argument: Column, value: Column) -> Column:
         return F.struct(kind.alias("match_type"), argument.alias("match_argument"), value.alias("match_value"))
 
-    def of_property(argument: str, source: str) -> list[Column]:
-        value = F.coalesce(F.col(source), F.lit(""))
-        lengths = F.sequence(F.lit(0), F.length(value))
-        prefixes = F.transform(lengths, lambda n: probe(F.lit("startswith"), F.lit(argument), F.substring(value, 1, n)))
-        return [F.array(probe(F.lit("equals"), F.lit(argument), value)), prefixes]
-
-    everything = F.array(probe(F.lit("ALL"), F.lit(""), F.lit("")))
-    return F.concat(everything, *[part for item in properties.items() for part in of_property(*item)])
+    probes = {("ALL", "", 0): probe(F.lit("ALL"), F.lit(""), F.lit(""))}
+    for kind, argument, length in shapes:
+        if argument in properties and kind in ("equals", "startswith"):
+            value = F.coalesce(F.col(properties[argument]), F.lit(""))
+            if kind == "equals":
+                probes[kind, argument, 0] = probe(F.lit(kind), F.lit(argument), value)
+            else:
+                prefix = F.when(F.length(value) >= length, F.substring(value, 1, length))
+                probes[kind, argument, length] = probe(F.lit(kind), F.lit(argument), prefix)
+    return F.array(*probes.values())
 
 
 def _routes_by_join(attributes: DataFrame, rules: DataFrame, root: str) -> DataFrame:
@@ -107,6 +113,8 @@ def _routes_by_join(attributes: DataFrame, rules: DataFrame, root: str) -> DataF
         text("target_name").alias("target_name"),
     )
     probe = ["match_type", "match_argument", "match_value"]
+    # As many shapes as there are properties and different lengths of rule values.
+    shapes = plain.select("match_type", "match_argument", F.length("match_value")).distinct().collect()
     objects = plain.filter(F.col("parent_rule_name") == root).select(
         *probe, "target_package_name", F.col("rule_name").alias("object_rule"), F.col("target_name").alias("object_target")
     )
@@ -118,9 +126,9 @@ def _routes_by_join(attributes: DataFrame, rules: DataFrame, root: str) -> DataF
         "rule_name",
         F.col("target_name").alias("attribute_target"),
     )
-    by_object = attributes.select("*", F.inline_outer(_probes(OBJECT_PROPERTIES))).join(objects, probe).drop(*probe)
+    by_object = attributes.select("*", F.inline_outer(_probes(OBJECT_PROPERTIES, shapes))).join(objects, probe).drop(*probe)
     by_attribute = (
-        by_object.select("*", F.inline_outer(_probes(ATTRIBUTE_PROPERTIES)))
+        by_object.select("*", F.inline_outer(_probes(ATTRIBUTE_PROPERTIES, shapes)))
         .join(children, [*probe, "target_package_name", "object_rule"])
         .drop(*probe)
     )

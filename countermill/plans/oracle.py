@@ -210,14 +210,15 @@ ORACLE: dict[str, str] = {
                strftime(start, '%Y%m%d%H%M%S') AS local_timestamp, event_type AS counter_name, v AS counter_value
         FROM ({DOC})""",
     "q_mdc_entity": f"""
-        SELECT date_id, moid, node, {SUMS} FROM ({DOC}) WHERE measurement = 'Cell3' GROUP BY date_id, moid, node""",
+        SELECT date_id, measurement, moid, node, {SUMS} FROM ({DOC}) GROUP BY date_id, measurement, moid, node""",
     "q_entity_map_lookup": f"""
         SELECT date_id AS day, moid AS object, user_id || '/' || strftime(start, '%Y%m%d%H%M') AS file,
                {_wide("CAST(max(v) FILTER (WHERE event_type = '{c}') AS VARCHAR) AS pm_{c}")}
         FROM ({DOC}) GROUP BY date_id, moid, user_id, start""",
-    "q_entity_merge": f"""
-        SELECT date_id, node, {SUMS}, arg_min(v, start) FILTER (WHERE event_type = 'view') AS first_view
+    "q_entity_merge_first": f"""
+        SELECT date_id, node, {_wide("arg_min(v, start) FILTER (WHERE event_type = '{c}') AS {c}")}
         FROM ({DOC}) GROUP BY date_id, node""",
+    "q_entity_merge_sum": f"SELECT date_id, node, {SUMS} FROM ({DOC}) GROUP BY date_id, node",
     "q_counter_map_values": f"""
         SELECT user_id || '/' || strftime(start, '%Y%m%d%H%M') AS file, event_type AS counter_name_raw,
                CAST(v AS VARCHAR) AS counter_value_raw
@@ -317,8 +318,8 @@ ORACLE: dict[str, str] = {
         FROM orders WHERE o_orderstatus = 'P'""",
     "q_array_posexplode": """
         SELECT 'v1' AS version, vec_id, CAST(i AS INTEGER) AS embedding_index, embedding[i + 1] AS embedding, label
-        FROM embeddings, range(64) AS r(i) WHERE label % 2 = 0
-        UNION ALL SELECT 'v2', vec_id, NULL, NULL, label FROM embeddings WHERE label % 2 <> 0""",
+        FROM embeddings, range(64) AS r(i) WHERE label < 4
+        UNION ALL SELECT 'v2', vec_id, NULL, NULL, label FROM embeddings WHERE label >= 4""",
     "q_widened_columns": f"""
         SELECT entity, "column",
                CASE max(CASE type WHEN 'INT' THEN 1 WHEN 'BIGINT' THEN 2 WHEN 'DOUBLE' THEN 3 WHEN 'VARCHAR' THEN 4 ELSE 0 END)
@@ -397,9 +398,10 @@ ORACLE: dict[str, str] = {
     "q_reference_members": """
         WITH m AS (
           SELECT DISTINCT 'enum' AS member_type, l_linestatus AS ref, l_returnflag AS member, CAST(NULL AS VARCHAR) AS nested_ref FROM lineitem
-          UNION ALL SELECT DISTINCT 'struct', CAST(p_size AS VARCHAR), p_type, CASE WHEN p_type = 'PROMO' THEN 'F' END FROM part WHERE p_size <= 4),
+          UNION ALL SELECT DISTINCT 'struct', CAST(p_size AS VARCHAR), p_type, CASE WHEN p_type = 'PROMO' THEN 'F' END FROM part),
         a AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'struct' ELSE 'enum' END AS member_type,
-                     CASE WHEN o_orderstatus = 'P' THEN substr(o_orderpriority, 1, 1) ELSE o_orderstatus END AS ref FROM orders)
+                     CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus WHEN o_orderpriority = '5-LOW' THEN '-'
+                          ELSE substr(o_orderpriority, 1, 1) END AS ref FROM orders)
         SELECT o_orderkey, a.member_type, a.ref, member, nested_ref
         FROM a LEFT JOIN m ON a.member_type = m.member_type AND a.ref = m.ref""",
     "q_hierarchy_edges": """

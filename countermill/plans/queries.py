@@ -80,10 +80,10 @@ def mdc_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def mdc_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """mdc documents of one object class to its wide entity."""
+    """mdc documents to wide rows per object and day."""
     records = CF.parse_mdc_text(S.mdc_documents(spark, sf_dir), "value", "file")
-    keys = ["date_id", "moid", "node"]
-    return entities.to_entity(flatten.flatten_mdc(records), S.COUNTERS, "Cell3", "sum", keys)
+    keys = ["date_id", "measurement", "moid", "node"]
+    return entities.to_entity(flatten.flatten_mdc(records), S.COUNTERS, agg="sum", keys=keys)
 
 
 @query
@@ -94,17 +94,22 @@ def entity_map_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.to_entity_from_map(flatten.mdc_counter_maps(records), {f"pm_{c}": c for c in S.COUNTERS}, keys=keys)
 
 
-@query
-def entity_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Map lookups of all documents, merged to one row per node and day."""
+def _looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = CF.parse_mdc_text(S.mdc_documents(spark, sf_dir), "value", "file")
-    keys = ["date_id", "node"]
-    looked_up = entities.to_entity_from_map(
-        flatten.mdc_counter_maps(records), {c: c for c in S.COUNTERS}, keys=[*keys, "source_file"], integers=True
-    )
-    first = entities.merge_rows(looked_up, ["view"], keys, order_by=["source_file"])
-    total = entities.merge_rows(looked_up, S.COUNTERS, keys, agg="sum")
-    return total.join(first.withColumnRenamed("view", "first_view"), keys)
+    keys = ["date_id", "node", "ropendtime"]
+    return entities.to_entity_from_map(flatten.mdc_counter_maps(records), {c: c for c in S.COUNTERS}, keys=keys, integers=True)
+
+
+@query
+def entity_merge_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Map lookups of all documents, merged to the first value per node and day."""
+    return entities.merge_rows(_looked_up(spark, sf_dir), S.COUNTERS, ["date_id", "node"], order_by=["ropendtime"])
+
+
+@query
+def entity_merge_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Map lookups of all documents, summed per node and day."""
+    return entities.merge_rows(_looked_up(spark, sf_dir), S.COUNTERS, ["date_id", "node"], "sum")
 
 
 @query
@@ -398,9 +403,9 @@ def merge_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def array_posexplode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A version with an array column and one without it."""
     embeddings = S.table(spark, sf_dir, "embeddings")
-    even = F.col("label") % 2 == 0
+    known = F.col("label") < 4
     return versions.merge_versions(
-        {"v1": embeddings.filter(even), "v2": embeddings.filter(~even).select("vec_id", "label")}
+        {"v1": embeddings.filter(known), "v2": embeddings.filter(~known).select("vec_id", "label")}
     )
 
 
@@ -579,10 +584,13 @@ def reference_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     attributes = orders.select(
         "o_orderkey",
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("enum_ref"),
-        F.when(F.col("o_orderstatus") == "P", F.substring("o_orderpriority", 1, 1)).alias("struct_ref"),
+        F.when(F.col("o_orderstatus") == "P", F.replace("o_orderpriority", F.lit("5-LOW"), F.lit("-"))).alias("priority"),
+    )
+    attributes = attributes.select(
+        "o_orderkey", "enum_ref", F.when(F.col("priority").isNotNull(), F.substring("priority", 1, 1)).alias("struct_ref")
     )
     enums = lineitem.select(F.col("l_linestatus").alias("enum_name"), F.col("l_returnflag").alias("member")).distinct()
-    structs = part.filter(F.col("p_size") <= 4).select(
+    structs = part.select(
         F.col("p_size").cast("string").alias("struct_name"),
         F.col("p_type").alias("member"),
         F.when(F.col("p_type") == "PROMO", F.lit("F")).alias("enum_ref"),

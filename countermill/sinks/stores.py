@@ -6,13 +6,21 @@ from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from itertools import chain, islice
 from typing import Any
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Observation, Row
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from countermill.functions.types import catalog_type, hot_store_type
 from countermill.schemas import CATALOG
 
 
+def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Run ``write(df)`` and return the number of rows written, without another pass."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return seen.get["rows"]
+
+
 def jdbc_column_types(schema: T.StructType, text_type: str = "VARCHAR(255)") -> str:
     """``createTableColumnTypes`` of a schema: text columns as ``text_type``.
 

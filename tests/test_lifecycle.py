@@ -159,6 +159,12 @@ def test_cold_write_replaces_only_its_days(spark, tmp_path):
     assert spark.read.parquet(folder).count() == 3
 
 
+def test_rows_are_counted_while_written(spark, tmp_path):
+    frame = spark.range(1000).withColumn("date_id", F.lit("20240101")).repartition(7)
+    assert sinks.counted(frame, lambda df: sinks.write_cold(df, str(tmp_path / "cold"))) == 1000
+    assert spark.read.parquet(str(tmp_path / "cold")).count() == 1000
+
+
 def test_column_types_for_a_relational_table(spark):
     schema = spark.createDataFrame([], "a string, b bigint, c double, d array<bigint>").schema
     assert sinks.jdbc_column_types(schema) == "`a` VARCHAR(255), `b` BIGINT, `c` DOUBLE"
