@@ -172,6 +172,15 @@ def test_measdata_counts_every_info_and_value(spark, tmp_path):
     assert rows(wide) == [("N1", 5, 14)]
 
 
+def test_documents_with_prolog_and_namespace(spark, tmp_path):
+    prolog = '<?xml version="1.0" encoding="UTF-8"?>\n<?xml-stylesheet type="text/xsl" href="m.xsl"?>\n'
+    (tmp_path / "a.xml").write_text(f'{prolog}<!DOCTYPE mdc SYSTEM "m.dtd">\n<!-- c -->\n{mdc(instances=CELLS)}\n')
+    assert flatten.flatten_mdc(CF.scan_mdc(spark, str(tmp_path / "a.xml"))).count() == 6
+    file = f'{prolog}<measCollecFile xmlns="http://x/y#measCollec"><fileHeader/>{MEAS}</measCollecFile>'
+    (tmp_path / "m.xml").write_text(file)
+    assert flatten.flatten_measdata(CF.scan_measdata(spark, str(tmp_path / "m.xml"))).count() == 4
+
+
 def test_listing_is_recursive_and_by_pattern(spark, folder):
     (folder / "sub").mkdir()
     (folder / "sub" / "b.xml").write_text("x")
