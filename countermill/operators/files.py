@@ -95,7 +95,6 @@ def close_batch(
 
     Files in ``failed`` become Failed. Only waiting rows change.
     """
-    at = as_column(at)
     parts = [
         requested.select("path", F.lit(1).alias("_rank")),
         parsed.select("path", F.lit(2).alias("_rank")),
@@ -112,11 +111,18 @@ def close_batch(
         .filter("_asked")
         .drop("_asked")
     )
-    status = F.when(F.col("_rank") == 2, PARSED).when(F.col("_rank") == 3, FAILED).when(F.col("_rank") == 1, DROPPED)
-    changes = F.col("status").isNull() & status.isNotNull()
-    return backlog.join(ranks, "path", "left").select(
+    status = F.when(F.col("_rank") == 2, PARSED).when(F.col("_rank") == 3, FAILED).otherwise(DROPPED)
+    return apply_states(backlog, ranks.select("path", status.alias("status")), at)
+
+
+def apply_states(backlog: DataFrame, states: DataFrame, at: ColumnLike) -> DataFrame:
+    """Next backlog after ``states``, one (path, status) per file: waiting rows take their status."""
+    at = as_column(at)
+    final = states.select("path", F.col("status").alias("_status"))
+    changes = F.col("status").isNull() & F.col("_status").isNotNull()
+    return backlog.join(final, "path", "left").select(
         "path",
-        F.when(changes, status).otherwise(F.col("status")).alias("status"),
+        F.when(changes, F.col("_status")).otherwise(F.col("status")).alias("status"),
         "received_date",
         F.when(changes, at).otherwise(F.col("processed_date")).alias("processed_date"),
     )

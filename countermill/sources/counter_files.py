@@ -21,13 +21,16 @@ BROADCAST_FILES = 50_000
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.xml") -> DataFrame:
-    """Paths of all files below ``folder`` whose name matches; contents are not read."""
+    """Paths of all files below ``folder`` whose name matches; contents are not read.
+
+    The path is written as in the ``source_file`` of a scan, so both join.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .load(folder)
-        .select("path")
+        .select(F.col("_metadata.file_path").alias("path"))
     )
 
 

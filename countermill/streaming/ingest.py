@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from countermill.operators.entities import EntitySpec, write_entities
 from countermill.operators.files import DROPPED, PARSED
 from countermill.sinks.stores import write_cold
 from countermill.sources.counter_files import parsed_files, unreadable_files
@@ -87,6 +88,23 @@ def long_writer(flatten: Callable[[DataFrame], DataFrame], long_path: str, statu
     return handle
 
 
+def entity_writer(
+    flatten: Callable[[DataFrame], DataFrame],
+    specs: Sequence[EntitySpec],
+    write: Callable[[str, int, DataFrame], None],
+) -> Handler:
+    """Handler that writes every entity of a batch with ``write(name, batch_id, wide rows)``.
+
+    A batch may be repeated after a failure: ``write`` gets its number, so that
+    it can replace what the first try left.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_entities(flatten(batch), specs, lambda name, df: write(name, batch_id, df))
+
+    return handle
+
+
 def file_states(records: DataFrame) -> DataFrame:
     """(path, status) of the files of a batch: Dropped when any record was unreadable."""
     bad = unreadable_files(records).select("path", F.lit(1).alias("bad"))

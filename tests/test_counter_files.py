@@ -3,9 +3,11 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
-from countermill.operators import entities, flatten, profiles
+from countermill.operators import entities, files, flatten, profiles
 from countermill.operators.files import DROPPED, PARSED
+from countermill.sinks.stores import write_cold
 from countermill.sources import counter_files as CF
 from countermill.streaming import ingest
 from tests.helpers import CELLS, dicts, mdc, rows
@@ -219,6 +221,36 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert states == {"a.xml": PARSED, "b.xml": PARSED, "bad.xml": DROPPED}
 
 
+def test_backlog_cycle_from_listing_to_stream_states(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    (inbox / "a b.xml").write_text(mdc(instances=CELLS))
+    (inbox / "bad.xml").write_text("<mdc><mfh>")
+    empty = spark.createDataFrame([], "path string, status string, received_date timestamp, processed_date timestamp")
+    backlog = files.register_files(empty, CF.list_files(spark, str(inbox)), F.lit("2024-01-01"))
+    specs = [entities.EntitySpec("CELL", "CellFDD", ("pma",), keys=("moid",))]
+
+    def write(name, batch_id, df):
+        write_cold(df.withColumn("batch_id", F.lit(batch_id)), str(tmp_path / name), ["batch_id"])
+
+    handlers = [
+        ingest.long_writer(flatten.flatten_mdc, str(tmp_path / "long"), str(tmp_path / "status")),
+        ingest.entity_writer(flatten.flatten_mdc, specs, write),
+    ]
+
+    def handle(batch, batch_id):
+        for one in handlers:
+            one(batch, batch_id)
+
+    ingest.start_ingest(CF.stream_mdc(spark, str(inbox)), handle, str(tmp_path / "state")).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "CELL")).select("pma")) == [(5,), (7,)]
+    states = spark.read.parquet(str(tmp_path / "status"))
+    closed = files.apply_states(backlog, states, F.to_timestamp(F.lit("2024-01-02")))
+    assert sorted((r["path"].rsplit("/", 1)[1], r["status"]) for r in dicts(closed)) == [
+        ("a%20b.xml", PARSED), ("bad.xml", DROPPED),
+    ]
+
+
 def test_long_sink_writes_each_row_once(spark, tmp_path):
     (tmp_path / "in").mkdir()
     out = str(tmp_path / "out")
