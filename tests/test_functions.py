@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,3 +153,24 @@ def test_type_names(spark):
 )
 def test_widening(names, expected):
     assert TY.widened(names) == expected
+
+
+def test_random_lists_equal_a_plain_fold(spark):
+    random.seed(11)
+    cases = []
+    for i in range(400):
+        names = [random.choice("abcde") + random.choice(["", "1"]) for _ in range(random.randrange(7))]
+        results = [(random.randrange(-1, 9), random.choice(["1", "2,3", "", None])) for _ in range(random.randrange(9))]
+        numbered = [(random.randrange(5), random.choice("abc")) for _ in range(random.randrange(6))]
+        cases.append((i, names, results, numbered))
+    df = spark.createDataFrame(
+        cases,
+        "i int, names array<string>, results array<struct<_p: bigint, _VALUE: string>>, numbered array<struct<_p: bigint, _VALUE: string>>",
+    )
+    got = df.select("i", C.counter_map("names", "results", 1).alias("m"), C.indexed_counter_map("numbered", "results").alias("j"))
+    for row in got.collect():
+        _, names, results, numbered = cases[row["i"]]
+        positional = {names[p - 1]: v for p, v in results if 1 <= p <= len(names)}
+        lookup = dict(numbered)
+        assert row["m"] == positional
+        assert row["j"] == {lookup[p]: v for p, v in results if p in lookup}
