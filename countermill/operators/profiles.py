@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from xml.parsers import expat
 
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from countermill.functions.text import rdn_class
 
+# Task code travels with its task, so workers need no copy of this package.
+register_pickle_by_value(sys.modules[__name__])
+
 PATH_PARTIALS = "path STRING, attribute STRING, occurrences BIGINT, with_text BIGINT"
 
 

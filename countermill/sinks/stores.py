@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from itertools import chain, islice
 from typing import Any
 
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,9 @@ from pyspark.sql import types as T
 from countermill.functions.types import catalog_type, hot_store_type
 from countermill.schemas import CATALOG
 
+# Task code travels with its task, so workers need no copy of this package.
+register_pickle_by_value(sys.modules[__name__])
+
 
 def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     """Run ``write(df)`` and return the number of rows written, without another pass."""

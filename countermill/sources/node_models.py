@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from countermill.functions.counters import last_entries
 from countermill.functions.text import last_value, last_word, unescape_xml, version_text
 
+# Task code travels with its task, so workers need no copy of this package.
+register_pickle_by_value(sys.modules[__name__])
+
 # Element names that stand for a data type.
 DATA_TYPE_TAGS = ["long", "string", "longlong"]
 
