@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from countermill.llm import quality_rules
+from countermill.llm import ngram_join, quality_rules
 from countermill.llm.common import documents
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of all documents linked by shared 5-word shingles."""
+    return ngram_join.linked_classes(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first cleaning of all documents."""
     return quality_rules.judge(documents(spark, sf_dir)).select(
@@ -16,9 +21,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
 }
 
 ORACLE = {
+    "op2_ngram_jaccard_join": ngram_join.ORACLE_SQL,
     "op6_quality_rules": quality_rules.ORACLE_SQL,
 }
