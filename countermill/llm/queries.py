@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from countermill.llm import ngram_join, quality_rules
+from countermill.llm import decontamination, ngram_join, quality_rules
 from countermill.llm.common import documents
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in all documents."""
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contaminated(documents(spark, sf_dir), bench)
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of all documents linked by shared 5-word shingles."""
     return ngram_join.linked_classes(documents(spark, sf_dir))
@@ -21,6 +27,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
 }
