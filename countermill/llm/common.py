@@ -42,3 +42,10 @@ def cut(frame: DataFrame) -> DataFrame:
 def small_side(frame: DataFrame, rows: int, most: int) -> DataFrame:
     """Broadcast hint when the counted rows stay under a bound; else Spark shuffles."""
     return F.broadcast(frame) if rows <= most else frame
+
+
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """Place of an installed public tokenizer file, the same on all machines."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from countermill.llm import decontamination, ngram_join, quality_rules
-from countermill.llm.common import documents
+from countermill.llm import decontamination, ngram_join, packing, quality_rules
+from countermill.llm.common import documents, tokenizer_file
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,10 +26,16 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in windows of 2048 tokens."""
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer_file(), with_ids=False)
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
+    "op7_sequence_packing": op7_sequence_packing,
 }
 
 ORACLE = {
