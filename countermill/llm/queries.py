@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from countermill.llm import decontamination, ngram_join, packing, quality_rules
+from countermill.llm import decontamination, language_id, ngram_join, packing, quality_rules, sharding
 from countermill.llm.common import documents, tokenizer_file
 
 
@@ -19,6 +19,11 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_classes(documents(spark, sf_dir))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of near-equal bytes."""
+    return sharding.shard_documents(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first cleaning of all documents."""
     return quality_rules.judge(documents(spark, sf_dir)).select(
@@ -31,11 +36,20 @@ def op7_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_file(), with_ids=False)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents."""
+    return language_id.identify_documents(documents(spark, sf_dir)).select(
+        "doc_id", "lang", "source", *language_id.RESULTS
+    )
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op4_sharding": op4_sharding,
     "op6_quality_rules": op6_quality_rules,
     "op7_sequence_packing": op7_sequence_packing,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE = {
