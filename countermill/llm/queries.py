@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from countermill.llm import decontamination, language_id, ngram_join, packing, quality_rules, sharding
+from countermill.llm import (
+    decontamination,
+    language_id,
+    license_scan,
+    ngram_join,
+    packing,
+    quality_rules,
+    sharding,
+)
 from countermill.llm.common import documents, tokenizer_file
 
 
@@ -36,6 +44,11 @@ def op7_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_file(), with_ids=False)
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in all documents."""
+    return license_scan.scan(documents(spark, sf_dir))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents."""
     return language_id.identify_documents(documents(spark, sf_dir)).select(
@@ -49,6 +62,7 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op6_quality_rules": op6_quality_rules,
     "op7_sequence_packing": op7_sequence_packing,
+    "op9_license_scan": op9_license_scan,
     "op10_language_id": op10_language_id,
 }
 
