@@ -12,6 +12,7 @@ from countermill.llm import (
     packing,
     quality_rules,
     sharding,
+    toxicity,
 )
 from countermill.llm.common import documents, tokenizer_file
 
@@ -32,6 +33,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents."""
+    return toxicity.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first cleaning of all documents."""
     return quality_rules.judge(documents(spark, sf_dir)).select(
@@ -60,6 +66,7 @@ QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op4_sharding": op4_sharding,
+    "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op7_sequence_packing": op7_sequence_packing,
     "op9_license_scan": op9_license_scan,
