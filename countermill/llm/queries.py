@@ -10,6 +10,7 @@ from countermill.llm import (
     license_scan,
     ngram_join,
     packing,
+    quality_lm,
     quality_rules,
     sharding,
     toxicity,
@@ -50,6 +51,11 @@ def op7_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_file(), with_ids=False)
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity and verdict of all documents."""
+    return quality_lm.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and templates in all documents."""
     return license_scan.scan(documents(spark, sf_dir))
@@ -69,6 +75,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op7_sequence_packing": op7_sequence_packing,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_license_scan": op9_license_scan,
     "op10_language_id": op10_language_id,
 }
