@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from countermill.llm import (
     decontamination,
+    html_extract,
     language_id,
     license_scan,
     ngram_join,
@@ -29,6 +30,11 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_classes(documents(spark, sf_dir))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of near-equal bytes."""
     return sharding.shard_documents(documents(spark, sf_dir))
@@ -71,6 +77,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_html_extraction": op3_html_extraction,
     "op4_sharding": op4_sharding,
     "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
