@@ -113,6 +113,7 @@ def matches(docs: DataFrame, bench: DataFrame) -> DataFrame:
     places = cut(items.select("item", "length", F.posexplode("shingles").alias("place", "shingle")))
     n_places = places.count()
     anchors = places.select("shingle", "length", "place").distinct()
+    docs = docs.select("doc_id", "text")
     keyed = _with_key(docs).select("_key", word_array(F.col("text")).alias("words"))
     hits = (
         keyed.select("_key", F.posexplode(shingle_hashes(F.col("words"))).alias("at", "shingle"))
@@ -186,5 +187,7 @@ def contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The documents in which no benchmark item was found."""
-    keys = cut(matches(docs, bench).select("_key").distinct())
-    return _with_key(docs).join(small_side(keys, keys.count(), BROADCAST_ROWS), "_key", "left_anti").drop("_key")
+    keys = cut(matches(docs.select("doc_id", "text"), bench).select("_key").distinct())
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("_key"), F.struct("*").alias("_row"))
+    kept = rows.join(small_side(keys, keys.count(), BROADCAST_ROWS), "_key", "left_anti")
+    return kept.select(*(F.col("_row")[c].alias(c) for c in docs.columns))

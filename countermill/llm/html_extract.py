@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 
 from countermill.llm.page_blocks import DROP, KEEP, Block, blocks
 
-LABELLED_PAGES = 200
+LABELLED_PAGES = 100
 LABELLED_BYTES = 60_000
 LABELLED_BLOCKS = 60
-LAYOUTS_PER_PAGE = 3
+LAYOUTS_PER_PAGE = 6
 STEPS = 200
 L2 = 1e-5
 
@@ -63,28 +63,30 @@ def own_label(block: Block) -> int:
     return int(inside and not any(t in ("nav", "aside", "footer", "form", "header", "button") for t in block.tags))
 
 
+#: Words that sites use in the class or id of the main text, and of what is around it.
+_MAIN_NAMES = "article content main post entry story body text".split()
+_OTHER_NAMES = (
+    "ad ads advert advertisement sponsored sponsor promo banner cookie cookies consent notice alert popup newsletter"
+    " subscribe signup login search sidebar widget related recommended teaser share social comment comments reply replies"
+    " respond discussion header masthead topbar footer copyright disclaimer menu nav navbar navigation breadcrumb"
+    " pagination tags meta tools"
+).split()
 _WRAPPERS = (
-    '<article {}>{}</article>', '<main {}>{}</main>', '<div id="content" {}>{}</div>', '<div class="post-content" {}>{}</div>',
-    '<div class="entry" {}>{}</div>', '<section class="article-body" {}>{}</section>', '<div class="story text" {}>{}</div>',
-    '<div role="main" {}>{}</div>', '<main><article class="post" {}>{}</article></main>', '<table><tr><td class="main" {}>{}</td></tr></table>',
-    '<div class="page"><div class="body" {}>{}</div></div>',
+    "<article {}>{}</article>", "<main {}>{}</main>", "<main><article {}>{}</article></main>", "<main><div {}>{}</div></main>",
+    "<div {}>{}</div>", "<section {}>{}</section>", '<div class="page"><div {}>{}</div></div>', "<table><tr><td {}>{}</td></tr></table>",
 )
-_PROSE_ASIDES = (
-    '<div class="ad" {}>{}</div>', '<div class="advert banner" {}><p>{}</p></div>', '<div class="sponsored promo" {}>{}</div>',
-    '<aside {}><p>{}</p></aside>', '<div class="sidebar widget" {}><p>{}</p></div>', '<div class="cookie-notice" {}>{}</div>',
-    '<div class="alert notice" role="alert" {}><p>{}</p></div>', '<div id="newsletter" {}><form><label>{}</label><button>Ok</button></form></div>',
-    '<form class="search" {}><p>{}</p><button>Go</button></form>', '<section id="comments" {}><div class="comment"><p>{}</p></div></section>',
-    '<div class="comment-list" {}><ul><li class="comment">{}</li></ul></div>', '<div class="related" {}><h3>{}</h3></div>',
-    '<div class="share social" {}>{}</div>', '<div class="caption credit" {}>{}</div>',
-)
-_EDGES = (
-    '<header {}><h2>{}</h2></header>', '<div class="header masthead" {}><p>{}</p></div>', '<footer {}>&copy; {}</footer>',
-    '<div id="footer" {}><p>{}</p></div>', '<div class="top-bar" {}>{}</div>', '<div class="copyright" {}>{}</div>',
-)
-_MENUS = (
-    '<nav {}><ul>{}</ul></nav>', '<ul class="menu" {}>{}</ul>', '<div class="breadcrumb navigation" {}><ul>{}</ul></div>',
-    '<div class="sidebar" {}><ul class="links">{}</ul></div>', '<div class="pagination" {}><ul>{}</ul></div>', '<div id="nav" {}><ul>{}</ul></div>',
+_PROSE = (
+    "<div {}>{}</div>", "<div {}><p>{}</p></div>", "<section {}><p>{}</p></section>", "<section {}><div><p>{}</p></div></section>",
+    "<p {}>{}</p>", "<div {}><h3>{}</h3></div>", "<div {}><ul><li>{}</li></ul></div>", "<form {}><label>{}</label><button>Ok</button></form>",
+    "<aside {}><p>{}</p></aside>", "<footer {}>&copy; {}</footer>", "<footer {}><p>{}</p></footer>", "<header {}><h2>{}</h2></header>",
 )
+_BARE = ("<aside {}><p>{}</p></aside>", "<aside {}>{}</aside>", "<form {}><p>{}</p></form>", "<footer {}>{}</footer>", "<header {}>{}</header>")
+_MENUS = ("<nav {}><ul>{}</ul></nav>", "<ul {}>{}</ul>", "<div {}><ul>{}</ul></div>")
+
+
+def _attributes(mark: str, names: list[str], rng: random.Random) -> str:
+    chosen = rng.choice("-_ ").join(rng.sample(names, rng.choice((1, 1, 2))))
+    return f'{mark}="1" {rng.choice(("class", "class", "id"))}="{chosen}"'
 
 
 def _escaped(text: str) -> str:
@@ -95,25 +97,30 @@ def laid_out(content: list[str], prose: list[str], rng: random.Random) -> str:
     """A page with the paragraphs in one of the usual layouts and other texts around and, at
     times, inside; marked with what is main text."""
 
-    def aside(kinds: tuple[str, ...]) -> str:
-        return rng.choice(kinds).format(f'{DROP}="1"', _escaped(rng.choice(prose)))
+    def aside() -> str:
+        text = _escaped(rng.choice(prose))
+        if rng.random() < 0.2:
+            return rng.choice(_BARE).format(f'{DROP}="1"', text)
+        return rng.choice(_PROSE).format(_attributes(DROP, _OTHER_NAMES, rng), text)
 
     def menu() -> str:
         words = [_escaped(w) for w in rng.choice(prose).split()[: rng.randint(2, 6)]]
-        return rng.choice(_MENUS).format(f'{DROP}="1"', "".join(f'<li><a href="/{i}">{w}</a></li>' for i, w in enumerate(words)))
+        items = "".join(f'<li><a href="/{i}">{w}</a></li>' for i, w in enumerate(words))
+        return rng.choice(_MENUS).format(_attributes(DROP, _OTHER_NAMES, rng), items)
 
     inner = [f"<h1>{_escaped(content[0][:60])}</h1>"] if rng.random() < 0.7 else []
     for paragraph in content:
-        kind = rng.random()
-        shape = "<p>{}</p>" if kind < 0.8 else "<blockquote>{}</blockquote>" if kind < 0.85 else "<ul><li>{}</li></ul>" if kind < 0.9 else "<h2>{}</h2>" if kind < 0.95 else "<div>{}</div>"
+        shape = rng.choices(
+            ("<p>{}</p>", "<blockquote>{}</blockquote>", "<ul><li>{}</li></ul>", "<h2>{}</h2>", "<div>{}</div>"),
+            (80, 5, 5, 5, 5),
+        )[0]
         inner.append(shape.format(_escaped(paragraph)))
-        if rng.random() < 0.25:
-            inner.append(aside(_PROSE_ASIDES))
-    body = [menu() for _ in range(rng.randint(0, 2))] + [aside(_EDGES) for _ in range(rng.randint(0, 2))]
-    body += [aside(_PROSE_ASIDES) for _ in range(rng.randint(0, 3))]
-    body.append(rng.choice(_WRAPPERS).format(f'{KEEP}="1"', "".join(inner)))
-    body += [aside(_PROSE_ASIDES) for _ in range(rng.randint(0, 3))] + [menu() for _ in range(rng.randint(0, 1))]
-    body += [aside(_EDGES) for _ in range(rng.randint(0, 2))]
+        if rng.random() < 0.3:
+            inner.append(aside())
+    body = [menu() for _ in range(rng.randint(0, 2))] + [aside() for _ in range(rng.randint(0, 4))]
+    named = _attributes(KEEP, _MAIN_NAMES, rng) if rng.random() < 0.8 else f'{KEEP}="1"'
+    body.append(rng.choice(_WRAPPERS).format(named, "".join(inner)))
+    body += [aside() for _ in range(rng.randint(0, 4))] + [menu() for _ in range(rng.randint(0, 1))]
     return f"<html><body>{''.join(body)}</body></html>"
 
 
@@ -133,7 +140,7 @@ def labelled_sequences(pages: list[str]) -> list[tuple[list[Block], list[int]]]:
         texts = [b.text for b, y in zip(page, labels) if y] or [b.text for b in page if len(b.text) > 40]
         for _ in range(LAYOUTS_PER_PAGE if texts else 0):
             begin = rng.randrange(len(texts))
-            made = blocks(laid_out(texts[begin : begin + rng.randint(1, 12)], pool, rng))
+            made = blocks(laid_out(texts[begin : begin + rng.randint(1, 8)], pool, rng))
             out.append((made, [b.label for b in made]))
     return out
 
@@ -193,7 +200,7 @@ class ChainModel:
                 gradient = gradient / real + L2 * value
                 m += 0.1 * (gradient - m)
                 v += 0.001 * (gradient**2 - v)
-                value -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+                value -= 0.2 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
 
     def decode(self, page: list[Block]) -> list[int]:
         """The likeliest labels of a page's blocks."""

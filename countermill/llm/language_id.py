@@ -264,6 +264,7 @@ def identify_pages(pages: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The documents kept, with the language found; same columns."""
-    kept = identify_documents(docs).where("kept")
-    return kept.withColumn("lang", F.col("language")).select(*docs.columns)
+    """The documents kept, with the language found as ``lang``; all columns of the input,
+    whatever they are called."""
+    kept = identify_documents(docs.select("text", "lang", "source", F.struct("*").alias("_row"))).where("kept")
+    return kept.select(*((F.col("language") if c == "lang" else F.col("_row")[c]).alias(c) for c in docs.columns))

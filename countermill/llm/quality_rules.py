@@ -129,11 +129,11 @@ def judge(docs: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame) -> DataFrame:
-    """The documents kept, with the failing lines removed from ``text``; same columns."""
-    out = judge(docs).where("kept").withColumn("text", F.col("clean_text"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
+    """The documents kept, with the failing lines removed from ``text`` and ``n_chars`` set
+    anew; all columns of the input, whatever they are called."""
+    out = judge(docs.select("text", F.struct("*").alias("_row"))).where("kept")
+    new = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}
+    return out.select(*(new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns))
 
 
 ORACLE_SQL = r"""
