@@ -35,9 +35,9 @@ from countermill.llm.wordhash import mix, ngram_sets
 N = 5
 PERCENT = 75
 #: The most frequent n-grams whose counts order the prefixes: 16 bytes each.
-ORDERING_NGRAMS = 1 << 18
+ORDERING_NGRAMS = 1 << 17
 #: N-grams gathered in a task before their counts are passed on.
-COUNT_ROWS = 1 << 22
+COUNT_ROWS = 1 << 21
 #: An n-gram with more rows is dealt to several tasks.
 HOT_ROWS = 100_000
 BLOCK_ROWS = 1024
@@ -56,25 +56,36 @@ def _node(found: np.ndarray) -> int:
     return int(mix(np.array([total], dtype=np.uint64)).view(np.int64)[0])
 
 
+def _bitmap(found: np.ndarray) -> bytes:
+    """One bit for each n-gram, in a width of at least twice the set size."""
+    width = max(128, 1 << int(2 * len(found) - 1).bit_length())
+    bits = np.zeros(width, dtype=np.uint8)
+    bits[(found & np.uint64(width - 1)).astype(np.int64)] = 1
+    return np.packbits(bits).tobytes()
+
+
 def _describe(n: int):
-    """Per document its node and set size (kind 0); per task n-grams found in several
+    """Per document its node, set size and bitmap (kind 0); per task n-grams found in several
     documents, with counts (kind 1)."""
-    schema = pa.schema([("kind", pa.int8()), ("doc_id", pa.int64()), ("x", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema(
+        [("kind", pa.int8()), ("doc_id", pa.int64()), ("x", pa.int64()), ("n", pa.int64()), ("bits", pa.binary())]
+    )
 
     def counted(sets: list[np.ndarray]) -> pa.RecordBatch:
         keys, counts = np.unique(np.concatenate(sets), return_counts=True)
         many = counts > 1
         k = int(many.sum())
         columns = [pa.array(np.ones(k, np.int8)), pa.nulls(k, pa.int64()), _signed(keys[many]), pa.array(counts[many])]
-        return pa.RecordBatch.from_arrays(columns, schema=schema)
+        return pa.RecordBatch.from_arrays([*columns, pa.nulls(k, pa.binary())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows, seen = [], 0, set()
         for batch in batches:
             nodes, sizes = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
+            bits: list[bytes | None] = [None] * len(batch)
             for i, found in ngram_sets(batch.column("text"), n):
                 if len(found):
-                    nodes[i], sizes[i] = _node(found), len(found)
+                    nodes[i], sizes[i], bits[i] = _node(found), len(found), _bitmap(found)
                     if nodes[i] not in seen:
                         seen.add(nodes[i])
                         held.append(found)
@@ -82,14 +93,13 @@ def _describe(n: int):
                 if rows >= COUNT_ROWS:
                     yield counted(held)
                     held, rows, seen = [], 0, set()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(batch), np.int8)), batch.column("doc_id"), pa.array(nodes), pa.array(sizes)],
-                schema=schema,
-            )
+            kinds = pa.array(np.zeros(len(batch), np.int8))
+            columns = [kinds, batch.column("doc_id"), pa.array(nodes), pa.array(sizes), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
         if held:
             yield counted(held)
 
-    return run, "kind tinyint, doc_id bigint, x bigint, n bigint"
+    return run, "kind tinyint, doc_id bigint, x bigint, n bigint, bits binary"
 
 
 def _prefixes(n: int, percent: int, order):
@@ -165,34 +175,29 @@ def _without_singles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([pa.array(held[i]) for i in (0, 2, 3)], schema=schema)
 
 
-def _bitmap(found: np.ndarray) -> bytes:
-    """One bit for each n-gram, in a width of at least twice the set size."""
-    width = max(128, 1 << int(2 * len(found) - 1).bit_length())
-    bits = np.zeros(width, dtype=np.uint8)
-    bits[(found & np.uint64(width - 1)).astype(np.int64)] = 1
-    return np.packbits(bits).tobytes()
-
-
-def _signatures(n: int):
-    schema = pa.schema([("node", pa.int64()), ("size", pa.int32()), ("bits", pa.binary()), ("grams", pa.binary())])
+def _gram_lists(n: int):
+    """Each distinct set of a task as its node and sorted hashes."""
+    schema = pa.schema([("node", pa.int64()), ("grams", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            rows = []
+            rows: list[tuple[int, bytes]] = []
+            size = 0
             for _, found in ngram_sets(batch.column("text"), n):
                 if len(found) and (node := _node(found)) not in seen:
                     seen.add(node)
-                    rows.append((node, len(found), _bitmap(found), found.tobytes()))
-                if len(rows) >= 500:
+                    rows.append((node, found.tobytes()))
+                    size += len(found)
+                if size >= COUNT_ROWS // 4:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows), schema)], schema=schema)
-                    rows = []
+                    rows, size = [], 0
             if len(seen) > 2_000_000:
                 seen.clear()
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows), schema)], schema=schema)
 
-    return run, "node bigint, size int, bits binary, grams binary"
+    return run, "node bigint, grams binary"
 
 
 def may_reach(bits_a: list[bytes], bits_b: list[bytes], a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -288,19 +293,23 @@ def _tile_pairs(percent: int):
     return run, "a bigint, b bigint"
 
 
-def _sides(pairs: DataFrame, signatures: DataFrame, *columns: str) -> DataFrame:
+def _sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
     for side in ("a", "b"):
-        named = signatures.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
+        named = table.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
         pairs = pairs.join(named, side)
     return pairs
 
 
-def _verify(pairs: DataFrame, signatures: DataFrame, percent: int, pruned: bool) -> DataFrame:
-    """The pairs that have the similarity."""
-    if not pruned:
-        pairs = _sides(pairs, signatures, "size", "bits").mapInArrow(*_prune(percent))
+def _verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs that have the similarity, by the n-grams of their texts; only the texts of
+    these pairs are read in again."""
     pairs = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    return cut(_sides(pairs, signatures, "grams").mapInArrow(*_exact(percent)))
+    needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    ids = cut(nodes.join(needed, "node", "left_semi").select("doc_id").distinct())
+    chosen = texts.join(small_side(ids, ids.count(), BROADCAST_IDS), "doc_id", "left_semi").select("text")
+    nameless = texts.where("doc_id is null").select("text")
+    grams = chosen.union(nameless).mapInArrow(*_gram_lists(n)).join(needed, "node", "left_semi")
+    return cut(_sides(pairs, cut(grams), "grams").mapInArrow(*_exact(percent)))
 
 
 def _first_pairs(meets: DataFrame, percent: int) -> DataFrame:
@@ -315,7 +324,7 @@ def _first_pairs(meets: DataFrame, percent: int) -> DataFrame:
     return pairs.where(fits & (F.col("a") != F.col("other.node"))).select("a", F.col("other.node").alias("b")).distinct()
 
 
-def _rest_pairs(meets: DataFrame, classes: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+def _rest_pairs(meets: DataFrame, classes: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of different classes that still meet, pruned inside size-banded tiles."""
     grouped = meets.join(classes, "node", "left").select(
         "key", "node", "size", F.coalesce("component", "node").alias("class")
@@ -336,7 +345,7 @@ def _rest_pairs(meets: DataFrame, classes: DataFrame, signatures: DataFrame, per
     dealt = (
         rows.join(tiles, ["key", "band"])
         .select("*", block.alias("block"), partner.alias("partner"))
-        .join(signatures.select("node", "bits"), "node")
+        .join(nodes.select("node", "bits"), "node")
         .select(
             F.xxhash64("key", "band", F.least("block", "partner"), F.greatest("block", "partner")).alias("tile"),
             "node",
@@ -358,49 +367,55 @@ def linked_classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataF
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text"))
     described = cut(texts.mapInArrow(*_describe(n)))
-    sets = described.where("kind = 0").select("doc_id", F.col("x").alias("node"), F.col("n").alias("n_shingles"))
+    sets = described.where("kind = 0").select("doc_id", F.col("x").alias("node"), F.col("n").alias("n_shingles"), "bits")
+    nodes = cut(
+        sets.where("n_shingles > 0")
+        .groupBy("node")
+        .agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").cast("int").alias("size"), F.first("bits").alias("bits"))
+    )
     frequent = (
         described.where("kind = 1")
         .groupBy("x")
         .agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "x")
         .limit(ORDERING_NGRAMS)
-        .toPandas()
+        .toArrow()
     )
-    keys = frequent["x"].to_numpy(dtype=np.int64).view(np.uint64)
-    by_key = np.argsort(keys)
-    order = spark.sparkContext.broadcast((keys[by_key], frequent["n"].to_numpy(dtype=np.int64)[by_key]))
+    keys, counts = (c.to_numpy() for c in frequent.columns)
+    by_key = np.argsort(keys.view(np.uint64))
+    order = spark.sparkContext.broadcast((keys.view(np.uint64)[by_key], counts[by_key]))
     rows = texts.select("text").mapInArrow(*_prefixes(n, percent, order))
     meets = cut(
         rows.repartition("key", "salt")
         .sortWithinPartitions("key", "node")
         .mapInArrow(_without_singles, "key bigint, node bigint, size int")
     )
-    first = sets.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    ids = cut(first.join(meets.select("node").distinct(), "node", "left_semi").select("doc_id").distinct())
-    chosen = texts.join(small_side(ids, ids.count(), BROADCAST_IDS), "doc_id", "left_semi")
-    nameless = texts.where("doc_id is null")
-    signatures = cut(chosen.select("text").union(nameless.select("text")).mapInArrow(*_signatures(n)))
-    links = _verify(_first_pairs(meets, percent), signatures, percent, pruned=False)
+    first = _sides(_first_pairs(meets, percent), nodes, "size", "bits").mapInArrow(*_prune(percent))
+    links = _verify(first, nodes, texts, n, percent)
     classes = cut(components(links))
-    more = _verify(_rest_pairs(meets, classes, signatures, percent), signatures, percent, pruned=True)
+    more = _verify(_rest_pairs(meets, classes, nodes, percent), nodes, texts, n, percent)
     stars = classes.select(F.col("node").alias("a"), F.col("component").alias("b"))
     classes = components(stars.union(more))
-    named = sets.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = sets.drop("bits").join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return named.join(names, "component").select("doc_id", "n_shingles", own.alias("component_id"))
 
 
 def one_of_each_class(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names its class: one document of each class.
+    """``docs`` without the documents that another one of their class stands for.
 
-    Rows without an id stay, as do repeated rows of a class's naming id but one.
+    The one that stays has the class's smallest doc_id; of equal rows with that id one stays.
+    Rows without an id stay.
     """
-    named = linked_classes(docs, n, percent)
-    stay = named.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi")
-    return kept.union(docs.where("doc_id is null"))
+    named = cut(linked_classes(docs, n, percent))
+    gone = named.where("doc_id <> component_id").select("doc_id").distinct()
+    again = named.groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1 and doc_id is not null").select("doc_id")
+    gone, again = cut(gone), cut(again)
+    again = small_side(again, again.count(), BROADCAST_IDS)
+    kept = docs.join(small_side(gone, gone.count(), BROADCAST_IDS), "doc_id", "left_anti").select(*docs.columns)
+    once = kept.join(again, "doc_id", "left_anti").select(*docs.columns)
+    return once.union(kept.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"]))
 
 
 ORACLE_SQL = r"""
