@@ -28,6 +28,10 @@ HOT_STORE_TYPES = {
 # Text types share one place in the widening order.
 TEXT_TYPES = ["VARCHAR", "CHAR", "STRING"]
 
+# FLOAT has 24 bits for digits: with any of these only DOUBLE holds both. DOUBLE
+# in turn rounds BIGINT values beyond 2^53, as no wider number type is used.
+WIDER_THAN_FLOAT_DIGITS = ["INT", "BIGINT"]
+
 MISSING = "MISSING"
 
 
@@ -104,19 +108,30 @@ def widened(type_names: Iterable[str]) -> str:
         return present[0]
     present = ["VARCHAR" if t.split("(")[0] in TEXT_TYPES else t for t in present]
     if all(t in WIDENING_ORDER for t in present):
-        return max(present, key=WIDENING_ORDER.index)
+        widest = max(present, key=WIDENING_ORDER.index)
+        return "DOUBLE" if widest == "FLOAT" and any(t in WIDER_THAN_FLOAT_DIGITS for t in present) else widest
     return "VARCHAR"
 
 
-def widening_rank(type_name: ColumnLike) -> Column:
-    """Place of a type name in the widening order; NULL for a missing column."""
-    base = F.upper(F.trim(F.substring_index(as_column(type_name), ":", 1)))
-    base = F.when(F.regexp_extract(base, r"^(\w+)", 1).isin(TEXT_TYPES), F.lit("VARCHAR")).otherwise(base)
-    place = F.array_position(F.array(*[F.lit(t) for t in WIDENING_ORDER]), base)
-    outside = F.when(base == MISSING, F.lit(None)).otherwise(F.lit(len(WIDENING_ORDER)))
-    return F.when(place > 0, place).otherwise(outside).cast("int")
-
-
-def rank_type(rank: ColumnLike) -> Column:
-    """Type name at a place of the widening order."""
-    return F.get(F.array(*[F.lit(t) for t in WIDENING_ORDER]), as_column(rank) - 1)
+def _widened_column(types: Column) -> Column:
+    """Column form for an array of distinct type names without sizes or missing ones."""
+    text = lambda t: F.regexp_extract(t, r"^(\w+)", 1).isin(TEXT_TYPES)
+    plain = F.transform(types, lambda t: F.when(text(t), F.lit("VARCHAR")).otherwise(t))
+    order = F.array(*[F.lit(t) for t in WIDENING_ORDER])
+    places = F.transform(plain, lambda t: F.array_position(order, t).cast("int"))
+    widest = F.get(order, F.array_max(places) - 1)
+    digits = F.arrays_overlap(plain, F.array(*[F.lit(t) for t in WIDER_THAN_FLOAT_DIGITS]))
+    number = F.when((widest == "FLOAT") & digits, F.lit("DOUBLE")).otherwise(widest)
+    mixed = F.when(F.array_contains(places, 0), F.lit("VARCHAR")).otherwise(number)
+    return F.when(F.size(types) == 1, types[0]).otherwise(mixed)
+
+
+def widened_column(type_names: ColumnLike) -> Column:
+    """:func:`widened` of an array column of type names."""
+    names = F.transform(as_column(type_names), lambda t: F.upper(F.trim(F.substring_index(t, ":", 1))))
+    present = F.array_distinct(F.filter(names, lambda t: t != MISSING))
+    element = lambda t: F.regexp_extract(t, r"^ARRAY<(.*)>$", 1)
+    of_arrays = F.forall(present, lambda t: t.startswith("ARRAY<"))
+    elements = _widened_column(F.array_distinct(F.transform(present, element)))
+    whole = F.when(of_arrays, F.concat(F.lit("ARRAY<"), elements, F.lit(">"))).otherwise(_widened_column(present))
+    return F.when(F.size(present) == 0, F.lit(MISSING)).otherwise(whole)

@@ -36,7 +36,7 @@ def _order(order_by: Sequence[str]) -> Column:
 def _aggregate(agg: str, value: Column, order: Column | None) -> Column:
     if agg == "sum":
         return F.sum(value)
-    return F.min_by(value, order)
+    return F.min_by(value, F.when(value.isNotNull(), order))
 
 
 def to_entity(
@@ -51,7 +51,8 @@ def to_entity(
     """One row per key, one column per counter.
 
     Where several rows give a counter for one key, ``first`` takes the one that
-    comes first by ``order_by`` and ``sum`` adds them up. Both are combined
+    comes first by ``order_by`` and has a value, as in :func:`merge_rows`, and
+    ``sum`` adds them up. Both are combined
     before the shuffle, so a key with very many rows costs one small row per
     task.
     """
@@ -113,7 +114,7 @@ def merge_rows(
 
     def merged(name: str) -> Column:
         value = F.col(name)
-        return _aggregate(agg, value, F.when(value.isNotNull(), _order(order_by))).alias(name)
+        return _aggregate(agg, value, _order(order_by)).alias(name)
 
     return wide.groupBy(*keys).agg(*[merged(name) for name in counters])
 
@@ -165,7 +166,13 @@ def write_entities(
 def bin_columns(
     df: DataFrame, kept: Sequence[str], values: str, bins: int = VECTOR_BINS, bin_type: str = "string"
 ) -> DataFrame:
-    """An array column spread over ``bins`` columns; missing places are NULL."""
+    """An array column spread over ``bins`` columns; missing places are NULL.
+
+    A longer array fails the query, as its last values would have no column;
+    :func:`vector_long` takes any length.
+    """
+    fits = F.coalesce(F.size(values), F.lit(0)) <= bins
+    df = df.filter(F.assert_true(fits, f"an array has more than {bins} values").isNull())
 
     def at(i: int) -> Column:
         value = F.get(F.col(values), F.lit(i))

@@ -16,8 +16,6 @@ FLOWS, ACTIONS = "Flows", "Actions"
 RULE_GROUPS, RULES = "DESIGNRULES", "Rules"
 CONFIG_PREFIX = "CONFIG_"
 
-NO_REFERENCE_SALTS = 1024
-
 
 def entity_properties(rows: DataFrame, properties: Sequence[str], section: str | None) -> DataFrame:
     """One row per entity of a section with the named properties as columns.
@@ -236,7 +234,7 @@ def resolve_references(attributes: DataFrame, enums: DataFrame, structs: DataFra
     Columns ``member``, ``member_type`` (enum/struct) and ``nested_ref``, the
     enum or struct a struct member refers to in turn. Attributes without a
     reference, or with one that is not defined, keep one row of NULLs. Most have
-    none: a salt keeps those from meeting in one task.
+    none: those are unioned aside, without a shuffle.
     """
     of_enum = enums.select(
         F.lit("enum").alias("member_type"), F.col("enum_name").alias("ref"), "member", F.lit(None).cast("string").alias("nested_ref")
@@ -249,10 +247,9 @@ def resolve_references(attributes: DataFrame, enums: DataFrame, structs: DataFra
     )
     reference = F.when(F.col("enum_ref").isNotNull(), F.lit("enum")).when(F.col("struct_ref").isNotNull(), F.lit("struct"))
     referring = attributes.withColumn("member_type", reference).withColumn("ref", F.coalesce("enum_ref", "struct_ref"))
-    spread = F.pmod(F.xxhash64(*attributes.columns), F.lit(NO_REFERENCE_SALTS))
-    salted = referring.withColumn("_salt", F.when(F.col("ref").isNull(), spread).otherwise(F.lit(0)))
-    members = of_enum.unionByName(of_struct).withColumn("_salt", F.lit(0).cast("bigint"))
-    return salted.join(members, ["member_type", "ref", "_salt"], "left").drop("_salt")
+    members = of_enum.unionByName(of_struct)
+    found = referring.filter(F.col("ref").isNotNull()).join(members, ["member_type", "ref"], "left")
+    return found.unionByName(referring.filter(F.col("ref").isNull()), allowMissingColumns=True)
 
 
 def pack_header(header: DataFrame, package: str, base: str) -> DataFrame:

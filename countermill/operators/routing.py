@@ -17,7 +17,8 @@ from countermill.schemas import TABLE_COLUMN_LIMIT
 # are matched with equi joins, same result.
 RULES_IN_PLAN = 500
 
-# Properties a rule may name, and the columns that hold them.
+# Properties every attribute has, and the columns that hold them. Rules may name
+# any other one that is a key of the map columns below.
 OBJECT_PROPERTIES = {"name": "mo_name"}
 ATTRIBUTE_PROPERTIES = {
     "name": "name",
@@ -27,18 +28,30 @@ ATTRIBUTE_PROPERTIES = {
     "description": "description",
 }
 
+OBJECT_MAP, ATTRIBUTE_MAP = "mo_properties", "properties"
+
 TABLE_KEYS = ["target_package_name", "table"]
 
 
-def match_rule(rule: Row, properties: Mapping[str, str]) -> Column:
-    """Condition of one rule: ALL, equals or startswith on a property."""
+def _property(argument: str, properties: Mapping[str, str], more: str, columns: Sequence[str]) -> Column | None:
+    """Value of a property, "" where a row has none; None without a column that could hold it."""
+    if argument in properties:
+        return F.coalesce(F.col(properties[argument]), F.lit(""))
+    if more in columns:
+        return F.coalesce(F.try_element_at(F.col(more), F.lit(argument)), F.lit(""))
+    return None
+
+
+def match_rule(rule: Row, properties: Mapping[str, str], more: str = "", columns: Sequence[str] = ()) -> Column:
+    """Condition of one rule: ALL, equals or startswith on a property; a NULL value is ""."""
     if rule["match_type"] == "ALL":
         return F.lit(True)
-    source = properties.get(rule["match_argument"])
-    if source is None or rule["match_type"] not in ("equals", "startswith"):
+    if rule["match_type"] not in ("equals", "startswith"):
         return F.lit(False)
-    value = F.coalesce(F.col(source), F.lit(""))
-    wanted = F.lit(rule["match_value"])
+    value = _property(rule["match_argument"] or "", properties, more, columns)
+    if value is None:
+        return F.lit(False)
+    wanted = F.lit(rule["match_value"] or "")
     return value == wanted if rule["match_type"] == "equals" else value.startswith(wanted)
 
 
@@ -65,8 +78,11 @@ def _routes_in_plan(attributes: DataFrame, rules: Sequence[Row], root: str) -> D
             for c in ordered
             if c["parent_rule_name"] == rule["rule_name"] and c["target_package_name"] == rule["target_package_name"]
         ]
-        of_object = match_rule(rule, OBJECT_PROPERTIES)
-        cases = [(of_object & match_rule(c, ATTRIBUTE_PROPERTIES), route(rule, c)) for c in children]
+        of_object = match_rule(rule, OBJECT_PROPERTIES, OBJECT_MAP, attributes.columns)
+        cases = [
+            (of_object & match_rule(c, ATTRIBUTE_PROPERTIES, ATTRIBUTE_MAP, attributes.columns), route(rule, c))
+            for c in children
+        ]
         if cases:
             routes.append(reduce(lambda w, case: w.when(*case), cases[1:], F.when(*cases[0])))
     if not routes:
@@ -76,7 +92,7 @@ def _routes_in_plan(attributes: DataFrame, rules: Sequence[Row], root: str) -> D
     return routed.filter(F.col("table").isNotNull())
 
 
-def _probes(properties: Mapping[str, str], shapes: Sequence[Row]) -> Column:
+def _probes(properties: Mapping[str, str], more: str, columns: Sequence[str], shapes: Sequence[Row]) -> Column:
     """All that rules of the given shapes could say about a row.
 
     A shape is (match_type, match_argument, length of the value); a row is probed
@@ -88,8 +104,8 @@ def _probes(properties: Mapping[str, str], shapes: Sequence[Row]) -> Column:
 
     probes = {("ALL", "", 0): probe(F.lit("ALL"), F.lit(""), F.lit(""))}
     for kind, argument, length in shapes:
-        if argument in properties and kind in ("equals", "startswith"):
-            value = F.coalesce(F.col(properties[argument]), F.lit(""))
+        value = _property(argument, properties, more, columns)
+        if kind in ("equals", "startswith") and value is not None:
             if kind == "equals":
                 probes[kind, argument, 0] = probe(F.lit(kind), F.lit(argument), value)
             else:
@@ -114,7 +130,10 @@ def _routes_by_join(attributes: DataFrame, rules: DataFrame, root: str) -> DataF
     )
     probe = ["match_type", "match_argument", "match_value"]
     # As many shapes as there are properties and different lengths of rule values.
-    shapes = plain.select("match_type", "match_argument", F.length("match_value")).distinct().collect()
+    shape = F.col("match_type"), F.col("match_argument"), F.length("match_value")
+    is_object = F.col("parent_rule_name") == root
+    of_objects = plain.filter(is_object).select(*shape).distinct().collect()
+    of_attributes = plain.filter(~F.coalesce(is_object, F.lit(False))).select(*shape).distinct().collect()
     objects = plain.filter(F.col("parent_rule_name") == root).select(
         *probe, "target_package_name", F.col("rule_name").alias("object_rule"), F.col("target_name").alias("object_target")
     )
@@ -126,15 +145,22 @@ def _routes_by_join(attributes: DataFrame, rules: DataFrame, root: str) -> DataF
         "rule_name",
         F.col("target_name").alias("attribute_target"),
     )
-    by_object = attributes.select("*", F.inline_outer(_probes(OBJECT_PROPERTIES, shapes))).join(objects, probe).drop(*probe)
+    # Equal rows are kept apart by a number, so that each is routed for itself.
+    columns = attributes.columns
+    rows = attributes.select(F.monotonically_increasing_id().alias("_row"), "*")
+    object_probes = _probes(OBJECT_PROPERTIES, OBJECT_MAP, columns, of_objects)
+    by_object = rows.select("*", F.inline_outer(object_probes)).join(objects, probe).drop(*probe)
+    attribute_probes = _probes(ATTRIBUTE_PROPERTIES, ATTRIBUTE_MAP, columns, of_attributes)
     by_attribute = (
-        by_object.select("*", F.inline_outer(_probes(ATTRIBUTE_PROPERTIES, shapes)))
+        by_object.select("*", F.inline_outer(attribute_probes))
         .join(children, [*probe, "target_package_name", "object_rule"])
         .drop(*probe)
     )
+    best = F.struct("attribute_target", F.struct(*columns).alias("own"))
     first = (
-        by_attribute.groupBy(*attributes.columns, "target_package_name", "object_rule", "object_target")
-        .agg(F.min_by("attribute_target", F.struct("execution_order", "rule_name")).alias("attribute_target"))
+        by_attribute.groupBy("_row", "target_package_name", "object_rule", "object_target")
+        .agg(F.min_by(best, F.struct("execution_order", "rule_name")).alias("best"))
+        .select("target_package_name", "object_target", "best.attribute_target", "best.own.*")
     )
     return first.select(
         *attributes.columns,

@@ -9,9 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-NULL_KEY_SALTS = 1024
-
-
 def _has_null(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
 
@@ -23,16 +20,16 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 def stitch_splits(splits: Sequence[DataFrame], keys: Sequence[str], unique_keys: bool = False) -> DataFrame:
     """Full outer join of the splits on ``keys``.
 
-    Rows with a NULL key match nothing; a salt spreads them, as all of them
-    would otherwise meet in one task. With ``unique_keys`` (no split repeats a
+    Rows with a NULL key match nothing and are unioned aside, without a shuffle.
+    With ``unique_keys`` (no split repeats a
     key) the splits are unioned and aggregated instead: one shuffle for any
     number of splits, combined before it. A key that is repeated after all fails
     the query.
     """
     columns = list(dict.fromkeys(c for split in splits for c in split.columns))
+    loose = [split.filter(_has_null(keys)) for split in splits]
+    keyed = [split.filter(~_has_null(keys)) for split in splits]
     if unique_keys:
-        loose = [split.filter(_has_null(keys)) for split in splits]
-        keyed = [split.filter(~_has_null(keys)) for split in splits]
         values = [c for c in columns if c not in keys]
         flags = [f"_rows{i}" for i in range(len(keyed))]
         marked = [split.withColumn(flag, F.lit(1)) for split, flag in zip(keyed, flags)]
@@ -43,12 +40,8 @@ def stitch_splits(splits: Sequence[DataFrame], keys: Sequence[str], unique_keys:
         joined = merged.filter(F.assert_true(F.col("_repeats") <= 1, "a split repeats a key").isNull()).drop("_repeats")
         return _union([joined, *loose]).select(*columns)
 
-    def salted(split: DataFrame) -> DataFrame:
-        spread = F.pmod(F.xxhash64(*split.columns), F.lit(NULL_KEY_SALTS))
-        return split.withColumn("_salt", F.when(_has_null(keys), spread).otherwise(F.lit(0)))
-
-    joined = reduce(lambda a, b: a.join(b, [*keys, "_salt"], "full_outer"), map(salted, splits))
-    return joined.select(*columns)
+    joined = reduce(lambda a, b: a.join(b, list(keys), "full_outer"), keyed)
+    return _union([joined, *loose]).select(*columns)
 
 
 def natural_full_join(tables: Sequence[DataFrame]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from countermill.functions.types import MISSING, catalog_type, rank_type, spark_type, widened, widening_rank
+from countermill.functions.types import MISSING, catalog_type, spark_type, widened, widened_column
 
 
 def view_types(versions: Mapping[str, DataFrame], columns: Sequence[str] | None = None) -> dict[str, T.DataType]:
@@ -92,8 +92,10 @@ def widened_columns(columns: DataFrame) -> DataFrame:
     Input: (entity, version, column, type). A column missing everywhere keeps
     the type name MISSING.
     """
-    rank = F.max(widening_rank("type"))
-    return columns.groupBy("entity", "column").agg(F.coalesce(rank_type(rank), F.lit(MISSING)).alias("type"))
+    # As many distinct types as a column ever had.
+    return columns.groupBy("entity", "column").agg(F.collect_set("type").alias("types")).select(
+        "entity", "column", widened_column("types").alias("type")
+    )
 
 
 def usable_versions(columns: DataFrame) -> DataFrame:

@@ -201,6 +201,14 @@ FROM ({DOC}) GROUP BY date_id, measurement, event_type
 ORACLE: dict[str, str] = {
     "q_mdc_files": _COUNTED,
     "q_stream_mdc": _COUNTED,
+    "q_mdc_parts": f"""
+        SELECT nedn, count(*) AS blocks, min(m) AS first_mts, max(m) AS last_mts
+        FROM (SELECT DISTINCT nedn, strftime(start, '%Y%m%d%H%M%S') || 'Z' AS m FROM ({LONG})) GROUP BY nedn
+    """,
+    "q_long_batches": f"""
+        SELECT date_id, measurement, event_type AS counter_name, count(*) AS rows, CAST(sum(v) AS BIGINT) AS total
+        FROM ({LONG}) GROUP BY date_id, measurement, event_type
+    """,
     "q_counter_pivot": PIVOT,
     "q_counter_pivot_native": PIVOT,
     "q_counter_pivot_sum": f"SELECT date_id, node, {SUMS} FROM ({DOC}) GROUP BY date_id, node",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -17,7 +16,8 @@ from countermill.functions import types as TY
 from countermill.operators import ageing, catalog, entities, files, flatten, kpi, log_records, model_diff, models
 from countermill.operators import partitions, profiles, replication, routing, splits, versions
 from countermill.plans import standins as S
-from countermill.sinks.stores import write_cold
+from countermill.session import shared_folder
+from countermill.sinks.stores import write_cold, write_long
 from countermill.sources import counter_files as CF
 from countermill.sources.node_models import instance_attributes
 from countermill.sources.stores import backlog_older_than
@@ -157,8 +157,7 @@ def path_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _written_documents(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """(scratch folder, folder with the documents as files) in the shared folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    scratch = f"{base}/countermill-{uuid.uuid4().hex}"
+    scratch = f"{shared_folder(spark)}/countermill-{uuid.uuid4().hex}"
     records = CF.parse_mdc_text(S.mdc_documents(spark, sf_dir), "value", "file").select("mfh", "md")
     records.write.format("xml").option("rowTag", "mdc").option("rootTag", "files").save(f"{scratch}/in")
     return scratch, f"{scratch}/in"
@@ -176,6 +175,26 @@ def mdc_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counted(flatten.flatten_mdc(CF.scan_mdc(spark, _written_documents(spark, sf_dir)[1])))
 
 
+@query
+def mdc_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files, several documents each, split at block ends and parsed in parallel."""
+    parts = CF.scan_mdc_parts(spark, _written_documents(spark, sf_dir)[1])
+    return parts.groupBy("nedn").agg(F.count(F.lit(1)).alias("blocks"), F.min("info.mts").alias("first_mts"), F.max("info.mts").alias("last_mts"))
+
+
+@query
+def long_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of each day written in two batches, the second one twice, then counted."""
+    path = f"{shared_folder(spark)}/countermill-{uuid.uuid4().hex}"
+    rows = S.pm_long(spark, sf_dir).select("measurement", "date_id", "counter_name", "counter_value", "event_id")
+    odd = F.col("event_id") % 2 == 1
+    write_long(rows.filter(~odd), path, "even")
+    for _ in range(2):
+        write_long(rows.filter(odd), path, "odd")
+    schema = "counter_name STRING, counter_value BIGINT, event_id BIGINT, batch_id STRING, measurement STRING, date_id STRING"
+    return _counted(spark.read.schema(schema).parquet(path))
+
+
 @query
 def stream_mdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The files as a stream into a partitioned long table, counted from there."""
@@ -189,8 +208,7 @@ def stream_mdc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a file stream, written per batch, then counted from what was written."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    out = f"{base}/countermill-{uuid.uuid4().hex}"
+    out = f"{shared_folder(spark)}/countermill-{uuid.uuid4().hex}"
     schema = S.table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
@@ -403,7 +421,7 @@ def merge_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def array_posexplode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A version with an array column and one without it."""
     embeddings = S.table(spark, sf_dir, "embeddings")
-    known = F.col("label") < 4
+    known = F.coalesce(F.col("label") < 4, F.lit(False))
     return versions.merge_versions(
         {"v1": embeddings.filter(known), "v2": embeddings.filter(~known).select("vec_id", "label")}
     )

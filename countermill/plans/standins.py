@@ -50,36 +50,31 @@ def pm_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per user and period the counters with their first and last value, names in order.
+    """Per user and period the counter names in order, and every event in its order.
 
-    Events are aggregated per counter before they are collected, so a period has
-    at most one entry per event type however many events it holds.
+    A document holds all that its user did in a period, so this is as long as
+    the document.
     """
     events = table(spark, sf_dir, "events").withColumn("start", F.window("ts", "15 minutes")["start"])
-    value = scaled()
-    per_counter = events.groupBy("user_id", "start", "event_type").agg(
-        F.min_by(value, "event_id").alias("first"),
-        F.max_by(value, "event_id").alias("last"),
-        F.count(F.lit(1)).alias("times"),
+    entry = F.struct("event_id", F.col("event_type").alias("name"), scaled().alias("value"))
+    return events.groupBy("user_id", "start").agg(
+        F.array_sort(F.collect_set("event_type")).alias("names"), F.array_sort(F.collect_list(entry)).alias("entries")
     )
-    entry = F.struct(F.col("event_type").alias("name"), "first", "last", "times")
-    return per_counter.groupBy("user_id", "start").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
 
 
 def _results(index_base: int) -> Column:
-    """Result elements: every first value of a repeated counter, then the last value of all."""
+    """Result elements, one for each event; a repeated counter has several."""
 
-    def element(i: Column, value: Column) -> Column:
-        return F.format_string('<r p="%d">%d</r>', i + F.lit(index_base), value)
+    def element(entry: Column) -> Column:
+        place = F.array_position("names", entry["name"]).cast("int") - 1 + index_base
+        return F.format_string('<r p="%d">%d</r>', place, entry["value"])
 
-    repeated = F.transform("entries", lambda e, i: F.when(e["times"] > 1, element(i, e["first"])))
-    final = F.transform("entries", lambda e, i: element(i, e["last"]))
-    return F.array_join(F.concat(F.array_compact(repeated), final), "")
+    return F.array_join(F.transform("entries", element), "")
 
 
 def mdc_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(file, value): one ``mdc`` document per user and period."""
-    names = F.array_join(F.transform("entries", lambda e: F.concat(F.lit("<mt>"), e["name"], F.lit("</mt>"))), "")
+    names = F.array_join(F.transform("names", lambda n: F.concat(F.lit("<mt>"), n, F.lit("</mt>"))), "")
     document = F.concat(
         F.lit("<mdc><mfh><sn>SubNetwork=S,MeContext="),
         F.col("user_id"),
@@ -100,7 +95,7 @@ def mdc_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def measdata_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(file, value): one ``measData`` document per user and period, counted from 1."""
     names = F.array_join(
-        F.transform("entries", lambda e, i: F.format_string('<measType p="%d">%s</measType>', i + 1, e["name"])), ""
+        F.transform("names", lambda n, i: F.format_string('<measType p="%d">%s</measType>', i + 1, n)), ""
     )
     document = F.concat(
         F.lit('<measData><managedElement localDn="'),

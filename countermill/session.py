@@ -24,14 +24,26 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the shared folder, so lost executors cost no lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is
-    unset (unit tests) a temporary one is used.
+    Where that is unset a temporary one is made on a local master (unit tests);
+    on a cluster it would hold only part of what is written, so that fails.
     """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="countermill-shared-")
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` in the shared folder, so lost executors cost no lineage."""
     spark = df.sparkSession
+    folder = shared_folder(spark)
     if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="countermill-ckpt-"))
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

@@ -73,7 +73,8 @@ def write_cold(df: DataFrame, path: str, partition_columns: Sequence[str] = ("da
     """Write partitioned Parquet.
 
     By default the partitions present in ``df`` are replaced, so a rerun after a
-    failure leaves each row once; ``append`` adds files instead.
+    failure leaves each row once, but so does a second part of a partition: ``df``
+    must hold its partitions whole. ``append`` adds files instead.
     """
     writer = df.write.partitionBy(*partition_columns)
     if append:
@@ -82,15 +83,16 @@ def write_cold(df: DataFrame, path: str, partition_columns: Sequence[str] = ("da
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def write_long(df: DataFrame, path: str) -> None:
-    """All entities of a batch in one pass: long rows by measurement and day.
+def write_long(df: DataFrame, path: str, batch: str) -> None:
+    """All entities of a batch in one pass: long rows by batch, measurement and day.
 
     One job serves any number of entities; clustering by the partition columns
     first keeps the number of files per folder small, and AQE splits the
-    clusters that are too large for one task.
+    clusters that are too large for one task. A day comes in many batches:
+    writing a batch again replaces what it wrote before, and nothing else.
     """
-    clustered = df.hint("rebalance", "measurement", "date_id")
-    write_cold(clustered, path, ["measurement", "date_id"])
+    clustered = df.withColumn("batch_id", F.lit(batch)).hint("rebalance", "measurement", "date_id")
+    write_cold(clustered, path, ["batch_id", "measurement", "date_id"])
 
 
 def delete_by_key(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from countermill.functions.text import unescape_xml
+from countermill.operators.ordering import carry_forward
 from countermill.schemas import MDC_INFO, MDC_RECORD, MDC_RECORD_FULL, MEAS_DATA_RECORD
 
 # Files per micro-batch of the stream: bounds the work of one trigger.
@@ -16,12 +17,11 @@ MAX_FILES_PER_TRIGGER = 3000
 
 CORRUPT = "_corrupt_record"
 
-# Headers are broadcast for up to this many files: one short row per file.
-BROADCAST_FILES = 50_000
-
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.xml") -> DataFrame:
-    """Paths of all files below ``folder`` whose name matches; contents are not read.
+    """Paths of all files with content below ``folder`` whose name matches; contents are not read.
+
+    Spark's readers pass over files of zero bytes, so these are not listed.
 
     The path is written as in the ``source_file`` of a scan, so both join.
     """
@@ -74,25 +74,24 @@ def scan_mdc_parts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
 
     For very large documents. The XML source reads a document as one row in one
     task; here a file is split like any text file, at the end tags ``</mi>``, and
-    every block is parsed by itself. The header is one row per file and joined
-    back. Needs ``<mi>`` tags without attributes.
+    every block is parsed by itself. A header holds for the blocks behind it in the
+    file, up to the next one, as a file may have several documents. Needs ``<mi>`` tags without attributes.
     """
     text = spark.read.text(paths if isinstance(paths, str) else list(paths), lineSep="</mi>")
     parts = _with_file(text).select(
         "source_file",
-        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id")).alias("part_pos"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos"),
         "value",
     )
     sender = F.regexp_extract("value", r"<mfh>[\s\S]*?<sn>([^<]*)</sn>", 1)
-    headers = parts.filter(F.col("value").contains("<mfh>")).select("source_file", unescape_xml(sender).alias("nedn"))
+    header = F.when(F.col("value").contains("<mfh>"), unescape_xml(sender))
+    parts = carry_forward(parts, header, "nedn").withColumn("part_pos", F.struct("block", F.col("pos").alias("id")))
     block = F.concat(F.lit("<mi>"), F.substring_index("value", "<mi>", -1), F.lit("</mi>"))
     info = F.from_xml(block, MDC_INFO, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
     # Parsed once, as in _parse().
-    blocks = parts.filter(F.col("value").contains("<mi>")).select("source_file", "part_pos", F.inline(F.array(info)))
-    blocks = blocks.select("source_file", "part_pos", F.struct("mts", "gp", "mt", "mv").alias("info"))
-    if len(text.inputFiles()) <= BROADCAST_FILES:
-        headers = F.broadcast(headers)
-    return blocks.join(headers, "source_file", "left")
+    blocks = parts.filter(F.col("value").contains("<mi>")).select("source_file", "nedn", "part_pos", F.inline(F.array(info)))
+    return blocks.select("source_file", "part_pos", F.struct("mts", "gp", "mt", "mv").alias("info"), "nedn")
 
 
 def scan_measdata(

@@ -197,23 +197,38 @@ def _walk(text: str) -> Iterator[tuple]:
                 pending.append((child, path, section_name, f"{path}/{section_name}:{child.get('name')}", place))
 
 
-def model_rows(documents: DataFrame, text: str = "value") -> DataFrame:
-    """Entity-tree documents, one per row, as property rows of any depth.
-
-    The tree is recursive, which no declared schema can express; each document
-    is walked by itself inside a task.
-    """
+def _read_rows(documents: DataFrame, text: str) -> DataFrame:
+    """Rows of all documents; one that cannot be read gives one row with ``error``."""
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for document in batch[text]:
-                rows = pd.DataFrame(_walk(document), columns=MODEL_COLUMNS, dtype=object)
+                try:
+                    found = [(*row, None) for row in _walk(document or "")]
+                except ElementTree.ParseError as error:
+                    found = [(None, None, None, None, None, 0, 0, None, document, str(error))]
+                rows = pd.DataFrame(found, columns=[*MODEL_COLUMNS, "error"], dtype=object)
                 yield rows.astype({"entity_pos": "int32", "prop_pos": "int32"})
 
-    rows = documents.select(text).mapInPandas(walk, MODEL_ROWS)
+    return documents.select(text).mapInPandas(walk, f"{MODEL_ROWS}, error STRING")
+
+
+def model_rows(documents: DataFrame, text: str = "value") -> DataFrame:
+    """Entity-tree documents, one per row, as property rows of any depth.
+
+    The tree is recursive, which no declared schema can express; each document
+    is walked by itself inside a task. Documents that cannot be read give no
+    rows here, see :func:`unreadable_models`.
+    """
+    rows = _read_rows(documents, text).filter("error is null").drop("error")
     return rows.withColumn("value", F.when(F.col("prop").isNotNull(), unescape_xml("value")))
 
 
+def unreadable_models(documents: DataFrame, text: str = "value") -> DataFrame:
+    """(document, error) of entity-tree documents that are no well-formed XML, NULL ones too."""
+    return _read_rows(documents, text).filter("error is not null").select(F.col("value").alias("document"), "error")
+
+
 def scan_model_rows(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Entity-tree files as property rows."""
     return model_rows(spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=True))

@@ -49,7 +49,7 @@ def read_hash_sliced(
 
 def hash_sliced(df: DataFrame, key: str, slices: int = HASH_SLICES) -> DataFrame:
     """A DataFrame laid out in ``slices`` partitions by key hash."""
-    return df.repartition(slices, hash_slice(key, slices))
+    return df.repartition(slices, F.col(key))
 
 
 def read_query(spark: SparkSession, options: Mapping[str, str], query: str) -> DataFrame:

@@ -105,9 +105,16 @@ def entity_writer(
     return handle
 
 
-def file_states(records: DataFrame) -> DataFrame:
-    """(path, status) of the files of a batch: Dropped when any record was unreadable."""
+def file_states(records: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """(path, status) of the files of a batch: Dropped when any record was unreadable.
+
+    ``files`` (path) lists what the batch was given; a file of it without any
+    record, empty or of another format, is Dropped too.
+    """
     bad = unreadable_files(records).select("path", F.lit(1).alias("bad"))
     good = parsed_files(records).select("path", F.lit(0).alias("bad"))
-    states = good.unionByName(bad).groupBy("path").agg(F.max("bad").alias("bad"))
+    found = good.unionByName(bad)
+    if files is not None:
+        found = found.unionByName(files.select("path", F.lit(None).cast("int").alias("bad")))
+    states = found.groupBy("path").agg(F.coalesce(F.max("bad"), F.lit(1)).alias("bad"))
     return states.select("path", F.when(F.col("bad") == 1, DROPPED).otherwise(PARSED).alias("status"))
