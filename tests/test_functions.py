@@ -142,7 +142,7 @@ def test_type_names(spark):
     [
         (["INT", "BIGINT"], "BIGINT"),
         (["BIGINT", "INT", "MISSING"], "BIGINT"),
-        (["INT", "FLOAT"], "FLOAT"),
+        (["INT", "FLOAT"], "DOUBLE"),
         (["BIGINT", "DOUBLE"], "DOUBLE"),
         (["DOUBLE", "STRING"], "VARCHAR"),
         (["ARRAY<INT>:4", "ARRAY<DOUBLE>:8"], "ARRAY<DOUBLE>"),
