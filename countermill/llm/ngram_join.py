@@ -4,8 +4,11 @@
 2. Nodes meet where they share an n-gram of their prefixes. Prefixes hold the rarest
    n-grams (a bounded list of the most frequent ones only fixes the order, which any order
    may do without losing a pair); a single-node n-gram is dropped while its rows stream by.
-3. Each node of an n-gram is first compared with two others only. What that links is one
-   class, whose inner pairs need no comparison any more.
+   Prefixes are ``SHARED - 1`` longer than needed, so that a pair must share ``SHARED`` of
+   their n-grams (or what its sets need, if fewer).
+3. Each node of an n-gram is first compared with one hub of it, then, where classes differ
+   still, with hubs by other rankings. What is linked is one class, whose inner pairs need no
+   comparison any more.
 4. What then still meets from different classes is compared in size-banded tiles: rows of
    one n-gram and size band, split into blocks of ``BLOCK_ROWS``.
 5. Every comparison first takes the bitmaps: their differing bits bound the overlap from
@@ -34,13 +37,16 @@ from countermill.llm.wordhash import mix, ngram_sets
 
 N = 5
 PERCENT = 75
+SHARED = 4
+#: Numbers of hub rankings in the rounds before all remaining pairs are taken.
+HUB_ROUNDS = (1, 8)
 #: The most frequent n-grams whose counts order the prefixes: 16 bytes each.
 ORDERING_NGRAMS = 1 << 17
 #: N-grams gathered in a task before their counts are passed on.
-COUNT_ROWS = 1 << 21
+COUNT_ROWS = 1 << 20
 #: An n-gram with more rows is dealt to several tasks.
 HOT_ROWS = 100_000
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 256
 #: Document ids that are sent to all executors, at most; more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 _FLUSH_PAIRS = 20_000
@@ -118,7 +124,7 @@ def _prefixes(n: int, percent: int, order):
                 if node in seen:
                     continue
                 seen.add(node)
-                take = len(found) + (-percent * len(found)) // 100 + 1
+                take = min(len(found), len(found) + (-percent * len(found)) // 100 + SHARED)
                 if len(frequent):
                     at = np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)
                     count = np.where(frequent[at] == found, counts[at], 0)
@@ -222,7 +228,7 @@ def may_reach(bits_a: list[bytes], bits_b: list[bytes], a: np.ndarray, b: np.nda
     return out
 
 
-_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("size", pa.int32())])
 
 
 def _prune(percent: int):
@@ -256,41 +262,50 @@ def _tile_pairs(percent: int):
     0 of a diagonal tile, else between blocks 0 and 1; a guest (row of the next smaller
     band) only meets own rows."""
 
+    def tile(rows: list[tuple], found: list[np.ndarray]) -> None:
+        _, node, size, group, bits, part, guest, diagonal = zip(*rows)
+        node, size, group = (np.array(x, dtype=np.int64) for x in (node, size, group))
+        part, guest = np.array(part), np.array(guest)
+        width = min(map(len, bits))
+        maps = np.stack([np.bitwise_or.reduce(np.frombuffer(x, dtype=np.uint64).reshape(-1, width // 8)) for x in bits])
+        for i in range(len(rows) - 1):
+            fits = (group[i + 1 :] != group[i]) & ~(guest[i + 1 :] & guest[i])
+            if not diagonal[0]:
+                fits &= part[i + 1 :] != part[i]
+            small, large = np.minimum(size[i + 1 :], size[i]), np.maximum(size[i + 1 :], size[i])
+            j = np.flatnonzero(fits & (100 * small >= percent * large)) + i + 1
+            if len(j) == 0:
+                continue
+            both = size[j] + size[i]
+            differing = np.bitwise_count(maps[j] ^ maps[i]).sum(axis=1, dtype=np.int64)
+            j = j[(100 + percent) * ((both - differing) // 2) >= percent * both]
+            if len(j):
+                found.append(np.stack([np.full(len(j), node[i]), node[j], np.maximum(size[j], size[i])]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: list[tuple] = []
-
-        def tile(rows: list[tuple]) -> None:
-            for i, (_, node, size, group, bits, part, guest, diagonal) in enumerate(rows):
-                for _, node2, size2, group2, bits2, part2, guest2, _ in rows[i + 1 :]:
-                    if (
-                        group != group2
-                        and (diagonal or part != part2)
-                        and not (guest and guest2)
-                        and 100 * min(size, size2) >= percent * max(size, size2)
-                    ):
-                        pending.append((node, node2, size, size2, bits, bits2))
+        found: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
-            a, b, sa, sb, ba, bb = zip(*pending)
-            keep = may_reach(list(ba), list(bb), np.array(sa), np.array(sb), percent)
-            batch = pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=_PAIR)
-            pending.clear()
-            return batch.filter(pa.array(keep))
+            x, y, size = np.concatenate(found, axis=1)
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(size.astype(np.int32))], schema=_PAIR)
 
         held: list[tuple] = []
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
                 if held and held[0][0] != row[0]:
-                    tile(held)
+                    if len(held) > 1:
+                        tile(held, found)
                     held = []
+                    if len(found) >= _FLUSH_PAIRS:
+                        yield flush()
                 held.append(row)
-                if len(pending) >= _FLUSH_PAIRS:
-                    yield flush()
-        tile(held)
-        if pending:
+        if len(held) > 1:
+            tile(held, found)
+        if found:
             yield flush()
 
-    return run, "a bigint, b bigint"
+    return run, "a bigint, b bigint, size int"
 
 
 def _sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
@@ -312,25 +327,41 @@ def _verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, percen
     return cut(_sides(pairs, cut(grams), "grams").mapInArrow(*_exact(percent)))
 
 
-def _first_pairs(meets: DataFrame, percent: int) -> DataFrame:
-    """Each node of an n-gram with the smallest and the largest node there."""
-    ends = meets.groupBy("key").agg(
-        F.min(F.struct("node", "size")).alias("low"), F.max(F.struct("node", "size")).alias("high")
-    )
-    pairs = meets.join(ends.where("low.node < high.node"), "key").select(
-        F.col("node").alias("a"), "size", F.explode(F.array("low", "high")).alias("other")
+def _shared_enough(pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, the larger size) given once for each n-gram they meet at, that meet often
+    enough for the similarity."""
+    needed = F.least(F.lit(SHARED), F.ceil(F.col("size") * percent / 100))
+    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("k"), F.max("size").alias("size"))
+    return counted.where(F.col("k") >= needed).select("a", "b")
+
+
+def _hub_pairs(rows: DataFrame, rankings: int, percent: int) -> DataFrame:
+    """Nodes of an n-gram with its first node by one of the rankings, where classes differ."""
+    rank = F.xxhash64("node", F.pmod(F.xxhash64("key"), F.lit(rankings)), F.lit(rankings))
+    hubs = rows.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), "node", "size", "class")).alias("hub"))
+    larger = F.greatest("size", "hub.size")
+    pairs = rows.join(hubs, "key").where(
+        (F.col("class") != F.col("hub.class")) & (F.least("size", "hub.size") * 100 >= larger * percent)
     )
-    fits = F.least("size", "other.size") * 100 >= F.greatest("size", "other.size") * percent
-    return pairs.where(fits & (F.col("a") != F.col("other.node"))).select("a", F.col("other.node").alias("b")).distinct()
+    ends = F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")
+    # a hub meets a node at few of the n-grams they share: no count is asked for beyond two
+    counted = pairs.select(*ends, larger.alias("size")).groupBy("a", "b").agg(F.count("*").alias("k"), F.max("size").alias("size"))
+    return counted.where(F.col("k") >= F.least(F.lit(2), F.ceil(F.col("size") * percent / 100))).select("a", "b")
 
 
-def _rest_pairs(meets: DataFrame, classes: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different classes that still meet, pruned inside size-banded tiles."""
-    grouped = meets.join(classes, "node", "left").select(
+def _mixed(meets: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """The rows of n-grams at which nodes of different classes meet, with their class."""
+    if classes is None:
+        return meets.withColumn("class", F.col("node"))
+    grouped = meets.drop("class").join(classes, "node", "left").select(
         "key", "node", "size", F.coalesce("component", "node").alias("class")
     )
-    mixed = grouped.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
-    rows = grouped.join(mixed.select("key"), "key")
+    ends = grouped.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    return cut(grouped.join(ends.where("low < high").select("key"), "key"))
+
+
+def _rest_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different classes that still meet, pruned inside size-banded tiles."""
     band = F.floor(F.log(F.col("size").cast("double")) / float(np.log(100 / percent)) + 1e-9).cast("int")
     guests = F.explode(F.array(F.struct(F.lit(False).alias("guest"), band.alias("band")), F.struct(F.lit(True).alias("guest"), (band + 1).alias("band"))))
     rows = cut(rows.select("*", guests.alias("g")).select("key", "node", "size", "class", "g.guest", "g.band"))
@@ -357,7 +388,9 @@ def _rest_pairs(meets: DataFrame, classes: DataFrame, nodes: DataFrame, percent:
             (F.col("block") == F.col("partner")).alias("diagonal"),
         )
     )
-    return dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(*_tile_pairs(percent))
+    pairs = dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(*_tile_pairs(percent))
+    ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    return _shared_enough(pairs.select(*ends, "size"), percent)
 
 
 def linked_classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -390,16 +423,23 @@ def linked_classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataF
         .sortWithinPartitions("key", "node")
         .mapInArrow(_without_singles, "key bigint, node bigint, size int")
     )
-    first = _sides(_first_pairs(meets, percent), nodes, "size", "bits").mapInArrow(*_prune(percent))
-    links = _verify(first, nodes, texts, n, percent)
-    classes = cut(components(links))
-    more = _verify(_rest_pairs(meets, classes, nodes, percent), nodes, texts, n, percent)
-    stars = classes.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    classes = components(stars.union(more))
+    classes, rows = None, meets
+    for rankings in (*HUB_ROUNDS, 0):
+        rows = _mixed(rows, classes)
+        pairs = _hub_pairs(rows, rankings, percent) if rankings else _rest_pairs(rows, nodes, percent)
+        near = _sides(pairs, nodes, "size", "bits").mapInArrow(*_prune(percent)) if rankings else pairs
+        links = _verify(near, nodes, texts, n, percent)
+        if classes is not None:
+            links = links.union(classes.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        classes = cut(components(links))
     named = sets.drop("bits").join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    names = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    class_of = classes.join(nodes.select("node", "doc_id"), "node").union(
+        nodes.join(classes, "node", "left_anti").select("node", F.col("node").alias("component"), "doc_id")
+    )
+    names = cut(class_of.groupBy("component").agg(F.min("doc_id").alias("component_id")))
+    names = small_side(names, names.count(), BROADCAST_IDS)
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return named.join(names, "component").select("doc_id", "n_shingles", own.alias("component_id"))
+    return named.join(names, "component", "left").select("doc_id", "n_shingles", own.alias("component_id"))
 
 
 def one_of_each_class(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
