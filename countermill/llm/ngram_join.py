@@ -349,15 +349,25 @@ def _hub_pairs(rows: DataFrame, rankings: int, percent: int) -> DataFrame:
     return counted.where(F.col("k") >= F.least(F.lit(2), F.ceil(F.col("size") * percent / 100))).select("a", "b")
 
 
-def _mixed(meets: DataFrame, classes: DataFrame | None) -> DataFrame:
-    """The rows of n-grams at which nodes of different classes meet, with their class."""
+def _mixed(meets: DataFrame, classes: DataFrame | None, percent: int) -> DataFrame:
+    """The rows of n-grams at which nodes of different classes meet, with their class.
+
+    A node that meets others at fewer n-grams than any pair must share has no link left and
+    goes, which is repeated once, as its n-grams may then hold one class only.
+    """
     if classes is None:
-        return meets.withColumn("class", F.col("node"))
-    grouped = meets.drop("class").join(classes, "node", "left").select(
-        "key", "node", "size", F.coalesce("component", "node").alias("class")
-    )
-    ends = grouped.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    return cut(grouped.join(ends.where("low < high").select("key"), "key"))
+        rows = meets.withColumn("class", F.col("node"))
+    else:
+        rows = meets.drop("class").join(classes, "node", "left").select(
+            "key", "node", "size", F.coalesce("component", "node").alias("class")
+        )
+    for _ in range(2):
+        ends = rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+        rows = cut(rows.join(ends.where("low < high").select("key"), "key"))
+        counted = rows.groupBy("node").agg(F.count("*").alias("k"), F.max("size").alias("size"))
+        needed = F.least(F.lit(SHARED), F.ceil(F.col("size") * percent / 100))
+        rows = rows.join(counted.where(F.col("k") >= needed).select("node"), "node")
+    return cut(rows)
 
 
 def _rest_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -425,7 +435,7 @@ def linked_classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataF
     )
     classes, rows = None, meets
     for rankings in (*HUB_ROUNDS, 0):
-        rows = _mixed(rows, classes)
+        rows = _mixed(rows, classes, percent)
         pairs = _hub_pairs(rows, rankings, percent) if rankings else _rest_pairs(rows, nodes, percent)
         near = _sides(pairs, nodes, "size", "bits").mapInArrow(*_prune(percent)) if rankings else pairs
         links = _verify(near, nodes, texts, n, percent)
