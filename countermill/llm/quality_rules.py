@@ -125,7 +125,12 @@ def judge(docs: DataFrame) -> DataFrame:
         "base_failed", (n < MIN_WORDS) | (F.col("n_repeat_words") * 100 > n * MAX_REPEAT_PERCENT)
     )
     enough = F.col("kept_chars") * 100 >= F.col("line_chars") * MIN_KEPT_PERCENT
-    return out.withColumn("kept", ~F.col("base_failed") & enough).drop("_words", "_lines", "_good", "_keys", "_places")
+    out = out.withColumn("kept", ~F.col("base_failed") & enough)
+    # The results leave through a generator, which no filter on them is pushed through: else
+    # the filter would take the expressions along, and split the text anew for every word.
+    return out.select(
+        *(c for c in docs.columns if c not in RESULTS), F.inline(F.array(F.struct(*(F.col(c) for c in RESULTS))))
+    )
 
 
 def clean(docs: DataFrame) -> DataFrame:
