@@ -64,6 +64,12 @@ def test_rules_edges(spark):
     assert "Python" not in plan and "Exchange" not in plan
 
 
+def test_a_filter_on_the_verdict_stays_above_it(spark):
+    judged = quality_rules.judge(edge_documents(spark)).where("kept").select("text")
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter (isnotnull(kept") < plan.index("Generate")
+
+
 WORDS = {
     "en": "the that with from this have which there their would about these other",
     "de": "der die und nicht auch sich nach eine einer wird noch über für",
