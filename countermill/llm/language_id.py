@@ -9,7 +9,9 @@
 4. Host: a prior by host, smoothed towards its domain, and that towards all rows.
 
 The last three are grouped aggregations, joined on their keys; hot hosts are combined before
-the shuffle. Languages are those declared often enough, ``MAX_LANGUAGES`` at most.
+the shuffle. Every value that ``MIN_ROWS`` rows declare is a language, whatever the size of the
+table. Trigram counts are a table keyed by language; ``BLOCK`` languages at a time are read from
+it, broadcast and scored.
 
 Defined results: a text without letters (null and empty ones too) has language ``und``,
 confidence 0 and is not kept, however declared; missing declaration, suffix or host is a
@@ -32,16 +34,20 @@ from countermill.llm.common import cut, small_side
 from countermill.llm.wordhash import slices, text_buffers
 
 BUCKETS = 1 << 16
-MAX_LANGUAGES = 64
-#: A declared language counts as one from so many rows on, or this share of all rows.
-MIN_ROWS = 20
-MIN_SHARE = 0.001
+#: Rows that must declare a language.
+MIN_ROWS = 5
+#: Languages scored together.
+BLOCK = 64
+#: Languages a task counts at a time, and scores it holds at a time.
+COUNTED_AT_ONCE = 128
+HELD_SCORES = 1 << 21
 #: Weight of the text's log-likelihood, as neighbouring trigrams say the same.
 TEMPER = 0.3
 #: Rows a host and a domain borrow from the level above.
 BORROWED = 20.0
 MIN_CONFIDENCE = 0.5
-BROADCAST_ROWS = 200_000
+#: Rows times languages of a broadcast side, at most.
+BROADCAST_ROWS = 1_000_000
 
 RESULTS = ("language", "confidence", "kept")
 
@@ -71,110 +77,144 @@ def _padded(raw: np.ndarray, offsets: np.ndarray, begin: int, end: int) -> tuple
     return data, at + np.arange(len(at))
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Trigram counts by declared language, one row for each that a task has met."""
-    schema = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("n", pa.int64())])
-    held: dict[str, np.ndarray] = {}
+def _counts(languages):
+    """Trigram counts by number of the declared language; a task sends on the language it
+    has not met for longest when it holds ``COUNTED_AT_ONCE``."""
+    schema = pa.schema([("lang", pa.int32()), ("bucket", pa.int32()), ("n", pa.int64())])
 
-    def emptied() -> Iterator[pa.RecordBatch]:
+    def emptied(lang: int, counts: np.ndarray) -> pa.RecordBatch:
+        found = np.flatnonzero(counts)
+        columns = [np.full(len(found), lang, np.int32), found.astype(np.int32), counts[found]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = {lang: i for i, lang in enumerate(languages.value)}
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            langs = np.array([number.get(x, -1) for x in batch.column("lang").to_pylist()], dtype=np.int64)
+            offsets, raw = text_buffers(batch.column("text"))
+            for begin, end in slices(offsets):
+                data, at = _padded(raw, offsets, begin, end)
+                bucket, good = trigrams(data)
+                # rows of one language together
+                for i in np.argsort(langs[begin:end], kind="stable").tolist():
+                    lang = int(langs[begin + i])
+                    if lang < 0:
+                        continue
+                    part = slice(at[i], max(at[i], at[i + 1] - 1))
+                    counts = held.pop(lang, None)
+                    if counts is None:
+                        if len(held) >= COUNTED_AT_ONCE:
+                            oldest = next(iter(held))
+                            yield emptied(oldest, held.pop(oldest))
+                        counts = np.zeros(BUCKETS, dtype=np.int64)
+                    held[lang] = counts
+                    one = bucket[part][good[part]]
+                    if len(one) > BUCKETS // 16:
+                        counts += np.bincount(one, minlength=BUCKETS)
+                    else:
+                        np.add.at(counts, one, 1)
         for lang, counts in held.items():
-            found = np.flatnonzero(counts)
-            columns = [pa.array([lang] * len(found), pa.string()), pa.array(found.astype(np.int32)), pa.array(counts[found])]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
-        held.clear()
+            yield emptied(lang, counts)
 
-    for batch in batches:
-        langs = batch.column("lang").to_pylist()
-        offsets, raw = text_buffers(batch.column("text"))
-        for begin, end in slices(offsets):
-            data, at = _padded(raw, offsets, begin, end)
-            bucket, good = trigrams(data)
-            for i in range(end - begin):
-                lang = langs[begin + i]
-                if lang is None:
-                    continue
-                part = slice(at[i], max(at[i], at[i + 1] - 1))
-                if lang not in held:
-                    if len(held) >= 2 * MAX_LANGUAGES:
-                        yield from emptied()
-                    held[lang] = np.zeros(BUCKETS, dtype=np.int64)
-                one = bucket[part][good[part]]
-                if len(one) > BUCKETS // 16:
-                    held[lang] += np.bincount(one, minlength=BUCKETS)
-                else:
-                    np.add.at(held[lang], one, 1)
-    yield from emptied()
-
-
-def _scorer(model, columns: list[str]):
+    return run, "lang int, bucket int, n bigint"
+
+
+def _tables(blocks: list) -> Iterator[np.ndarray]:
+    """The broadcast blocks one after the other; of several only one stays in memory."""
+    for block in blocks:
+        yield block.value
+        if len(blocks) > 1 and getattr(block, "_path", None):
+            vars(block).pop("_value", None)  # read from its file again for the next rows
+
+
+def _scorer(blocks: list, n_languages: int, columns: list[str]):
     """Appends the log-likelihood of each language, and the likeliest by text alone (-1
     without letters)."""
+    step = max(1, HELD_SCORES // n_languages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = model.value
-        for batch in batches:
-            offsets, raw = text_buffers(batch.column("text"))
-            scores = np.zeros((len(batch), len(table)))
-            letters = np.zeros(len(batch), dtype=np.int64)
+        for whole in batches:
+            for top in range(0, len(whole), step):
+                yield scored(whole.slice(top, step))
+
+    def scored(batch: pa.RecordBatch) -> pa.RecordBatch:
+        offsets, raw = text_buffers(batch.column("text"))
+        scores = np.zeros((len(batch), n_languages))
+        letters = np.zeros(len(batch), dtype=np.int64)
+        done = 0
+        for table in _tables(blocks):
             for begin, end in slices(offsets):
                 data, at = _padded(raw, offsets, begin, end)
                 bucket, good = trigrams(data)
                 sums = np.concatenate(([0], np.cumsum(good)))
                 first, last = np.minimum(at[:-1], len(good)), np.maximum(at[:-1], np.minimum(at[1:] - 1, len(good)))
                 letters[begin:end] = sums[last] - sums[first]
-                for k, logs in enumerate(table):
+                for k, logs in enumerate(table, done):
                     sums = np.concatenate(([0.0], np.cumsum(np.where(good, logs[bucket], 0.0))))
                     scores[begin:end, k] = sums[last] - sums[first]
-            best = np.where(letters > 0, scores.argmax(axis=1) if len(table) else 0, -1)
-            flat = pa.array(scores.ravel())
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1, dtype=np.int32) * len(table)), flat)
-            out = [batch.column(c) for c in columns] + [lists, pa.array(best.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(out, names=[*columns, "_ll", "_guess"])
+            done += len(table)
+        best = np.where(letters > 0, scores.argmax(axis=1), -1)
+        flat = pa.array(scores.ravel())
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1, dtype=np.int32) * n_languages), flat)
+        out = [batch.column(c) for c in columns] + [lists, pa.array(best.astype(np.int32))]
+        return pa.RecordBatch.from_arrays(out, names=[*columns, "_ll", "_guess"])
 
     return run
 
 
-def train(frame: DataFrame, declared: str) -> tuple[list[str], np.ndarray]:
-    """Languages in alphabetical order, and the log-probability of each bucket in them."""
-    counted = frame.groupBy(declared).agg(F.count("*").alias("n")).cache()
-    rows = counted.agg(F.sum("n")).first()[0] or 0
-    enough = F.col("n") >= min(MIN_ROWS, max(1, rows // 10)) if rows < 200 else F.col("n") >= max(MIN_ROWS, MIN_SHARE * rows)
-    chosen = (
-        counted.where(F.col(declared).isNotNull() & (F.length(declared) > 0) & enough)
-        .orderBy(F.desc("n"), declared)
-        .limit(MAX_LANGUAGES)
-        .collect()
+def train(frame: DataFrame, declared: str) -> tuple[list[str], list]:
+    """Languages in alphabetical order, and broadcast blocks of them with the log-probability
+    of each bucket in each."""
+    spread = frame.sparkSession.sparkContext.broadcast
+    said = F.col(declared).isNotNull() & (F.length(declared) > 0)
+    counted = frame.where(said).groupBy(declared).agg(F.count("*").alias("n")).where(F.col("n") >= MIN_ROWS)
+    languages = sorted(r[0] for r in counted.collect())
+    if not languages:
+        return [], []
+    texts = frame.where(said).select(F.col(declared).alias("lang"), "text")
+    counts = cut(texts.mapInArrow(*_counts(spread(languages))).groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
+    blocks = []
+    for begin in range(0, len(languages), BLOCK):
+        size = min(BLOCK, len(languages) - begin)
+        found = counts.where(F.col("lang").between(begin, begin + size - 1)).toArrow()  # at most BLOCK * BUCKETS rows
+        smoothed = np.full((size, BUCKETS), 0.5)
+        smoothed[found["lang"].to_numpy() - begin, found["bucket"].to_numpy()] += found["n"].to_numpy()
+        blocks.append(spread(np.log(smoothed / smoothed.sum(axis=1, keepdims=True))))
+    return languages, blocks
+
+
+def _pairs(guessed: DataFrame, *keys: str) -> DataFrame:
+    """Rows of each key by the language their text looks like."""
+    return guessed.groupBy(*keys, "_guess").agg(F.count("*").alias("n"))
+
+
+def _listed(pairs: DataFrame, keys: list[str], n_languages: int, name: str) -> DataFrame:
+    """For each key, its rows by language, as an array over all languages."""
+    found = F.collect_list(F.when(F.col("_guess") >= 0, F.struct("_guess", "n")))
+    by_key = pairs.groupBy(*keys).agg(F.map_from_entries(found).alias("_map"))
+    every = F.sequence(F.lit(0), F.lit(n_languages - 1))
+    return by_key.select(
+        *keys, F.transform(every, lambda i: F.coalesce(F.try_element_at("_map", i), F.lit(0).cast("long"))).alias(name)
     )
-    counted.unpersist()
-    languages = sorted(r[0] for r in chosen)
-    counts = np.zeros((len(languages), BUCKETS))
-    if languages:
-        texts = frame.where(F.col(declared).isin(languages)).select(F.col(declared).alias("lang"), "text")
-        summed = texts.mapInArrow(_counts, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-        found = summed.toPandas()  # at most MAX_LANGUAGES * BUCKETS rows
-        place = found["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy()
-        counts[place, found["bucket"].to_numpy()] = found["n"].to_numpy()
-    smoothed = counts + 0.5
-    return languages, np.log(smoothed / smoothed.sum(axis=1, keepdims=True))
-
-
-def _by_value(guessed: DataFrame, value: str, languages: list[str], totals: list[int], name: str) -> DataFrame:
+
+
+def _by_value(guessed: DataFrame, value: str, totals: list[int], name: str) -> DataFrame:
     """For each value, log P(value | language) of every language, add-half smoothed."""
-    sums = [F.sum((F.col("_guess") == i).cast("long")) for i in range(len(languages))]
-    counted = cut(guessed.groupBy(value).agg(F.array(*sums).alias("c")))
+    counted = cut(_listed(_pairs(guessed, value), [value], len(totals), "c"))
     kinds = counted.count()
-    logs = [F.log((F.get("c", F.lit(i)) + 0.5) / (total + 0.5 * kinds)) for i, total in enumerate(totals)]
-    return small_side(counted.select(value, F.array(*logs).alias(name)), kinds, BROADCAST_ROWS)
+    below = F.array(*(F.lit(total + 0.5 * kinds) for total in totals))
+    logs = F.zip_with("c", below, lambda n, whole: F.log((n + 0.5) / whole))
+    return small_side(counted.select(value, logs.alias(name)), kinds, BROADCAST_ROWS // len(totals))
 
 
-def _host_priors(guessed: DataFrame, languages: list[str], totals: list[int]) -> DataFrame:
+def _host_priors(guessed: DataFrame, totals: list[int]) -> DataFrame:
     """For each host, the log prior of every language: host counts smoothed by the domain's,
     those by all rows'."""
-    sums = [F.sum((F.col("_guess") == i).cast("long")) for i in range(len(languages))]
-    hosts = cut(guessed.groupBy("_host", "_domain").agg(F.array(*sums).alias("c")))
-    domains = hosts.groupBy("_domain").agg(
-        F.array(*(F.sum(F.get("c", F.lit(i))) for i in range(len(languages)))).alias("d")
-    )
+    pairs = cut(_pairs(guessed, "_host", "_domain"))
+    hosts = cut(_listed(pairs, ["_host", "_domain"], len(totals), "c"))
+    by_domain = pairs.groupBy("_domain", "_guess").agg(F.sum("n").alias("n"))
+    domains = _listed(by_domain, ["_domain"], len(totals), "d")
     whole = sum(totals) + 0.5 * len(totals)
     everywhere = F.array(*(F.lit((n + 0.5) / whole) for n in totals))
 
@@ -186,7 +226,7 @@ def _host_priors(guessed: DataFrame, languages: list[str], totals: list[int]) ->
     priors = hosts.join(domains, "_domain").select(
         "_host", "_domain", F.transform(smooth("c", F.col("p")), lambda x: F.log(x)).alias("_prior")
     )
-    return small_side(priors, hosts.count(), BROADCAST_ROWS)
+    return small_side(priors, hosts.count(), BROADCAST_ROWS // len(totals))
 
 
 def identify(
@@ -211,15 +251,14 @@ def identify(
         "_suffix": suffix,
     }
     full = docs.withColumns(evidence).select(*columns, *evidence)
-    languages, logs = train(full.select("text", "_declared"), "_declared")
+    languages, blocks = train(full.select("text", "_declared"), "_declared")
     und = F.lit("und")
     if not languages:
         return docs.select(*columns, und.alias("language"), F.lit(0.0).alias("confidence"), F.lit(False).alias("kept"))
-    model = docs.sparkSession.sparkContext.broadcast(logs)
 
     def scored(frame: DataFrame) -> DataFrame:
         new = T.StructType([T.StructField("_ll", T.ArrayType(T.DoubleType())), T.StructField("_guess", T.IntegerType())])
-        return frame.mapInArrow(_scorer(model, frame.columns), T.StructType([*frame.schema.fields, *new.fields]))
+        return frame.mapInArrow(_scorer(blocks, len(languages), frame.columns), T.StructType([*frame.schema.fields, *new.fields]))
 
     guessed = cut(scored(full.select("text", *evidence)).drop("text", "_ll"))
     counts = {r[0]: r[1] for r in guessed.groupBy("_guess").count().collect()}
@@ -227,13 +266,12 @@ def identify(
     out = scored(full)
     keys = {"_declared": "_d", "_suffix": "_s"}
     for value, name in keys.items():
-        out = out.join(_by_value(guessed, value, languages, totals, name), value)
-    out = out.join(_host_priors(guessed, languages, totals), ["_host", "_domain"])
-    posts = [
-        F.get("_ll", F.lit(i)) * TEMPER + F.get("_d", F.lit(i)) + F.get("_s", F.lit(i)) + F.get("_prior", F.lit(i))
-        for i in range(len(languages))
-    ]
-    out = out.withColumn("_post", F.array(*posts))
+        out = out.join(_by_value(guessed, value, totals, name), value)
+    out = out.join(_host_priors(guessed, totals), ["_host", "_domain"])
+    posts = F.transform("_ll", lambda x: x * TEMPER)
+    for name in (*keys.values(), "_prior"):
+        posts = F.zip_with(posts, F.col(name), lambda x, y: x + y)
+    out = out.withColumn("_post", posts)
     out = out.withColumn("_top", F.array_max("_post"))
     out = out.withColumn("_sum", F.aggregate("_post", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("_top"))))
     best = F.array(*map(F.lit, languages))[F.array_position("_post", F.col("_top")).cast("int") - 1]

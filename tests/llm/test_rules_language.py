@@ -124,3 +124,18 @@ def test_language_edges(spark):
     assert {(r.language, r.kept) for r in kept.collect()} == {("own", False)}
     nothing = edge_documents(spark).withColumn("lang", F.lit(None).cast("string"))
     assert {r.language for r in language_id.identify_documents(nothing).collect()} == {"und"}
+
+
+def test_rare_and_many_languages_are_modelled(spark):
+    import random
+
+    rng = random.Random(6)
+    rows = []
+    for k in range(150):  # each language has words and rows of its own, more languages than a block
+        words = ["".join(rng.choice("abcdefghijklmnoprstuvz") for _ in range(6)) for _ in range(12)]
+        rows += [(8 * k + i, " ".join(rng.choice(words) for _ in range(60)), f"l{k:03}", f"h{k}.org", 0) for i in range(8)]
+    common = [(10_000 + i, " ".join(rng.choice(WORDS["en"].split()) for _ in range(20)), "en", "en.org", 0) for i in range(9000)]
+    docs = spark.createDataFrame(rows + common, SCHEMA).repartition(4)
+    out = {r.doc_id: (r.language, r.kept) for r in language_id.identify_documents(docs).collect()}
+    assert len(out) == len(rows) + len(common)
+    assert all(out[r[0]] == (r[2], True) for r in rows + common)
