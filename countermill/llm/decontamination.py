@@ -5,9 +5,11 @@
    shingle are taken; that loses no match.
 2. Each window and item gets a 128-bit SimHash of its words, long words weighing more.
 3. Fingerprints are cut into ``RADIUS + 1`` blocks. Two within ``RADIUS`` bits agree in one
-   block at least, so an equi join on (words, block, value) finds all of them.
+   block at least, so an equi join on (words, block, value) finds all of them. Items under
+   ``SHORT`` words, whose fingerprints move more with each word, have ``SHORT_RADIUS``.
 4. Those pairs are verified by the exact weighted Jaccard similarity of their 5-word
-   shingles, a shingle weighing 1 / (benchmark items that hold it).
+   shingles, a shingle weighing 1 / (distinct item texts that hold it). One that no item holds
+   weighs as much as a shingle of the compared item does on average.
 
 Words are runs of letters and digits in lower case. Everything is DataFrame operations.
 
@@ -28,6 +30,7 @@ from countermill.llm.common import cut, small_side
 
 SHINGLE = 5
 RADIUS = 23
+SHORT, SHORT_RADIUS = 40, 31
 MIN_SIMILARITY = 0.75
 #: A word weighs its length, at most so much.
 MAX_WORD_WEIGHT = 8
@@ -35,8 +38,9 @@ MAX_WORD_WEIGHT = 8
 BROADCAST_ROWS = 2_000_000
 
 _NOT_WORD = "[^\\p{L}\\p{N}]+"
-#: Bits of the 12 blocks of each 64-bit half.
+#: Bits of the 12 blocks of each 64-bit half, and of the 16 for short items.
 _BLOCK_BITS = (6, 6, 6, 6, 5, 5, 5, 5, 5, 5, 5, 5)
+_SHORT_BLOCK_BITS = (4,) * 16
 
 
 def word_array(text: Column) -> Column:
@@ -89,27 +93,32 @@ def fingerprints(frame: DataFrame, keys: list[str], words: str) -> DataFrame:
 
 
 def _blocks() -> Column:
-    """The 24 block values, each with its number in the upper bits."""
-    out = []
-    for half in ("f0", "f1"):
-        at = 0
-        for bits in _BLOCK_BITS:
-            value = F.shiftrightunsigned(half, at).bitwiseAND(F.lit((1 << bits) - 1))
-            out.append((value + F.lit(len(out) * 64)).cast("int"))
-            at += bits
-    return F.explode(F.array(*out))
+    """The 24 block values (32 below ``SHORT`` words), each with its number in the upper
+    bits."""
+
+    def values(widths: tuple[int, ...]) -> Column:
+        out = []
+        for half in ("f0", "f1"):
+            at = 0
+            for bits in widths:
+                value = F.shiftrightunsigned(half, at).bitwiseAND(F.lit((1 << bits) - 1))
+                out.append((value + F.lit(len(out) * 64)).cast("int"))
+                at += bits
+        return F.array(*out)
+
+    return F.explode(F.when(F.col("length") < SHORT, values(_SHORT_BLOCK_BITS)).otherwise(values(_BLOCK_BITS)))
 
 
 def matches(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """(_key, item_id, start, similarity) of the best place of each item in each distinct
     document."""
-    items = cut(
+    given = (
         bench.select("item_id", word_array(F.col("text")).alias("words"))
         .where(F.size("words") >= SHINGLE)
-        .withColumns({"length": F.size("words"), "item": F.xxhash64("item_id", F.array_join("words", " "))})
-        .dropDuplicates(["item"])
-        .withColumn("shingles", shingle_hashes(F.col("words")))
+        .withColumns({"length": F.size("words"), "item": F.xxhash64(F.array_join("words", " "))})
     )
+    ids = cut(given.select("item", "item_id").distinct())
+    items = cut(given.drop("item_id").dropDuplicates(["item"]).withColumn("shingles", shingle_hashes(F.col("words"))))
     places = cut(items.select("item", "length", F.posexplode("shingles").alias("place", "shingle")))
     n_places = places.count()
     anchors = places.select("shingle", "length", "place").distinct()
@@ -140,20 +149,19 @@ def matches(docs: DataFrame, bench: DataFrame) -> DataFrame:
     near = cut(
         prints.select("*", _blocks().alias("block"))
         .join(small_side(cut(item_prints), n_places, BROADCAST_ROWS), ["length", "block"])
-        .where(distance <= RADIUS)
+        .where(distance <= F.when(F.col("length") < SHORT, SHORT_RADIUS).otherwise(RADIUS))
         .select("_key", "length", "start", "item")
         .distinct()
     )
     held = places.groupBy("shingle").agg((1 / F.count_distinct("item")).alias("weight"))
     counted = places.groupBy("item", "shingle").agg(F.count("*").alias("k")).join(held, "shingle")
     of_item = cut(counted)
-    totals = of_item.groupBy("item").agg(F.sum(F.col("k") * F.col("weight")).alias("item_weight"))
+    totals = of_item.groupBy("item").agg(F.sum(F.col("k") * F.col("weight")).alias("item_weight"), F.sum("k").alias("item_shingles"))
     mine = (
         windows.select("_key", "length", "start", F.explode(shingle_hashes(F.col("words"))).alias("shingle"))
         .groupBy("_key", "length", "start", "shingle")
         .agg(F.count("*").alias("n"))
         .join(small_side(held, n_places, BROADCAST_ROWS), "shingle", "left")
-        .withColumn("weight", F.coalesce("weight", F.lit(1.0)))
     )
     own = small_side(of_item.select("item", "shingle", "k"), n_places, BROADCAST_ROWS)
     shared = (
@@ -161,10 +169,12 @@ def matches(docs: DataFrame, bench: DataFrame) -> DataFrame:
         .join(own, ["item", "shingle"], "left")
         .groupBy("_key", "start", "item")
         .agg(
-            F.sum(F.col("weight") * F.least("n", F.coalesce("k", F.lit(0)))).alias("both"),
-            F.sum(F.col("weight") * F.col("n")).alias("window_weight"),
+            F.coalesce(F.sum(F.col("weight") * F.least("n", F.coalesce("k", F.lit(0)))), F.lit(0.0)).alias("both"),
+            F.coalesce(F.sum(F.col("weight") * F.col("n")), F.lit(0.0)).alias("held_weight"),
+            F.sum(F.when(F.col("weight").isNull(), F.col("n")).otherwise(0)).alias("foreign"),
         )
         .join(small_side(totals, n_places, BROADCAST_ROWS), "item")
+        .withColumn("window_weight", F.col("held_weight") + F.col("foreign") * F.col("item_weight") / F.col("item_shingles"))
     )
     similarity = F.col("both") / (F.col("window_weight") + F.col("item_weight") - F.col("both"))
     return (
@@ -172,7 +182,7 @@ def matches(docs: DataFrame, bench: DataFrame) -> DataFrame:
         .where(F.col("similarity") >= MIN_SIMILARITY)
         .groupBy("_key", "item")
         .agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("best"))
-        .join(small_side(items.select("item", "item_id"), n_places, BROADCAST_ROWS), "item")
+        .join(small_side(ids, ids.count(), BROADCAST_ROWS), "item")
         .select("_key", "item_id", (-F.col("best.back")).cast("long").alias("start"), "best.similarity")
     )
 

@@ -63,3 +63,28 @@ def test_main_path_has_no_python(spark):
     rows = decontamination.contaminated(edge_documents(spark), bench(spark, [(1, prose(1))]))
     plan = rows._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_near_copy_of_a_repeated_item(spark):
+    words = prose(300, 50).split()
+    near = " ".join(words[:25] + ["changed"] + words[26:])
+    docs = spark.createDataFrame([(1, prose(1, 30) + " " + near, "en", "s", 0)], SCHEMA)
+    items = [(i, " ".join(words)) for i in range(5)]
+    out = decontamination.contaminated(docs, bench(spark, items))
+    assert found(out) == [(1, i, 30) for i in range(5)]
+    once = decontamination.contaminated(docs, bench(spark, items[:1])).collect()
+    five = decontamination.contaminated(docs, bench(spark, items)).collect()
+    assert {r.similarity for r in five} == {once[0].similarity} == {0.803922}  # 41 of 51 shingles
+    assert decontamination.decontaminate(docs, bench(spark, items)).count() == 0
+
+
+def test_near_copies_of_short_items(spark):
+    items, rows = [], []
+    for i in range(100):
+        words = prose(1000 + i, 20).split()
+        items.append((i, " ".join(words)))
+        rows.append((i, prose(i, 20) + " " + " ".join([*words[:-2], "unmistakably", "different"]), "en", "s", 0))
+    out = decontamination.contaminated(spark.createDataFrame(rows, SCHEMA), bench(spark, items))
+    right = set(found(out))
+    assert right <= {(i, i, 20) for i in range(100)}  # 14 of 18 shingles
+    assert len(right) >= 95  # the radius is still a bound: 97, and 58 with that of long items
