@@ -74,6 +74,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all pages, by markup, address suffix and host as well."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return language_id.identify_pages(pages).select("page_id", "url", *language_id.RESULTS)
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -85,6 +91,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_license_scan": op9_license_scan,
     "op10_language_id": op10_language_id,
+    "op10_language_id_pages": op10_language_id_pages,
 }
 
 ORACLE = {

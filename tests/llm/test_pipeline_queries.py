@@ -43,3 +43,11 @@ def test_stages_on_edges(spark):
             out = stage(spark, docs, SF)
             assert out.columns == docs.columns
             assert out.count() <= docs.count()
+
+
+def test_all_pages_are_identified(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    out = QUERIES["op10_language_id_pages"](spark, SF)
+    assert out.columns == ["page_id", "url", "language", "confidence", "kept"]
+    assert out.count() == pages.count()
+    assert out.where("kept").count() > 0
