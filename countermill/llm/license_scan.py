@@ -1,15 +1,17 @@
 """License labels of texts: phrases, and templates found by a set-similarity join.
 
-Blocks are lines. A block matches a template when it holds at least ``MIN_CONTAINMENT``
-percent of the template's distinct words. The search is exact:
+Blocks are lines, and runs of as many words as the template has, across line breaks, as
+licence texts are wrapped. A block matches a template when it holds at least
+``MIN_CONTAINMENT`` percent of the template's distinct words. The search is exact:
 
-1. Template words are ordered by how many blocks of all documents hold them, rarest first.
+1. Template words are ordered by how many lines of all documents hold them, rarest first.
 2. Prefix: a block that misses all of the first ``|T| - needed + 1`` words of template T
    cannot hold ``needed`` of them, so only those words are looked up.
 3. Length: a block with fewer distinct words than ``needed`` cannot match.
 4. Position: with the first shared word at place p of the ordered template, at most
    ``|T| - p`` words can be shared.
-5. What passes is compared exactly.
+5. What passes is compared exactly. Runs are tried around each prefix word with enough
+   template words close by.
 
 Two passes read the texts: one counts template words (a few hundred rows a task are
 summed), one scans. Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z lower-cased,
@@ -76,6 +78,7 @@ class Templates:
         named = [(label, text) for label, texts in templates.items() for text in texts]
         self.labels = [label for label, _ in named]
         self.sets = [np.unique(_hashes(text)) for _, text in named]
+        self.lengths = [len(_hashes(text)) for _, text in named]
         self.needed = [-(-percent * len(s) // 100) for s in self.sets]
         self.vocabulary = np.unique(np.concatenate(self.sets)) if named else np.zeros(0, np.uint64)
 
@@ -83,9 +86,11 @@ class Templates:
         """Sort each template by the blocks that hold its words; index the prefixes."""
         rank = np.array([blocks.get(int(v), 0) for v in self.vocabulary.view(np.int64)])
         self.prefix_of: dict[int, list[tuple[int, int]]] = {}
+        self.prefixes: list[np.ndarray] = []
         for t, found in enumerate(self.sets):
             by_count = found[np.lexsort((found, rank[np.searchsorted(self.vocabulary, found)]))]
             self.sets[t] = by_count
+            self.prefixes.append(by_count[: len(by_count) - self.needed[t] + 1])
             for place, word in enumerate(by_count[: len(by_count) - self.needed[t] + 1]):
                 self.prefix_of.setdefault(int(word), []).append((t, place))
         self.prefix_words = np.array(sorted(self.prefix_of), dtype=np.uint64)
@@ -109,6 +114,33 @@ class Templates:
                 out.append((t, shared / len(whole)))
         return sorted(out)
 
+    def match_runs(self, hashes: np.ndarray, first: np.ndarray) -> list[tuple[int, int, float]]:
+        """(row, template, best share of it held) by the runs of words of some rows, row i
+        having words ``first[i]:first[i + 1]``."""
+        out = []
+        places = np.flatnonzero(_member(self.vocabulary, hashes))
+        found = hashes[places]
+        for t, whole in enumerate(self.sets):
+            n, needed = self.lengths[t], self.needed[t]
+            at = places[np.isin(found, self.prefixes[t])]
+            if len(at) == 0:
+                continue
+            mine = places[np.isin(found, whole)]
+            row = np.searchsorted(first, at, side="right") - 1
+            low, high = np.maximum(at - n + 1, first[row]), np.minimum(at + n, first[row + 1])
+            enough = np.searchsorted(mine, high) - np.searchsorted(mine, low) >= needed
+            best: dict[int, int] = {}
+            for p, r, begin, end in zip(*(x[enough].tolist() for x in (at, row, low, high))):
+                if best.get(r, 0) == len(whole):
+                    continue
+                near = mine[np.searchsorted(mine, begin) : np.searchsorted(mine, end)]
+                words_near = hashes[near].tolist()
+                for start in near[near <= p].tolist():  # a run may as well begin at a template word
+                    held = {w for w, x in zip(words_near, near.tolist()) if start <= x < start + n}
+                    best[r] = max(best.get(r, 0), len(held))
+            out += [(r, t, held / len(whole)) for r, held in best.items() if held >= needed]
+        return out
+
 
 def _blocks(part) -> tuple[np.ndarray, np.ndarray]:
     """Line number of each word in a slice of texts, and the line a row begins with."""
@@ -179,6 +211,8 @@ def _scan(model):
                     last = min(int(np.searchsorted(line, line[at], side="right")), int(part.first[row + 1]))
                     if found := templates.match(np.unique(h[first:last])):
                         matched.setdefault(row, []).extend(found)
+                for row, t, share in templates.match_runs(h, part.first):
+                    matched.setdefault(row, []).append((t, share))
                 for row in range(len(part.first) - 1):
                     n = int(part.first[row + 1] - part.first[row])
                     places = [at - int(part.first[row]) for at, _ in base.get(row, [])]
@@ -219,7 +253,7 @@ def scan(
 
 def brute_force(text: str | None, percent: int = MIN_CONTAINMENT) -> tuple[int, str, str]:
     """(places of base phrases, base labels, labels) of one text by comparing every line
-    with every template; for tests."""
+    and every run of words with every template; for tests."""
     low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     found = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
     places, own = 0, set()
@@ -229,11 +263,11 @@ def brute_force(text: str | None, percent: int = MIN_CONTAINMENT) -> tuple[int,
         places += hits
         own |= {label} if hits else set()
     every = set(own)
-    for line in low.split("\n"):
-        block = set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", line))
-        for label, texts in TEMPLATES.items():
-            for template in texts:
-                whole = set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", template.lower()))
-                if 100 * len(whole & block) >= percent * len(whole):
-                    every.add(label)
+    lines = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", line) for line in low.split("\n")]
+    for label, texts in TEMPLATES.items():
+        for template in texts:
+            parts = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", template.lower())
+            runs = [found[i : i + len(parts)] for i in range(len(found))]
+            if any(100 * len(set(parts) & set(block)) >= percent * len(set(parts)) for block in lines + runs):
+                every.add(label)
     return places, ",".join(sorted(own)), ",".join(sorted(every))

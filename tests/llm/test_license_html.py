@@ -81,3 +81,23 @@ def test_other_layouts_are_learned():
         '<aside><p>More to read, perhaps.</p></aside><form><label>Your name</label></form>'
     )
     assert text == "Title here\nThis is a first paragraph, with words and an end.\nSecond one."
+
+
+def test_wrapped_licences_by_brute_force(spark):
+    import random
+    import textwrap
+
+    rng = random.Random(11)
+    named = [(label, t) for label, texts in license_scan.TEMPLATES.items() for t in texts]
+    texts, whole = [], []
+    for i in range(300):
+        label, template = named[i % len(named)]
+        words = [w for w in template.split() if i < 100 or rng.random() > 0.1]
+        wrapped = textwrap.wrap(f"{prose(i, 6)} {' '.join(words)} {prose(i + 900, 6)}", rng.choice([20, 40, 70]))
+        texts.append("\n".join(rng.choice(["", " * ", "# "]) + line for line in wrapped))
+        whole.append(label if i < 100 else None)
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA)
+    for r in license_scan.scan(docs).collect():
+        assert (r.n_base, r.base_labels, r.labels) == license_scan.brute_force(texts[r.doc_id])
+        if whole[r.doc_id]:
+            assert whole[r.doc_id] in r.labels.split(",") and r.score == 1
