@@ -407,6 +407,11 @@ def linked_classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataF
     """(doc_id, n_shingles, component_id) of every row: documents link when the Jaccard
     similarity of their n-gram sets is at least ``percent``; the class is named by its
     smallest doc_id."""
+    return _named_classes(docs, n, percent).drop("node")
+
+
+def _named_classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """The same with the node of each row."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text"))
     described = cut(texts.mapInArrow(*_describe(n)))
@@ -449,23 +454,42 @@ def linked_classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataF
     names = cut(class_of.groupBy("component").agg(F.min("doc_id").alias("component_id")))
     names = small_side(names, names.count(), BROADCAST_IDS)
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return named.join(names, "component", "left").select("doc_id", "n_shingles", own.alias("component_id"))
+    return named.join(names, "component", "left").select("doc_id", "node", "n_shingles", own.alias("component_id"))
+
+
+def _row_nodes(n: int):
+    """Appends the node of each text; 0 without words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = np.zeros(len(batch), np.int64)
+            for i, found in ngram_sets(batch.column("text"), n):
+                if len(found):
+                    nodes[i] = _node(found)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes)], names=["doc_id", "text", "node"])
+
+    return run, "doc_id bigint, text string, node bigint"
 
 
 def one_of_each_class(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """``docs`` without the documents that another one of their class stands for.
 
     The one that stays has the class's smallest doc_id; of equal rows with that id one stays.
-    Rows without an id stay.
+    Rows of one id with different texts are judged one by one. Rows without an id stay.
     """
-    named = cut(linked_classes(docs, n, percent))
-    gone = named.where("doc_id <> component_id").select("doc_id").distinct()
+    named = cut(_named_classes(docs, n, percent))
+    gone = named.where("doc_id <> component_id").select("doc_id", "node").distinct()
     again = named.groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1 and doc_id is not null").select("doc_id")
     gone, again = cut(gone), cut(again)
     again = small_side(again, again.count(), BROADCAST_IDS)
-    kept = docs.join(small_side(gone, gone.count(), BROADCAST_IDS), "doc_id", "left_anti").select(*docs.columns)
-    once = kept.join(again, "doc_id", "left_anti").select(*docs.columns)
-    return once.union(kept.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"]))
+    single = gone.join(again, "doc_id", "left_anti").select("doc_id")
+    once = docs.join(again, "doc_id", "left_anti")
+    once = once.join(small_side(single, gone.count(), BROADCAST_IDS), "doc_id", "left_anti").select(*docs.columns)
+    several = docs.join(again, "doc_id", "left_semi").select(*docs.columns)
+    texts = several.select(F.col("doc_id").cast("long"), "text").distinct().mapInArrow(*_row_nodes(n))
+    leaving = cut(texts.join(gone, ["doc_id", "node"], "left_semi").select("doc_id", "text"))
+    kept = several.join(leaving, ["doc_id", "text"], "left_anti").select(*docs.columns)
+    return once.union(kept.dropDuplicates(["doc_id", "text"]))
 
 
 ORACLE_SQL = r"""

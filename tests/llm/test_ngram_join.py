@@ -119,3 +119,10 @@ def test_components(spark):
     want = {1: 1, 2: 1, 3: 1, 10: 6, 9: 6, 8: 6, 7: 6, 6: 6, 20: 20, 21: 20}
     assert {r.node: r.component for r in found.collect()} == want
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_rows_of_one_id_with_different_texts(spark):
+    rows = [(1, prose(1)), (5, prose(1)), (5, prose(2)), (5, prose(2)), (6, prose(3)), (7, prose(2))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    kept = sorted((r.doc_id, r.text) for r in ngram_join.one_of_each_class(docs).collect())
+    assert kept == sorted([(1, prose(1)), (5, prose(2)), (6, prose(3))])
