@@ -9,6 +9,7 @@ from countermill.llm import (
     html_extract,
     language_id,
     license_scan,
+    merkle,
     ngram_join,
     packing,
     quality_lm,
@@ -80,6 +81,11 @@ def op10_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_pages(pages).select("page_id", "url", *language_id.RESULTS)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents, each verified by its proof."""
+    return merkle.prove(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -92,9 +98,11 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_language_id": op10_language_id,
     "op10_language_id_pages": op10_language_id_pages,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE = {
     "op2_ngram_jaccard_join": ngram_join.ORACLE_SQL,
     "op6_quality_rules": quality_rules.ORACLE_SQL,
+    "op13_merkle_manifest": merkle.ORACLE_SQL,
 }
