@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from countermill.llm import (
+    chat_format,
     decontamination,
     html_extract,
+    importance,
     language_id,
     license_scan,
     merkle,
@@ -81,6 +83,17 @@ def op10_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_pages(pages).select("page_id", "url", *language_id.RESULTS)
 
 
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted and read back."""
+    rows = chat_format.with_hostile(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return chat_format.read_back(chat_format.format_conversations(rows), in_order=True)
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighed against the benchmark, the drawn ones ranked."""
+    return importance.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of all documents, each verified by its proof."""
     return merkle.prove(documents(spark, sf_dir))
@@ -98,11 +111,15 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_language_id": op10_language_id,
     "op10_language_id_pages": op10_language_id_pages,
+    "op11_chat_formatting": op11_chat_formatting,
+    "op12_importance_resampling": op12_importance_resampling,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE = {
     "op2_ngram_jaccard_join": ngram_join.ORACLE_SQL,
     "op6_quality_rules": quality_rules.ORACLE_SQL,
+    "op11_chat_formatting": chat_format.ORACLE_SQL,
+    "op12_importance_resampling": importance.ORACLE_SQL,
     "op13_merkle_manifest": merkle.ORACLE_SQL,
 }
