@@ -96,9 +96,18 @@ def counter_data_type(data_type: ColumnLike, is_vector: Column, max_length: Colu
     return F.when(is_vector, vector).otherwise(scalar)
 
 
+def _unsized(type_name: str) -> str:
+    """Base type name; every text type, sized or not, is VARCHAR."""
+    base, _ = split_size(type_name)
+    return "VARCHAR" if base.split("(")[0] in TEXT_TYPES else base
+
+
 def widened(type_names: Iterable[str]) -> str:
-    """Narrowest type name that holds all given ones; missing ones do not count."""
-    present = [split_size(t)[0] for t in type_names if t != MISSING]
+    """Narrowest type name that holds all given ones; missing ones do not count.
+
+    Text types are VARCHAR, alone or with others, as their sizes may differ.
+    """
+    present = [_unsized(t) for t in type_names if t != MISSING]
     if not present:
         return MISSING
     elements = [element_type(t) for t in present]
@@ -106,7 +115,6 @@ def widened(type_names: Iterable[str]) -> str:
         return f"ARRAY<{widened(elements)}>"
     if len(set(present)) == 1:
         return present[0]
-    present = ["VARCHAR" if t.split("(")[0] in TEXT_TYPES else t for t in present]
     if all(t in WIDENING_ORDER for t in present):
         widest = max(present, key=WIDENING_ORDER.index)
         return "DOUBLE" if widest == "FLOAT" and any(t in WIDER_THAN_FLOAT_DIGITS for t in present) else widest
@@ -114,16 +122,16 @@ def widened(type_names: Iterable[str]) -> str:
 
 
 def _widened_column(types: Column) -> Column:
-    """Column form for an array of distinct type names without sizes or missing ones."""
+    """Column form for an array of type names without array sizes or missing ones."""
     text = lambda t: F.regexp_extract(t, r"^(\w+)", 1).isin(TEXT_TYPES)
-    plain = F.transform(types, lambda t: F.when(text(t), F.lit("VARCHAR")).otherwise(t))
+    plain = F.array_distinct(F.transform(types, lambda t: F.when(text(t), F.lit("VARCHAR")).otherwise(t)))
     order = F.array(*[F.lit(t) for t in WIDENING_ORDER])
     places = F.transform(plain, lambda t: F.array_position(order, t).cast("int"))
     widest = F.get(order, F.array_max(places) - 1)
     digits = F.arrays_overlap(plain, F.array(*[F.lit(t) for t in WIDER_THAN_FLOAT_DIGITS]))
     number = F.when((widest == "FLOAT") & digits, F.lit("DOUBLE")).otherwise(widest)
     mixed = F.when(F.array_contains(places, 0), F.lit("VARCHAR")).otherwise(number)
-    return F.when(F.size(types) == 1, types[0]).otherwise(mixed)
+    return F.when(F.size(plain) == 1, plain[0]).otherwise(mixed)
 
 
 def widened_column(type_names: ColumnLike) -> Column:
@@ -132,6 +140,6 @@ def widened_column(type_names: ColumnLike) -> Column:
     present = F.array_distinct(F.filter(names, lambda t: t != MISSING))
     element = lambda t: F.regexp_extract(t, r"^ARRAY<(.*)>$", 1)
     of_arrays = F.forall(present, lambda t: t.startswith("ARRAY<"))
-    elements = _widened_column(F.array_distinct(F.transform(present, element)))
+    elements = _widened_column(F.transform(present, element))
     whole = F.when(of_arrays, F.concat(F.lit("ARRAY<"), elements, F.lit(">"))).otherwise(_widened_column(present))
     return F.when(F.size(present) == 0, F.lit(MISSING)).otherwise(whole)

@@ -70,11 +70,14 @@ def test_parts_of_several_documents(spark, tmp_path):
         ["INT", "FLOAT"], ["FLOAT"], ["TINYINT", "FLOAT"], ["TIMESTAMP", "TIMESTAMP"], ["TIMESTAMP", "INT"], ["MISSING"],
         ["ARRAY<INT>:4", "ARRAY<BIGINT>:8"], ["ARRAY<BIGINT>:8", "ARRAY<DOUBLE>:2", "MISSING"], ["ARRAY<INT>", "INT"],
         ["VARCHAR(3)", "CHAR"], ["BIGINT", "DOUBLE"], ["ARRAY<BIGINT>:8", "ARRAY<BIGINT>:8"],
+        ["VARCHAR(10)"], ["CHAR(4)", "CHAR(4)"], ["ARRAY<CHAR(3)>:2"], ["ARRAY<STRING>", "ARRAY<VARCHAR(4)>:2"],
     ],
 )
 def test_both_forms_of_widening_agree(spark, types):
     found = spark.createDataFrame([(types,)], "t ARRAY<STRING>").select(widened_column("t")).first()[0]
     assert found == widened(types)
+    if types in (["VARCHAR(10)"], ["CHAR(4)", "CHAR(4)"]):
+        assert found == "VARCHAR"
     if types == ["INT", "FLOAT"]:
         assert found == "DOUBLE"
 
