@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from countermill.functions.types import WIDENING_ORDER
 from countermill.plans.queries import EVENT_DAY, ORDER_DAY
-from countermill.plans.standins import COUNTERS, KEY_ROWS
+from countermill.plans.standins import CATALOG_TYPES, COUNTERS, KEY_ROWS
 from countermill.schemas import VECTOR_BINS
 
 # Events as counter rows: quarter hour, names and whole hundredths.
@@ -250,6 +251,23 @@ ORACLE: dict[str, str] = {
                split_part(path, '.', -1) IN ('sn', 'mts', 'gp', 'mt', 'moid', 'r') AS contains_text,
                CASE WHEN path = 'mdc.md.mi.mv.r' THEN 'p' ELSE '' END AS attributes
         FROM p""",
+    "q_batch_fanout": f"""
+        SELECT 'long' AS sink, date_id, event_type AS name, count(*) AS rows, CAST(sum(v) AS BIGINT) AS total
+        FROM ({DOC}) GROUP BY date_id, event_type
+        UNION ALL
+        SELECT 'entity', date_id, measurement, count(DISTINCT moid),
+               CAST(sum(v) FILTER (WHERE event_type = 'view') AS BIGINT)
+        FROM ({DOC}) GROUP BY date_id, measurement
+        UNION ALL
+        SELECT 'files', NULL, 'Parsed', count(DISTINCT user_id % 8), NULL FROM events
+        UNION ALL
+        SELECT 'files', NULL, 'Dropped', 2, NULL""",
+    "q_file_listing": """
+        SELECT 'o_orderstatus=' || o_orderstatus || '/o_orderpriority=' || o_orderpriority AS folder, 'new' AS outcome,
+               CAST(18 + length(CAST(count(*) AS VARCHAR)) AS BIGINT) AS size, true AS dated
+        FROM orders WHERE o_orderstatus <> 'F' GROUP BY o_orderstatus, o_orderpriority
+        UNION ALL SELECT 'o_orderstatus=O/empty', 'new', 0, false
+        UNION ALL SELECT '/gone/lost.xml', 'failed', NULL, false""",
     "q_stream_ingest": f"""
         SELECT date_id, event_type AS counter_name, count(*) AS rows, CAST(sum(v) AS BIGINT) AS total
         FROM ({LONG}) GROUP BY date_id, event_type""",
@@ -333,6 +351,30 @@ ORACLE: dict[str, str] = {
                CASE max(CASE type WHEN 'INT' THEN 1 WHEN 'BIGINT' THEN 2 WHEN 'DOUBLE' THEN 3 WHEN 'VARCHAR' THEN 4 ELSE 0 END)
                  WHEN 1 THEN 'INT' WHEN 2 THEN 'BIGINT' WHEN 3 THEN 'DOUBLE' WHEN 4 THEN 'VARCHAR' ELSE 'MISSING' END AS type
         FROM ({VERSION_COLUMNS}) GROUP BY entity, "column" """,
+    "q_widened_types": f"""
+        WITH typed AS (
+          SELECT p_brand AS entity, 'c' || (p_partkey % 97) AS "column",
+                 split_part(({CATALOG_TYPES})[(p_partkey * 7 + p_size) % {len(CATALOG_TYPES)} + 1], ':', 1) AS t
+          FROM part),
+        inner_types AS (
+          SELECT entity, "column", t LIKE 'ARRAY<%' AS is_array,
+                 CASE WHEN t LIKE 'ARRAY<%' THEN t[7:-2] ELSE t END AS e FROM typed WHERE t <> 'MISSING'),
+        plain AS (
+          SELECT entity, "column", is_array,
+                 CASE WHEN split_part(e, '(', 1) IN ('VARCHAR', 'CHAR', 'STRING') THEN 'VARCHAR' ELSE e END AS e FROM inner_types),
+        grouped AS (
+          SELECT entity, "column", bool_and(is_array) AS arrays, bool_or(is_array) AS any_array,
+                 count(DISTINCT e) AS kinds, min(e) AS one, min(list_position({WIDENING_ORDER}, e)) IS NULL
+                 OR count(*) > count(list_position({WIDENING_ORDER}, e)) AS odd,
+                 max(list_position({WIDENING_ORDER}, e)) AS place, bool_or(e IN ('INT', 'BIGINT')) AS digits
+          FROM plain GROUP BY entity, "column"),
+        widest AS (
+          SELECT *, CASE WHEN any_array AND NOT arrays THEN 'VARCHAR' WHEN kinds = 1 THEN one WHEN odd THEN 'VARCHAR'
+                         WHEN ({WIDENING_ORDER})[place] = 'FLOAT' AND digits THEN 'DOUBLE' ELSE ({WIDENING_ORDER})[place] END AS w
+          FROM grouped)
+        SELECT DISTINCT t.entity, t."column",
+               CASE WHEN w IS NULL THEN 'MISSING' WHEN arrays THEN 'ARRAY<' || w || '>' ELSE w END AS type
+        FROM typed t LEFT JOIN widest g ON g.entity = t.entity AND g."column" = t."column" """,
     "q_usable_versions": f"""
         SELECT entity, version, count(*) FILTER (WHERE type = 'MISSING') AS absent, count(*) AS columns
         FROM ({VERSION_COLUMNS}) GROUP BY entity, version HAVING count(*) FILTER (WHERE type = 'MISSING') < count(*)""",
@@ -420,6 +462,10 @@ ORACLE: dict[str, str] = {
         SELECT source_file, min(datetime) FILTER (WHERE is_header) AS datetime, '[t' || source_file || ']' AS thread,
                'INFO' AS log_level, 'Session' AS classname, string_agg(part, chr(10) ORDER BY event_id) AS logmessage
         FROM ({LOG_NUMBERED}) WHERE record > 0 GROUP BY source_file, record""",
+    "q_log_file_lines": """
+        SELECT day, row_number() OVER (PARTITION BY day ORDER BY event_id) AS number,
+               CASE WHEN event_id % 10 = 0 THEN '' ELSE concat_ws(' ', event_type, event_id, props) END AS line
+        FROM (SELECT *, strftime(ts, '%Y%m') || (day(ts) // 10) AS day FROM events)""",
     "q_log_orphans": f"SELECT source_file, line FROM ({LOG_NUMBERED}) WHERE record = 0",
     "q_replication_state": REPLICATION,
 }

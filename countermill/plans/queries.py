@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,12 +17,14 @@ from countermill.functions import types as TY
 from countermill.operators import ageing, catalog, entities, files, flatten, kpi, log_records, model_diff, models
 from countermill.operators import partitions, profiles, replication, routing, splits, versions
 from countermill.plans import standins as S
-from countermill.session import shared_folder
+from countermill.session import SETTINGS, shared_folder
 from countermill.sinks.stores import write_cold, write_long
 from countermill.sources import counter_files as CF
+from countermill.sources.logs import scan_numbered_lines
 from countermill.sources.node_models import instance_attributes
 from countermill.sources.stores import backlog_older_than
-from countermill.streaming.ingest import start_ingest, start_long_sink
+from countermill.streaming.fanout import Sink, commits, committed, start_fan_out
+from countermill.streaming.ingest import file_states, start_ingest, start_long_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -229,6 +232,74 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _grouped_files(spark: SparkSession, sf_dir: str, folder: str, groups: int = 8) -> None:
+    """The documents as one file for each group of users, several documents in each."""
+    records = CF.parse_mdc_text(S.mdc_documents(spark, sf_dir), "value", "file")
+    group = (F.substring_index("source_file", "/", 1).cast("int") % groups).alias("group_id")
+    grouped = records.select("mfh", "md", group).repartition("group_id")
+    grouped.write.format("xml").option("rowTag", "mdc").option("rootTag", "files").partitionBy("group_id").save(folder)
+
+
+@query
+def batch_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, an empty and a foreign file as a stream into three sinks; the second batch fails once
+    between two sinks and is run again. Counts of what the committed batches hold."""
+    scratch = f"{shared_folder(spark)}/countermill-{uuid.uuid4().hex}"
+    _grouped_files(spark, sf_dir, f"{scratch}/in")
+    for name, lines in {"empty": [], "foreign": [("<other>1</other>",)]}.items():
+        spark.createDataFrame(lines, "value STRING").coalesce(1).write.text(f"{scratch}/in/kind={name}")
+    failures = [RuntimeError("between two sinks")]
+
+    def wide(records: DataFrame, files: DataFrame) -> DataFrame:
+        if failures and not commits(spark, f"{scratch}/out").isEmpty():
+            raise failures.pop()
+        return entities.to_entity(flatten.flatten_mdc(records), S.COUNTERS, agg="sum", keys=["date_id", "moid", "measurement"])
+
+    sinks = {
+        "long": Sink(lambda records, files: flatten.flatten_mdc(records), ["measurement", "date_id"]),
+        "entity": Sink(wide, ["date_id"]),
+        "files": Sink(file_states),
+    }
+    for _ in range(2):
+        stream = CF.stream_mdc(spark, f"{scratch}/in/*", max_files=3)
+        try:
+            start_fan_out(stream, sinks, f"{scratch}/out", f"{scratch}/state").awaitTermination()
+        except StreamingQueryException as failed:
+            if "between two sinks" not in str(failed):
+                raise
+
+    def seen(sink: str, schema: str) -> DataFrame:
+        return committed(spark, f"{scratch}/out", sink, schema).withColumn("sink", F.lit(sink))
+
+    rows = F.count(F.lit(1)).alias("rows")
+    long = seen("long", "counter_name STRING, counter_value BIGINT, date_id STRING")
+    entity = seen("entity", "measurement STRING, view BIGINT, date_id STRING")
+    states = seen("files", "path STRING, status STRING")
+    return (
+        long.groupBy("sink", "date_id", F.col("counter_name").alias("name")).agg(rows, F.sum("counter_value").alias("total"))
+        .unionByName(entity.groupBy("sink", "date_id", F.col("measurement").alias("name")).agg(rows, F.sum("view").alias("total")))
+        .unionByName(states.groupBy("sink", F.lit(None).cast("string").alias("date_id"), F.col("status").alias("name")).agg(rows, F.lit(None).cast("bigint").alias("total")))
+    )
+
+
+@query
+def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two levels with an empty and a foreign one, listed and set against the backlog."""
+    scratch = f"{shared_folder(spark)}/countermill-{uuid.uuid4().hex}"
+    orders = S.table(spark, sf_dir, "orders").groupBy("o_orderstatus", "o_orderpriority").agg(
+        F.concat(F.lit("<orders>"), F.count(F.lit(1)), F.lit("</orders>")).alias("value")
+    )
+    orders.repartition("o_orderstatus", "o_orderpriority").write.partitionBy("o_orderstatus", "o_orderpriority").text(f"{scratch}/in")
+    spark.createDataFrame([], "value STRING").coalesce(1).write.text(f"{scratch}/in/o_orderstatus=O/empty")
+    found = CF.found_files(spark, f"{scratch}/in", "part-*")
+    known = found.filter(F.col("path").contains("o_orderstatus=F")).select(
+        "path", F.lit("Parsed").alias("status")
+    ).unionByName(spark.createDataFrame([("/gone/lost.xml", None)], "path STRING, status STRING"))
+    outcomes = files.reconcile(found, known).join(found, "path", "left")
+    folder = F.coalesce(F.nullif(F.url_decode(F.regexp_extract("path", "/in/(.*)/part-[^/]*$", 1)), F.lit("")), F.col("path"))
+    return outcomes.select(folder.alias("folder"), "outcome", "size", F.col("modified").isNotNull().alias("dated"))
+
+
 # --- scalar functions -------------------------------------------------------
 
 
@@ -432,6 +503,12 @@ def widened_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.widened_columns(S.version_columns(spark, sf_dir))
 
 
+@query
+def widened_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Widening of sized text, arrays, times and numbers in all mixtures."""
+    return versions.widened_columns(S.part_types(spark, sf_dir))
+
+
 @query
 def usable_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.usable_versions(S.version_columns(spark, sf_dir))
@@ -638,6 +715,30 @@ def log_stitch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_records.stitch_log_records(S.application_log(spark, sf_dir)).drop("record")
 
 
+def _log_files(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, str]:
+    """A log file for every ten days, and a session that reads them in some 32 splits."""
+    folder = f"{shared_folder(spark)}/countermill-{uuid.uuid4().hex}"
+    events = S.table(spark, sf_dir, "events")
+    day = F.concat(F.date_format("ts", "yyyyMM"), F.floor(F.dayofmonth("ts") / 10)).alias("day")
+    line = F.when(F.col("event_id") % 10 == 0, F.lit("")).otherwise(F.concat_ws(" ", "event_type", "event_id", "props"))
+    lines = events.select(day, "event_id", line.alias("value"))
+    ordered = lines.repartition("day").sortWithinPartitions("day", "event_id")
+    ordered.select("day", "value").write.partitionBy("day").text(folder)
+    reading = spark.newSession()
+    for key, value in SETTINGS.items():
+        reading.conf.set(key, value)
+    reading.conf.set("spark.sql.files.maxPartitionBytes", max(256, events.count() * 20 // 32))
+    return reading, folder
+
+
+@query
+def log_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of every line of log files that are read in many splits each."""
+    reading, folder = _log_files(spark, sf_dir)
+    lines = scan_numbered_lines(reading, f"{folder}/*")
+    return lines.select(F.regexp_extract("source_file", "day=([0-9]+)", 1).alias("day"), F.col("pos").alias("number"), "line")
+
+
 @query
 def log_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_records.orphan_lines(S.application_log(spark, sf_dir)).select("source_file", "line")

@@ -232,6 +232,24 @@ def version_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).distinct()
 
 
+# Type names a catalog may hold: plain, sized, repeated in other words, arrays, times, missing.
+CATALOG_TYPES = [
+    "INT", "BIGINT", "FLOAT", "VARCHAR(10)", "CHAR(4)", "STRING", "TIMESTAMP", "MISSING",
+    "ARRAY<INT>:8", "ARRAY<BIGINT>:16", "ARRAY<FLOAT>", "ARRAY<CHAR(2)>:4", "TINYINT", "DOUBLE",
+]
+
+
+def part_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(entity, version, column, type): parts as columns of few versions with types of all kinds."""
+    place = F.pmod(F.col("p_partkey") * 7 + F.col("p_size"), F.lit(len(CATALOG_TYPES))).cast("int")
+    return table(spark, sf_dir, "part").select(
+        F.col("p_brand").alias("entity"),
+        F.concat(F.lit("v"), F.col("p_partkey") % 3).alias("version"),
+        F.concat(F.lit("c"), F.col("p_partkey") % 97).alias("column"),
+        F.get(F.array(*[F.lit(t) for t in CATALOG_TYPES]), place).alias("type"),
+    )
+
+
 def backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as backlog rows: finished lines are processed files, open ones wait."""
     return table(spark, sf_dir, "lineitem").select(

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from countermill.functions.columns import ColumnLike, as_column
 from countermill.functions.text import unescape_xml
 from countermill.operators.ordering import carry_forward
 from countermill.schemas import MDC_INFO, MDC_RECORD, MDC_RECORD_FULL, MEAS_DATA_RECORD
@@ -21,17 +22,38 @@ CORRUPT = "_corrupt_record"
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.xml") -> DataFrame:
     """Paths of all files with content below ``folder`` whose name matches; contents are not read.
 
-    Spark's readers pass over files of zero bytes, so these are not listed.
+    Spark's readers pass over files of zero bytes, so these are not listed here; :func:`found_files`
+    lists them too.
 
     The path is written as in the ``source_file`` of a scan, so both join.
     """
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .load(folder)
-        .select(F.col("_metadata.file_path").alias("path"))
+    return _listed(spark, folder, pattern).select(F.col("_metadata.file_path").alias("path"))
+
+
+def _listed(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    return reader.load(folder)
+
+
+def scan_path(path: ColumnLike) -> Column:
+    """A path of a file index or stream log, written as in the ``source_file`` of a scan."""
+    return F.regexp_replace(as_column(path), "^file:///", "file:/")
+
+
+def found_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """(path, size, modified) of all files below ``folder`` whose name matches, empty ones too.
+
+    Folders are listed by Spark, in tasks when there are many; no content is read. The scan
+    gives size and time of files with content. Files of zero bytes stand only in the file
+    index: they get size 0 and no time. Paths join with the ``source_file`` of a scan.
+    """
+    listed = _listed(spark, folder, pattern)
+    index = spark.createDataFrame([(path,) for path in listed.inputFiles()], "path STRING")
+    details = listed.select(
+        F.col("_metadata.file_path").alias("path"), F.col("length").alias("_size"), F.col("modificationTime").alias("modified")
     )
+    index = index.select(scan_path("path").alias("path"))
+    return index.join(details, "path", "left").select("path", F.coalesce("_size", F.lit(0)).cast("bigint").alias("size"), "modified")
 
 
 def _with_file(df: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from countermill.operators.entities import EntitySpec, write_entities
 from countermill.operators.files import DROPPED, PARSED
 from countermill.sinks.stores import write_cold
 from countermill.sources.counter_files import parsed_files, unreadable_files
+from countermill.streaming.file_log import batch_files
 
 # Files arrive once per result period.
 ROP = "15 minutes"
@@ -62,9 +63,17 @@ def start_long_sink(
     return writer.start()
 
 
-def long_writer(flatten: Callable[[DataFrame], DataFrame], long_path: str, status_path: str | None = None) -> Handler:
+def long_writer(
+    flatten: Callable[[DataFrame], DataFrame],
+    long_path: str,
+    status_path: str | None = None,
+    checkpoint: str | None = None,
+) -> Handler:
     """Handler that writes long rows, and the state of every file of the batch.
 
+    With the ``checkpoint`` of its stream, files without any record, empty or of another
+    format, get a state too; records alone cannot tell of them.
+
     Rows go below ``batch_id=<n>/measurement=../date_id=..``, replacing what an
     earlier try of the same batch left there, so a repeated batch adds nothing.
     ``batch_id`` keeps the sinks of one batch together; readers that only want
@@ -79,7 +88,8 @@ def long_writer(flatten: Callable[[DataFrame], DataFrame], long_path: str, statu
             clustered = rows.hint("rebalance", "measurement", "date_id")
             write_cold(clustered, long_path, ["batch_id", "measurement", "date_id"])
             if shared:
-                states = file_states(records).withColumn("batch_id", F.lit(batch_id))
+                files = batch_files(batch.sparkSession, checkpoint, batch_id) if checkpoint else None
+                states = file_states(records, files).withColumn("batch_id", F.lit(batch_id))
                 write_cold(states, status_path, ["batch_id"])
         finally:
             if shared:

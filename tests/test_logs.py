@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from countermill.operators import log_records, ordering, replication
-from countermill.sources.logs import scan_log_lines
+from countermill.sources.logs import scan_log_lines, scan_numbered_lines
 from tests.helpers import dicts, rows
 
 LOG = "\r\n".join(
@@ -147,3 +147,21 @@ def test_replication_equals_the_fold(spark, seed):
     df = spark.createDataFrame([("f", i, line) for i, line in enumerate(lines)], "source_file string, i bigint, line string")
     state = replication.replication_state(ordering.with_blocks(df.repartition(4), "i", 37))
     assert rows(state) == fold(lines)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_line_numbers_of_files_in_many_splits(spark, tmp_path, end):
+    rng = random.Random(7)
+    written = {}
+    for name, count in {"a": 900, "b": 3, "c": 400}.items():
+        written[name] = [f"{name}{i} " + "x" * rng.choice([0, 3, 200]) if i % 5 else "" for i in range(count - 1)] + ["last"]
+        (tmp_path / f"{name}.log").write_text(end.join(written[name]), newline="")
+    (tmp_path / "empty.log").write_text("")
+    reading = spark.newSession()
+    reading.conf.set("spark.sql.files.maxPartitionBytes", 4096)
+    numbered = scan_numbered_lines(reading, str(tmp_path))
+    assert numbered.filter(F.col("source_file").endswith("a.log")).select("block").distinct().count() >= 4
+    found = {}
+    for row in numbered.orderBy("source_file", "pos").collect():
+        found.setdefault(row.source_file[-5], []).append((row.pos, row.line))
+    assert found == {name: list(enumerate(lines, 1)) for name, lines in written.items()}
