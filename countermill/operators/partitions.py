@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from countermill.functions.times import Day, date_id, day_column
+from countermill.sources.counter_files import found_files
 
 # Partition columns by level.
 PARTITION_LEVELS = ["date_id", "hour_id", "rop_id"]
@@ -64,6 +65,39 @@ def _spec(values: dict[str, str]) -> str:
     return ", ".join(f"{column}='{value}'" for column, value in values.items())
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    """Folder of a table."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+    return described.first()["data_type"]
+
+
+def partition_drift(spark: SparkSession, table: str) -> DataFrame:
+    """(location, state) of a table's partitions and of the partition folders below it.
+
+    ``listed``: the catalog has it and it holds files; ``empty``: the catalog has it, no file
+    does; ``unlisted``: a folder with files that the catalog does not know, as another job moved
+    it in or its partition was dropped. Only the names of files are read.
+    """
+    folder = F.regexp_extract("path", r"((?:[^/=]+=[^/]*/)+)[^/]+$", 1)
+    found = found_files(spark, table_location(spark, table)).select(F.url_decode(F.rtrim(folder, F.lit("/"))).alias("location"))
+    known = table_partitions(spark, table).select("location", F.lit(True).alias("known"), F.lit(False).alias("held"))
+    held = found.filter("location != ''").select("location", F.lit(False).alias("known"), F.lit(True).alias("held"))
+    both = known.unionByName(held).groupBy("location").agg(F.max("known").alias("known"), F.max("held").alias("held"))
+    state = F.when(~F.col("held"), "empty").when(F.col("known"), "listed").otherwise("unlisted")
+    return both.select("location", state.alias("state"))
+
+
+def recover_partitions(spark: SparkSession, table: str, locations: DataFrame, batch: int = 500) -> int:
+    """Add the partitions named by ``location`` (``date_id=../hour_id=..``); returns their number.
+
+    ``locations`` is catalog metadata, such as the unlisted folders of a few days.
+    """
+    specs = [f"PARTITION ({_spec(dict(part.split('=', 1) for part in row['location'].split('/')))})" for row in locations.collect()]
+    for start in range(0, len(specs), batch):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(specs[start : start + batch])}")
+    return len(specs)
+
+
 def add_partitions(spark: SparkSession, table: str, calendar: DataFrame) -> int:
     """Add the calendar's partitions to a table, in one statement; returns their number.
 

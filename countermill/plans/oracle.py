@@ -335,6 +335,15 @@ ORACLE: dict[str, str] = {
     "q_expired_partitions": f"""
         SELECT DISTINCT '/pm/cell/date_id=' || strftime(ts, '%Y%m%d') AS location, strftime(ts, '%Y%m%d') AS date_id
         FROM events WHERE CAST(ts AS DATE) < DATE '{EVENT_DAY}' - INTERVAL 7 DAY""",
+    "q_table_partitions": f"""
+        WITH days AS (SELECT date_id, counter_value FROM ({HOT})
+                      UNION ALL SELECT '20990101', counter_value FROM ({HOT}) WHERE date_id = '20240120'
+                      UNION ALL SELECT '20240119', counter_value FROM ({HOT}) WHERE date_id = '20240120')
+        SELECT 'date_id=' || date_id AS location, CASE WHEN date_id < '20240113' THEN 'unlisted' ELSE 'listed' END AS state,
+               CASE WHEN date_id >= '20240113' THEN count(*) END AS rows,
+               CASE WHEN date_id >= '20240113' THEN CAST(sum(counter_value) AS BIGINT) END AS total
+        FROM days GROUP BY date_id
+        UNION ALL SELECT 'date_id=20991231', 'empty', NULL, NULL""",
     "q_merge_versions": """
         SELECT 'v1' AS version, o_orderkey, CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS a,
                CAST(o_custkey AS DOUBLE) AS b, CAST(NULL AS VARCHAR) AS c FROM orders WHERE o_orderstatus = 'F'
@@ -454,6 +463,36 @@ ORACLE: dict[str, str] = {
                           ELSE substr(o_orderpriority, 1, 1) END AS ref FROM orders)
         SELECT o_orderkey, a.member_type, a.ref, member, nested_ref
         FROM a LEFT JOIN m ON a.member_type = m.member_type AND a.ref = m.ref""",
+    "q_entity_tree_paths": """
+        WITH RECURSIVE lines AS (
+          SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag) - 1 AS n
+          FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+        nodes AS (
+          SELECT c_custkey AS doc, 'c' || c_custkey AS id, NULL AS parent, NULL AS section, c_name AS name, 0 AS place FROM customer
+          UNION ALL
+          SELECT o_custkey, 'o' || o_orderkey, 'c' || o_custkey, 'Orders', 'o' || o_orderkey,
+                 row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 FROM orders
+          UNION ALL
+          SELECT o_custkey, 'l' || l_orderkey || '-' || n, 'o' || l_orderkey, 'Lines', CAST(l_partkey AS VARCHAR), n FROM lines
+        ),
+        properties AS (
+          SELECT 'c' || c_custkey AS id, unnest([{'at': 0, 'prop': 'SEGMENT', 'value': c_mktsegment || ' & <co>'},
+                                                 {'at': 1, 'prop': 'NOTE', 'value': ''}]) AS p FROM customer
+          UNION ALL
+          SELECT 'o' || o_orderkey, unnest([{'at': 0, 'prop': 'STATUS', 'value': o_orderstatus},
+                                            {'at': 1, 'prop': 'PRIORITY', 'value': '<' || o_orderpriority || '>'}]) FROM orders
+          UNION ALL
+          SELECT 'l' || l_orderkey || '-' || n, unnest([{'at': 0, 'prop': 'line', 'value': CAST(l_linenumber AS VARCHAR)},
+                                                        {'at': 1, 'prop': 'flag', 'value': l_returnflag}]) FROM lines),
+        tree AS (
+          SELECT doc, id, name AS model, name AS path, CAST(NULL AS VARCHAR) AS parent_path, CAST(NULL AS VARCHAR) AS section,
+                 name, CAST(place AS INTEGER) AS entity_pos
+          FROM nodes WHERE parent IS NULL
+          UNION ALL
+          SELECT n.doc, n.id, t.model, t.path || '/' || n.section || ':' || n.name, t.path, n.section, n.name, CAST(n.place AS INTEGER)
+          FROM nodes n JOIN tree t ON n.parent = t.id)
+        SELECT doc, model, path, parent_path, section, name, entity_pos, p.at AS prop_pos, p.prop AS prop, p.value AS value
+        FROM tree JOIN properties USING (id)""",
     "q_hierarchy_edges": """
         SELECT 'PM_X_R1' AS techpack_version_id, n_name AS parent_mo_name, c_name AS child_mo_name,
                CAST(0 AS INTEGER) AS cardinality_min, n_regionkey AS cardinality_max

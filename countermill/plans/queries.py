@@ -17,10 +17,11 @@ from countermill.functions import types as TY
 from countermill.operators import ageing, catalog, entities, files, flatten, kpi, log_records, model_diff, models
 from countermill.operators import partitions, profiles, replication, routing, splits, versions
 from countermill.plans import standins as S
-from countermill.session import SETTINGS, shared_folder
+from countermill.session import SETTINGS, durable, shared_folder
 from countermill.sinks.stores import write_cold, write_long
 from countermill.sources import counter_files as CF
 from countermill.sources.logs import scan_numbered_lines
+from countermill.sources.model_trees import tree_rows
 from countermill.sources.node_models import instance_attributes
 from countermill.sources.stores import backlog_older_than
 from countermill.streaming.fanout import Sink, commits, committed, start_fan_out
@@ -470,6 +471,36 @@ def expired_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partitions.expired_partitions(days.distinct(), EVENT_DAY, 7)
 
 
+@query
+def table_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An external table whose partitions are created, added, expired, moved in and refreshed:
+    what the catalog and the folders hold in the end, with the rows the table shows."""
+    name = f"countermill_{uuid.uuid4().hex}"
+    location = f"{shared_folder(spark)}/{name}"
+    rows = _hot(spark, sf_dir).select("event_id", "counter_value", "date_id")
+    write_cold(rows.hint("rebalance", "date_id"), location)
+    partitions.create_external_table(spark, name, rows.schema, ["date_id"], location)
+    eve = rows.select(F.date_sub(F.to_date("date_id", "yyyyMMdd"), 1).alias("day")).distinct()
+    partitions.add_partitions(spark, name, partitions.partition_calendar(eve))
+    spark.table(name).count()
+    partitions.purge_expired(spark, name, EVENT_DAY, 7)
+    # Another job moves a day in, and adds files to one that the session has read already.
+    later = rows.filter(F.col("date_id") == "20240120")
+    write_cold(later.withColumn("date_id", F.lit("20990101")), location, append=True)
+    write_cold(later.withColumn("date_id", F.lit("20240119")), location, append=True)
+    drift = partitions.partition_drift(spark, name).filter("state = 'unlisted'")
+    partitions.recover_partitions(spark, name, drift.filter("location > 'date_id=20240120'"))
+    partitions.add_partitions(spark, name, spark.sql("SELECT '20991231' AS date_id"))
+    partitions.refresh_days(spark, name)
+    seen = spark.table(name).groupBy(F.concat(F.lit("date_id="), "date_id").alias("location")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("counter_value").alias("total")
+    )
+    # Taken before the table goes: the result must not leave a table behind.
+    result = durable(partitions.partition_drift(spark, name).join(seen, "location", "left"))
+    spark.sql(f"DROP TABLE {name}")
+    return result
+
+
 # --- versions and splits ----------------------------------------------------
 
 
@@ -694,6 +725,12 @@ def reference_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.resolve_references(attributes, enums, structs).select("o_orderkey", "member_type", "ref", "member", "nested_ref")
 
 
+@query
+def entity_tree_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entity trees of three levels as property rows with their paths."""
+    return tree_rows(S.entity_trees(spark, sf_dir), "file")
+
+
 @query
 def hierarchy_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers under nations as managed-object edges."""

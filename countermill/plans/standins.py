@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countermill.functions.text import last_value, rdn_class
+from countermill.functions.text import escape_xml, last_value, rdn_class
 from countermill.operators.ordering import with_blocks
 from countermill.sources.stores import Catalog
 
@@ -357,3 +357,35 @@ def model_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
         properties(supplier, "s_name", "s_nationkey", F.lit("SUPPLY"))
     )
     return old, new
+
+
+def entity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, value): one entity tree per customer: its orders, and their lines as references.
+
+    A document holds all orders of a customer. Texts are escaped, in CDATA sections or beside comments.
+    """
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag"))).alias("lines")
+    )
+    reference = F.transform(
+        "lines", lambda n: F.format_string("<EntityRef name=\"%d\" line='%d' flag=\"%s\"/>", n["l_partkey"], n["l_linenumber"], n["l_returnflag"])
+    )
+    section = lambda name, parts: F.coalesce(
+        F.concat(F.lit(f'<Components section="{name}">\n'), F.array_join(parts, "\n"), F.lit("</Components>")), F.lit("")
+    )
+    order = F.concat(
+        F.lit('<EntityDef name="o'), F.col("o_orderkey"), F.lit('"><STATUS>'), F.col("o_orderstatus"),
+        F.lit("</STATUS><!-- <hidden> --><PRIORITY><![CDATA[<"), F.col("o_orderpriority"), F.lit(">]]></PRIORITY>"),
+        section("Lines", reference), F.lit("</EntityDef>"),
+    )
+    orders = table(spark, sf_dir, "orders").join(lines, "o_orderkey", "left").select(
+        F.col("o_custkey").alias("c_custkey"), "o_orderkey", order.alias("markup")
+    )
+    of_customer = orders.groupBy("c_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "markup"))).alias("orders"))
+    document = F.concat(
+        F.lit('<?xml version="1.0"?>\n<EntityDef name="'), F.col("c_name"), F.lit('"><SEGMENT>'),
+        escape_xml(F.concat("c_mktsegment", F.lit(" & <co>"))), F.lit("</SEGMENT><NOTE/>"),
+        section("Orders", F.transform("orders", lambda o: o["markup"])), F.lit("</EntityDef>\n"),
+    )
+    customers = table(spark, sf_dir, "customer").join(of_customer, "c_custkey", "left")
+    return customers.select(F.col("c_custkey").alias("file"), document.alias("value"))
