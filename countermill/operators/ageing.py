@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from countermill.functions.times import Day, between_days_ago, day_column
+from countermill.functions.times import Day, between_days_ago, date_id, day_column
 from countermill.operators.partitions import drop_partitions
 from countermill.sinks.stores import write_cold
 
@@ -23,10 +23,24 @@ def ageing_window(
 
 
 def oldest_day(
-    df: DataFrame, today: Day, newest: int = NEWEST_DAYS, oldest: int = OLDEST_DAYS, moment: str = "ropendtime"
+    df: DataFrame,
+    today: Day,
+    newest: int = NEWEST_DAYS,
+    oldest: int = OLDEST_DAYS,
+    moment: str = "ropendtime",
+    slack_days: int | None = None,
 ) -> DataFrame:
-    """One row: the oldest ``date_id`` with a row inside the window, or NULL."""
-    return ageing_window(df, today, newest, oldest, moment).agg(F.min("date_id").alias("date_id"))
+    """One row: the oldest ``date_id`` with a row inside the window, or NULL.
+
+    ``slack_days`` states how far a row's ``date_id`` may lie from its moment (a day, where it is
+    the local one); then only folders of these days are read.
+    """
+    inside = ageing_window(df, today, newest, oldest, moment)
+    if slack_days is not None:
+        day = day_column(today)
+        first, last = (date_id(F.date_sub(day, n)) for n in (oldest + slack_days, newest - slack_days))
+        inside = inside.filter(F.col("date_id").between(first, last))
+    return inside.agg(F.min("date_id").alias("date_id"))
 
 
 def age_out(
@@ -43,6 +57,11 @@ def age_out(
     return df.filter(F.col("date_id") == day), df.filter(~moves)
 
 
+def _content(columns: Sequence[str]) -> list[Column]:
+    """Row count and checksum of rows in any order; repeated rows count each time."""
+    return [F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("checksum")]
+
+
 def archive_oldest(
     spark: SparkSession,
     table: str,
@@ -51,22 +70,24 @@ def archive_oldest(
     newest: int = NEWEST_DAYS,
     oldest: int = OLDEST_DAYS,
     partition_columns: Sequence[str] = ("date_id",),
+    slack_days: int | None = 1,
 ) -> str | None:
     """Move the oldest day of a partitioned hot table to Parquet; returns the day.
 
-    Cold rows replace their partition, are counted, and only then the hot
-    partition goes. A run that stops anywhere can be repeated.
+    The hot rows of the day are read once: count and checksum are taken while they are written.
+    Cold rows replace their partition, are read back and must give the same count and
+    checksum, and only then the hot partition goes. A run that stops anywhere can be repeated.
     """
     hot = spark.table(table)
-    day = oldest_day(hot, today, newest, oldest).first()["date_id"]
+    day = oldest_day(hot, today, newest, oldest, slack_days=slack_days).first()["date_id"]
     if day is None:
         return None
-    rows = hot.filter(F.col("date_id") == day)
-    write_cold(rows, cold_path, partition_columns)
-    written = spark.read.parquet(cold_path).filter(F.col("date_id").cast("string") == day).count()
-    expected = rows.count()
-    if written != expected:
-        raise RuntimeError(f"{table} {day}: {written} of {expected} rows arrived in {cold_path}")
+    sent = Observation()
+    write_cold(hot.filter(F.col("date_id") == day).observe(sent, *_content(hot.columns)), cold_path, partition_columns)
+    cold = spark.read.schema(hot.schema).parquet(cold_path).filter(F.col("date_id") == day)
+    arrived = cold.agg(*_content(hot.columns)).first().asDict()
+    if arrived != sent.get:
+        raise RuntimeError(f"{table} {day}: {arrived} arrived in {cold_path}, not {sent.get}")
     drop_partitions(spark, table, [day])
     return day
 

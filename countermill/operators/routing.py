@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -34,7 +35,10 @@ TABLE_KEYS = ["target_package_name", "table"]
 
 
 def _property(argument: str, properties: Mapping[str, str], more: str, columns: Sequence[str]) -> Column | None:
-    """Value of a property, "" where a row has none; None without a column that could hold it."""
+    """Value of a property, "" where a row has none; None without a column that could hold it.
+
+    A rule on such a property matches nothing; :func:`unheld_properties` names them.
+    """
     if argument in properties:
         return F.coalesce(F.col(properties[argument]), F.lit(""))
     if more in columns:
@@ -55,6 +59,22 @@ def match_rule(rule: Row, properties: Mapping[str, str], more: str = "", columns
     return value == wanted if rule["match_type"] == "equals" else value.startswith(wanted)
 
 
+def unheld_properties(rules: DataFrame, root: str, columns: Sequence[str]) -> list[str]:
+    """Properties that a rule tests and no column of the attributes can hold.
+
+    Only the distinct property names of the rules come to the driver.
+    """
+    tested = rules.filter(F.col("match_type").isin("equals", "startswith")).select(
+        F.coalesce("match_argument", F.lit("")).alias("property"), (F.col("parent_rule_name") == root).alias("of_object")
+    )
+
+    def held(row: Row) -> bool:
+        known, more = (OBJECT_PROPERTIES, OBJECT_MAP) if row["of_object"] else (ATTRIBUTE_PROPERTIES, ATTRIBUTE_MAP)
+        return row["property"] in known or more in columns
+
+    return sorted({row["property"] for row in tested.distinct().collect() if not held(row)})
+
+
 def _table(package: Column, object_target: Column, attribute_target: Column) -> Column:
     base = F.when(F.coalesce(object_target, F.lit("")) != "", F.upper(object_target)).otherwise(F.upper("mo_name"))
     return table_name(F.concat(package, F.lit("_"), base, F.upper(F.coalesce(attribute_target, F.lit("")))))
@@ -170,13 +190,19 @@ def _routes_by_join(attributes: DataFrame, rules: DataFrame, root: str) -> DataF
 
 
 def routed_attributes(
-    attributes: DataFrame, rules: DataFrame, root: str, rules_in_plan: int = RULES_IN_PLAN
+    attributes: DataFrame, rules: DataFrame, root: str, rules_in_plan: int = RULES_IN_PLAN, strict: bool = False
 ) -> DataFrame:
     """Attributes with the package and table each goes to; unmatched ones drop out.
 
     ``root`` is the parent name of the object rules. All object rules that match
-    apply, and of each the first attribute rule that matches.
+    apply, and of each the first attribute rule that matches. A rule on a property that no
+    column holds matches nothing: that is warned of, or with ``strict`` an error.
     """
+    if unheld := unheld_properties(rules, root, attributes.columns):
+        message = f"rules test properties that no column holds: {', '.join(unheld)}"
+        if strict:
+            raise ValueError(message)
+        warnings.warn(message, stacklevel=2)
     few = rules.limit(rules_in_plan + 1).collect()
     if len(few) <= rules_in_plan:
         return _routes_in_plan(attributes, few, root)

@@ -325,6 +325,11 @@ ORACLE: dict[str, str] = {
     "q_backlog_old": f"SELECT path, status FROM ({ORDER_BACKLOG}) WHERE received < DATE '{ORDER_DAY}' - INTERVAL 3 DAY",
     "q_age_out_archived": f"SELECT * FROM ({HOT}) WHERE date_id = ({AGED})",
     "q_age_out_remaining": f"SELECT * FROM ({HOT}) WHERE date_id IS DISTINCT FROM ({AGED})",
+    "q_archive_day": f"""
+        SELECT CASE WHEN date_id BETWEEN strftime(DATE '{EVENT_DAY}' - INTERVAL 5 DAY, '%Y%m%d')
+                              AND strftime(DATE '{EVENT_DAY}' - INTERVAL 4 DAY, '%Y%m%d') THEN 'cold' ELSE 'hot' END AS store,
+               date_id, count(*) AS rows, CAST(sum(counter_value) AS BIGINT) AS total
+        FROM ({HOT}) GROUP BY date_id""",
     "q_retention_purge": f"""
         SELECT event_id, CASE WHEN ts >= DATE '{EVENT_DAY}' - INTERVAL 7 DAY THEN 'kept' ELSE 'purged' END AS state FROM events""",
     "q_partition_calendar": """

@@ -452,6 +452,25 @@ def age_out_remaining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ageing.age_out(_hot(spark, sf_dir), EVENT_DAY)[1].drop("ropendtime")
 
 
+@query
+def archive_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days moved from a partitioned hot table to cold Parquet, each checked before it is dropped."""
+    name = f"countermill_{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/{name}"
+    hot = _hot(spark, sf_dir)
+    write_cold(hot.hint("rebalance", "date_id"), f"{folder}/hot")
+    partitions.create_external_table(spark, name, hot.schema, ["date_id"], f"{folder}/hot")
+    partitions.recover_partitions(spark, name, partitions.partition_drift(spark, name))
+    for _ in range(2):
+        ageing.archive_oldest(spark, name, f"{folder}/cold", EVENT_DAY)
+    cold = spark.read.schema(hot.schema).parquet(f"{folder}/cold").withColumn("store", F.lit("cold"))
+    both = spark.table(name).withColumn("store", F.lit("hot")).unionByName(cold)
+    # Taken before the table goes: the result must not leave a table behind.
+    result = durable(both.groupBy("store", "date_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("counter_value").alias("total")))
+    spark.sql(f"DROP TABLE {name}")
+    return result
+
+
 @query
 def retention_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
     hot = _hot(spark, sf_dir)

@@ -205,7 +205,10 @@ def test_all_object_rules_apply_and_targets_rename(spark, rules_in_plan):
         ],
         S.RULE_COLUMNS,
     )
-    routed = routing.routed_attributes(attributes(spark), rules, "B", rules_in_plan)
+    with pytest.warns(UserWarning, match="colour"):
+        routed = routing.routed_attributes(attributes(spark), rules, "B", rules_in_plan)
+    with pytest.raises(ValueError, match="colour"):
+        routing.routed_attributes(attributes(spark), rules, "B", rules_in_plan, strict=True)
     assert rows(routed.groupBy("table").count()) == [("P_CELL_FDD", 6), ("P_SPECIAL_B", 1)]
 
 

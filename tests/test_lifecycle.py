@@ -105,6 +105,31 @@ def test_archive_oldest_moves_partitions_and_can_be_repeated(spark, tmp_path):
     assert ageing.archive_oldest(spark, table, cold, "2025-01-10") is None
 
 
+def test_a_day_that_arrives_changed_is_not_dropped(spark, tmp_path, monkeypatch):
+    table, cold = f"hot_{uuid.uuid4().hex[:8]}", str(tmp_path / "cold")
+    hot(spark).write.partitionBy("date_id").saveAsTable(table)
+    write = sinks.write_cold
+
+    def spoiled(df, path, columns):
+        write(df, path, columns)
+        kept = spark.read.schema(df.schema).parquet(path).withColumn("nedn", F.concat("nedn", F.lit("!")))
+        write(spark.createDataFrame(kept.collect(), kept.schema).select(*df.columns), path, columns)
+
+    monkeypatch.setattr(ageing, "write_cold", spoiled)
+    with pytest.raises(RuntimeError, match="20240105"):
+        ageing.archive_oldest(spark, table, cold, "2024-01-10")
+    assert spark.table(table).filter("date_id = '20240105'").count() == 3
+
+
+def test_the_day_search_reads_only_folders_near_the_window(spark):
+    table = f"hot_{uuid.uuid4().hex[:8]}"
+    hot(spark).write.partitionBy("date_id").saveAsTable(table)
+    search = ageing.oldest_day(spark.table(table), "2024-01-10", slack_days=1)
+    assert search.first()["date_id"] == "20240105"
+    scans = search._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1]
+    assert "date_id" in scans.split("]")[0]
+
+
 def test_retention(spark):
     kept, purged = (f(hot(spark), "2024-01-08", 2) for f in (ageing.within_retention, ageing.beyond_retention))
     assert kept.count() + purged.count() == 11
