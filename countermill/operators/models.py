@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from countermill.functions.text import config_text
+from countermill.session import durable
 
 # Sections of a model document.
 ENTITIES, COLUMNS = "REPORTABLE_ENTITIES", "REPORTABLE_ENTITIES_COLUMNS"
@@ -252,6 +254,69 @@ def resolve_references(attributes: DataFrame, enums: DataFrame, structs: DataFra
     return found.unionByName(referring.filter(F.col("ref").isNull()), allowMissingColumns=True)
 
 
+def struct_closure(structs: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    """Members that each struct has in the end, through structs in structs of any depth.
+
+    ``structs`` is (struct_name, member, enum_ref, struct_ref); ``roots`` (struct_name) limits which
+    structs are opened, a name without a definition included. Returns (root, path, depth, kind, ref):
+    ``path`` joins the member names from the root with dots; kind is ``member``, ``enum``
+    (``ref`` names it), ``undefined`` (``ref`` is no struct) or ``cycle`` (``ref`` is a
+    struct that the path has passed already, which ends it).
+
+    One join a level, over what the level before left open. A path passes a struct once, so the
+    rounds end; each round is checkpointed, as the next ones read it twice.
+    """
+    members = structs.select("struct_name", "member", "enum_ref", "struct_ref").distinct()
+    known = members.select("struct_name").distinct().withColumn("_known", F.lit(True))
+    start = (structs if roots is None else roots).select(F.col("struct_name").alias("root")).distinct()
+    start = start.filter(F.col("root").isNotNull())
+    nothing = F.array().cast("array<string>")
+    open_paths = start.select("root", F.col("root").alias("ref"), nothing.alias("names"), F.array("root").alias("passed"))
+    closed = []
+    while True:
+        opened = open_paths.join(known, F.col("ref") == F.col("struct_name"), "left").drop("struct_name")
+        missing = opened.filter(F.col("_known").isNull())
+        step = opened.filter("_known").drop("ref").join(members, F.get("passed", F.size("passed") - 1) == F.col("struct_name"))
+        names = F.concat("names", F.array(F.coalesce("member", F.lit(""))))
+        kind = (
+            F.when(F.col("struct_ref").isNotNull() & F.array_contains("passed", F.col("struct_ref")), "cycle")
+            .when(F.col("struct_ref").isNotNull(), "open")
+            .when(F.col("enum_ref").isNotNull(), "enum")
+            .otherwise("member")
+        )
+        ref = F.coalesce("struct_ref", "enum_ref")
+        level = durable(
+            step.select("root", names.alias("names"), "passed", kind.alias("kind"), ref.alias("ref")).unionByName(
+                missing.select("root", "names", "passed", F.lit("undefined").alias("kind"), "ref")
+            )
+        )
+        closed.append(level.filter("kind <> 'open'"))
+        open_paths = level.filter("kind = 'open'").select(
+            "root", "ref", "names", F.concat("passed", F.array("ref")).alias("passed")
+        )
+        if open_paths.isEmpty():
+            break
+    whole = reduce(DataFrame.unionByName, closed)
+    return whole.select("root", F.array_join("names", ".").alias("path"), F.size("names").alias("depth"), "kind", "ref")
+
+
+def resolve_nested(attributes: DataFrame, enums: DataFrame, structs: DataFrame) -> DataFrame:
+    """Attributes with all members they refer to, through structs of any depth.
+
+    As :func:`resolve_references`, with ``path`` and ``kind`` of :func:`struct_closure` for those
+    of a struct; members of an enum have kind ``enum`` and their name as path.
+    """
+    referring = attributes.withColumn("ref", F.coalesce("enum_ref", "struct_ref")).withColumn("_of_enum", F.col("enum_ref").isNotNull())
+    roots = referring.filter(~F.col("_of_enum") & F.col("ref").isNotNull()).select(F.col("ref").alias("struct_name"))
+    of_struct = struct_closure(structs, roots).select(F.lit(False).alias("_of_enum"), F.col("root").alias("ref"), "path", "kind", F.col("ref").alias("nested_ref"))
+    of_enum = enums.select(
+        F.lit(True).alias("_of_enum"), F.col("enum_name").alias("ref"), F.col("member").alias("path"), F.lit("enum").alias("kind"),
+        F.lit(None).cast("string").alias("nested_ref"),
+    )
+    found = referring.filter(F.col("ref").isNotNull()).join(of_struct.unionByName(of_enum), ["_of_enum", "ref"], "left")
+    return found.unionByName(referring.filter(F.col("ref").isNull()), allowMissingColumns=True).drop("_of_enum")
+
+
 def pack_header(header: DataFrame, package: str, base: str) -> DataFrame:
     """techpack_versions row of a package generated from a node model."""
     empty = F.lit("")

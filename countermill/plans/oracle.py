@@ -199,6 +199,27 @@ SELECT date_id, measurement, event_type AS counter_name, count(*) AS rows, CAST(
 FROM ({DOC}) GROUP BY date_id, measurement, event_type
 """
 
+# Structs in structs, opened level by level; a path ends at a struct it has passed.
+CLOSURE = """
+WITH RECURSIVE structs AS (
+  SELECT DISTINCT CAST(p_size AS VARCHAR) AS struct_name, p_type AS member,
+         CASE WHEN p_type = 'ECONOMY' THEN 'e' || (p_size % 4) END AS enum_ref,
+         CASE WHEN p_type = 'PROMO' THEN CAST(CASE WHEN p_size = 1 THEN 48 WHEN p_size % 9 = 0 THEN -1 ELSE p_size // 2 END AS VARCHAR) END AS struct_ref
+  FROM part),
+walk AS (
+  SELECT struct_name AS root, [] :: VARCHAR[] AS names, [struct_name] AS passed, 'open' AS kind, struct_name AS ref
+  FROM (SELECT DISTINCT {root} AS struct_name FROM {roots})
+  UNION ALL
+  SELECT w.root, CASE WHEN s.struct_name IS NULL THEN w.names ELSE list_append(w.names, s.member) END,
+         CASE WHEN s.struct_ref IS NULL THEN w.passed ELSE list_append(w.passed, s.struct_ref) END,
+         CASE WHEN s.struct_name IS NULL THEN 'undefined' WHEN list_contains(w.passed, s.struct_ref) THEN 'cycle'
+              WHEN s.struct_ref IS NOT NULL THEN 'open' WHEN s.enum_ref IS NOT NULL THEN 'enum' ELSE 'member' END,
+         CASE WHEN s.struct_name IS NULL THEN w.ref ELSE coalesce(s.struct_ref, s.enum_ref) END
+  FROM walk w LEFT JOIN structs s ON s.struct_name = w.ref WHERE w.kind = 'open'),
+closure AS (
+  SELECT root, array_to_string(names, '.') AS path, CAST(len(names) AS INTEGER) AS depth, kind, ref FROM walk WHERE kind <> 'open')
+"""
+
 ORACLE: dict[str, str] = {
     "q_mdc_files": _COUNTED,
     "q_stream_mdc": _COUNTED,
@@ -468,6 +489,13 @@ ORACLE: dict[str, str] = {
                           ELSE substr(o_orderpriority, 1, 1) END AS ref FROM orders)
         SELECT o_orderkey, a.member_type, a.ref, member, nested_ref
         FROM a LEFT JOIN m ON a.member_type = m.member_type AND a.ref = m.ref""",
+    "q_model_closure": CLOSURE.replace("{root}", "struct_name").replace("{roots}", "structs") + "SELECT * FROM closure",
+    "q_nested_references": CLOSURE.replace("{root}", "CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)").replace(
+        "{roots}", "lineitem WHERE l_returnflag <> 'N'"
+    ) + """
+        , lines AS (SELECT CASE WHEN l_returnflag <> 'N' THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS ref FROM lineitem)
+        SELECT l.ref, kind, count(*) AS rows, count(DISTINCT path) AS paths
+        FROM lines l LEFT JOIN closure c ON c.root = l.ref GROUP BY l.ref, kind""",
     "q_entity_tree_paths": """
         WITH RECURSIVE lines AS (
           SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag) - 1 AS n

@@ -744,6 +744,24 @@ def reference_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.resolve_references(attributes, enums, structs).select("o_orderkey", "member_type", "ref", "member", "nested_ref")
 
 
+@query
+def model_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of all structs through structs in structs, with cycles and undefined ones."""
+    return models.struct_closure(S.nested_structs(spark, sf_dir))
+
+
+@query
+def nested_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as attributes that refer to a struct, resolved to the end, counted by kind and depth."""
+    lines = S.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.lit(None).cast("string").alias("enum_ref"),
+        F.when(F.col("l_returnflag") != "N", F.col("l_quantity").cast("int").cast("string")).alias("struct_ref"),
+    )
+    enums = S.table(spark, sf_dir, "lineitem").select(F.col("l_linestatus").alias("enum_name"), F.col("l_returnflag").alias("member")).distinct()
+    found = models.resolve_nested(lines, enums, S.nested_structs(spark, sf_dir))
+    return found.groupBy("ref", "kind").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("path").alias("paths"))
+
+
 @query
 def entity_tree_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entity trees of three levels as property rows with their paths."""

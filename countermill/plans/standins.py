@@ -389,3 +389,16 @@ def entity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     customers = table(spark, sf_dir, "customer").join(of_customer, "c_custkey", "left")
     return customers.select(F.col("c_custkey").alias("file"), document.alias("value"))
+
+
+def nested_structs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part sizes as structs with the part types as members: a promo refers to the struct of half
+    the size, that of size 1 to size 48 and closes a cycle; sizes that divide by 9 refer to none there is."""
+    part = table(spark, sf_dir, "part")
+    half = F.when(F.col("p_size") == 1, 48).when(F.col("p_size") % 9 == 0, -1).otherwise(F.expr("p_size div 2"))
+    return part.select(
+        F.col("p_size").cast("string").alias("struct_name"),
+        F.col("p_type").alias("member"),
+        F.when(F.col("p_type") == "ECONOMY", F.concat(F.lit("e"), F.col("p_size") % 4)).alias("enum_ref"),
+        F.when(F.col("p_type") == "PROMO", half.cast("string")).alias("struct_ref"),
+    ).distinct()
