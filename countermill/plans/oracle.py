@@ -489,6 +489,23 @@ ORACLE: dict[str, str] = {
                           ELSE substr(o_orderpriority, 1, 1) END AS ref FROM orders)
         SELECT o_orderkey, a.member_type, a.ref, member, nested_ref
         FROM a LEFT JOIN m ON a.member_type = m.member_type AND a.ref = m.ref""",
+    "q_model_catalog": """
+        WITH e AS (SELECT DISTINCT s_suppkey, s_name AS v, 'E' || l_returnflag AS e FROM lineitem JOIN supplier ON s_suppkey = l_suppkey),
+        c AS (SELECT DISTINCT s_name AS v, s_name || ':E' || l_returnflag AS e, l_linenumber AS n FROM lineitem JOIN supplier ON s_suppkey = l_suppkey),
+        r(t, x) AS (
+          SELECT 'techpack_versions', s_name || '|T' || s_nationkey || '|||||||||A,B' || s_suppkey FROM supplier
+          UNION ALL SELECT 'supported_node_versions', s_name || '|L' || s_suppkey || '|' || s_suppkey || '.0|' FROM supplier
+          UNION ALL SELECT 'node_mo_structure', s_name || '|N' || s_nationkey || '|C|0|' || CASE WHEN s_suppkey % 5 = 0 THEN '~' ELSE CAST(s_suppkey AS VARCHAR) END FROM supplier
+          UNION ALL SELECT 'mo_table_mapping', v || '|Mo|' || e FROM e WHERE e = 'EA'
+          UNION ALL SELECT 'retention_plan', 'SHORT' || s_suppkey || '|' || s_suppkey || '|~' FROM supplier
+          UNION ALL SELECT 'reportable_entity', v || ':' || e || '|' || v || '|' || e || '|RAW|||' FROM e
+          UNION ALL SELECT 'reportable_entity_columns', v || '|' || e || '|' || e || ':c' || n || '|c' || n || '|' || n || '||ARRAY<BIGINT>:4||' || (n % 2) || '|its ' || n FROM c
+          UNION ALL SELECT 'reportable_entity_column_source', e || ':c' || n || '|' || v || '|' || e || '|Cell|' FROM c
+          UNION ALL SELECT 'flow_configuration', s_name || '|F|Collect||in=/d' || s_suppkey || '::out=/o||' FROM supplier
+          UNION ALL SELECT 'flow_scheduling', s_name || '|F|Collect|||15|~|1' FROM supplier WHERE s_suppkey % 2 = 0
+          UNION ALL SELECT 'designrules', s_name || '|PM|All|T' || s_nationkey || '|0|ALL|||' FROM supplier
+          UNION ALL SELECT 'designrules', s_name || '|PM|V|All|0|equals|name|m' || s_suppkey || '|_V' FROM supplier)
+        SELECT t AS "table", x AS row FROM r""",
     "q_model_closure": CLOSURE.replace("{root}", "struct_name").replace("{roots}", "structs") + "SELECT * FROM closure",
     "q_nested_references": CLOSURE.replace("{root}", "CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)").replace(
         "{roots}", "lineitem WHERE l_returnflag <> 'N'"

@@ -15,6 +15,7 @@ from countermill.functions import text as X
 from countermill.functions import times as TM
 from countermill.functions import types as TY
 from countermill.operators import ageing, catalog, entities, files, flatten, kpi, log_records, model_diff, models
+from countermill.operators.model_catalog import catalog_text, read_model_catalog, write_model_catalog
 from countermill.operators import partitions, profiles, replication, routing, splits, versions
 from countermill.plans import standins as S
 from countermill.session import SETTINGS, durable, shared_folder
@@ -744,6 +745,14 @@ def reference_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.resolve_references(attributes, enums, structs).select("o_orderkey", "member_type", "ref", "member", "nested_ref")
 
 
+@query
+def model_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model documents to all eleven catalog tables in one pass, written and read back as text."""
+    folder = f"{shared_folder(spark)}/countermill-{uuid.uuid4().hex}"
+    write_model_catalog(tree_rows(S.pack_models(spark, sf_dir), "file"), folder)
+    return catalog_text(read_model_catalog(spark, folder))
+
+
 @query
 def model_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members of all structs through structs in structs, with cycles and undefined ones."""

@@ -402,3 +402,48 @@ def nested_structs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("p_type") == "ECONOMY", F.concat(F.lit("e"), F.col("p_size") % 4)).alias("enum_ref"),
         F.when(F.col("p_type") == "PROMO", half.cast("string")).alias("struct_ref"),
     ).distinct()
+
+
+def pack_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, value): one model document per supplier, with all that catalog tables are made of.
+
+    Its entities are the return flags of its lines, their columns the line numbers.
+    """
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_returnflag", "l_linenumber").distinct()
+    column = F.format_string(
+        "<EntityDef name=\"c%d\"><ENTITY_COLUMN_ORDER>0</ENTITY_COLUMN_ORDER><ENTITY_COLUMN_ORDER>%d</ENTITY_COLUMN_ORDER>"
+        "<ENTITY_DATA_TYPE>ARRAY&lt;BIGINT&gt;:4</ENTITY_DATA_TYPE><PARTITION_BY>%d</PARTITION_BY>"
+        "<ENTITY_DESCRIPTION>it's %d</ENTITY_DESCRIPTION><SOURCE_ENTITY_NAME>Cell</SOURCE_ENTITY_NAME></EntityDef>",
+        "l_linenumber", "l_linenumber", F.col("l_linenumber") % 2, "l_linenumber",
+    )
+    columns = lines.groupBy("l_suppkey", "l_returnflag").agg(F.array_join(F.array_sort(F.collect_list(column)), "").alias("columns"))
+    entity = F.concat(
+        F.lit('<EntityDef name="E'), F.col("l_returnflag"), F.lit('"><ENTITY_TYPE>RAW</ENTITY_TYPE><MAPPED_MO>'),
+        F.when(F.col("l_returnflag") == "A", "Mo").otherwise(""),
+        F.lit('</MAPPED_MO><Components section="REPORTABLE_ENTITIES_COLUMNS">'), F.col("columns"), F.lit("</Components></EntityDef>"),
+    )
+    entities = columns.groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.array_join(F.array_sort(F.collect_list(entity)), "").alias("entities"))
+    rest = F.format_string(
+        "<Components section=\"SUPPORTED_NODE_VERSIONS\"><EntityDef name=\"L%1$d\"><MODEL_VERSION>%1$d.0</MODEL_VERSION></EntityDef></Components>"
+        "<Components section=\"NODE_MO_STRUCTURE\"><EntityDef name=\"r\"><PARENT_MO_NAME>N%2$d</PARENT_MO_NAME>"
+        "<CHILD_MO_NAME>C</CHILD_MO_NAME><CARDINALITY_MIN>0</CARDINALITY_MIN><CARDINALITY_MAX>%3$s</CARDINALITY_MAX></EntityDef></Components>"
+        "<Components section=\"RETENTION_PLAN\"><EntityDef name=\"SHORT%1$d\"><RETENTION_PERIOD>%1$d</RETENTION_PERIOD></EntityDef></Components>"
+        "<Components section=\"Flows\"><EntityDef name=\"F\"><Components section=\"Actions\"><EntityDef name=\"Collect\">"
+        "<ROP_INTERVAL>%4$s</ROP_INTERVAL><ENABLED>1</ENABLED><CONFIG_out>/o</CONFIG_out><CONFIG_in>/d%1$d</CONFIG_in></EntityDef>"
+        "</Components></EntityDef></Components>"
+        "<Components section=\"DESIGNRULES\"><EntityDef name=\"PM\"><Components section=\"Rules\"><EntityDef name=\"All\">"
+        "<MATCH_TYPE>ALL</MATCH_TYPE><Components section=\"Rules\"><EntityDef name=\"V\"><MATCH_TYPE>equals</MATCH_TYPE>"
+        "<MATCH_ARGUMENT>name</MATCH_ARGUMENT><MATCH_VALUE>m%1$d</MATCH_VALUE><TARGET>_V</TARGET></EntityDef></Components>"
+        "</EntityDef></Components></EntityDef></Components>",
+        "s_suppkey", "s_nationkey",
+        F.when(F.col("s_suppkey") % 5 == 0, "None").otherwise(F.col("s_suppkey").cast("string")),
+        F.when(F.col("s_suppkey") % 2 == 0, "15").otherwise(""),
+    )
+    document = F.concat(
+        F.lit('<EntityDef name="'), F.col("s_name"), F.lit('"><TECHPACK_NAME>T'), F.col("s_nationkey"),
+        F.lit("</TECHPACK_NAME><DEPENDENCY>A,B"), F.col("s_suppkey"), F.lit("</DEPENDENCY>"),
+        F.concat(F.lit('<Components section="REPORTABLE_ENTITIES">'), F.coalesce("entities", F.lit("")), F.lit("</Components>")),
+        rest, F.lit("</EntityDef>"),
+    )
+    suppliers = table(spark, sf_dir, "supplier").join(entities, "s_suppkey", "left")
+    return suppliers.select(F.col("s_suppkey").alias("file"), document.alias("value"))
