@@ -433,6 +433,22 @@ ORACLE: dict[str, str] = {
                CAST(sum(v) FILTER (WHERE event_type = 'error') AS DOUBLE)
                  / nullif(CAST(sum(v) FILTER (WHERE event_type = 'click') AS DOUBLE), 0) AS error_rate
         FROM ({LONG}) GROUP BY date_id, date_trunc('hour', start)""",
+    "q_kpi_documents": f"""
+        WITH sums AS (
+          SELECT date_id, node, {', '.join(f"CAST(sum(v) FILTER (WHERE event_type = '{c}') AS DOUBLE) AS {c}" for c in COUNTERS)}
+          FROM ({LONG}) GROUP BY date_id, node),
+        by_node AS (SELECT node, {', '.join(f"sum({c}) AS {c}" for c in COUNTERS)} FROM sums GROUP BY node),
+        days AS (
+          SELECT date_id || '/' || node AS key,
+                 unnest([{{'kpi': 'click_share', 'value': click / nullif(click + "view", 0)}},
+                         {{'kpi': 'margin', 'value': 100 * (purchase - error) / nullif("view", 0)}},
+                         {{'kpi': 'error_rate', 'value': error / nullif("view", 0)}}]) AS k
+          FROM sums),
+        nodes AS (
+          SELECT node AS key, unnest([{{'kpi': 'net', 'value': -error + 2.5::DOUBLE * signup}},
+                                      {{'kpi': 'no_divisor', 'value': "view" / nullif("view" - "view", 0)}}]) AS k
+          FROM by_node)
+        SELECT key, k.kpi AS kpi, k.value AS value FROM days UNION ALL SELECT key, k.kpi, k.value FROM nodes""",
     "q_catalog_columns": f"SELECT * EXCLUDE (techpack_version_id) FROM ({ENTITY_COLUMNS})",
     "q_catalog_partition_columns": f"""
         SELECT DISTINCT reportable_entity_name, entity_column_name, entity_column_order

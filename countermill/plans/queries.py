@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +23,7 @@ from countermill.plans import standins as S
 from countermill.session import SETTINGS, durable, shared_folder
 from countermill.sinks.stores import write_cold, write_long
 from countermill.sources import counter_files as CF
+from countermill.sources.kpi_definitions import scan_kpi_definitions
 from countermill.sources.logs import scan_numbered_lines
 from countermill.sources.model_trees import tree_rows
 from countermill.sources.node_models import instance_attributes
@@ -631,6 +634,44 @@ def kpi_ratio_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.withColumn("ropendtime", F.date_format("ropendtime", "yyyyMMddHHmm"))
 
 
+# Definitions in the form of the KPI documents.
+KPI_DOCUMENTS = [
+    {
+        "source": "day",
+        "kpi_definitions": [
+            ("click_share", "pm://PM_X_CELL.click / (pm://PM_X_CELL.click + pm://PM_X_CELL.view)", ["date_id", "node"]),
+            ("margin", "100 * (pm://PM_X_CELL.purchase - pm://PM_X_CELL.error)/pm://PM_X_RAW.all_views", ["date_id", "node"]),
+            ("error_rate", "pm://PM_X_CELL.error / pm://PM_X_CELL.view", ["date_id", "node"]),
+        ],
+    },
+    {
+        "source": "node",
+        "kpi_definitions": [
+            ("net", "-pm://PM_X_CELL.error + 2.5 * pm://PM_X_CELL.signup", ["node"]),
+            ("no_divisor", "pm://PM_X_CELL.view / (pm://PM_X_RAW.all_views - pm://PM_X_CELL.view)", ["node"]),
+        ],
+    },
+]
+
+
+@query
+def kpi_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KPIs defined in JSON files, with brackets and constants, in long form."""
+    folder = f"{shared_folder(spark)}/countermill-{uuid.uuid4().hex}"
+    fields = ("name", "expression", "aggregation_elements")
+    for document in KPI_DOCUMENTS:
+        listed = [dict(zip(fields, d)) | {"aggregation_type": "SUM", "aggregation_period": 1440} for d in document["kpi_definitions"]]
+        text = json.dumps({"source": document["source"], "kpi_definitions": listed}, indent=1)
+        spark.createDataFrame([(text,)], "value STRING").coalesce(1).write.text(f"{folder}/{document['source']}")
+    definitions = kpi.read_kpis(scan_kpi_definitions(spark, f"{folder}/*"))
+    parts = []
+    for (_, elements, _), frame in kpi.kpi_tables(_kpi_tables(spark, sf_dir), definitions).items():
+        names = [c for c in frame.columns if c not in elements]
+        key = F.concat_ws("/", *elements)
+        parts.append(frame.select(key.alias("key"), *names).unpivot(["key"], names, "kpi", "value"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- catalog and models -----------------------------------------------------
 
 
