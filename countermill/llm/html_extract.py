@@ -44,10 +44,10 @@ def features(block: Block, at: int, of: int) -> list[str]:
     n = len(words)
     share = block.linked / max(1, len(block.text))
     out = ["bias"]
-    out += [f"tag {t}" for t in set(block.tags)]
+    out += [f"tag {t}" for t in block.tags]
     out += [f"name {x}" for x in block.names]
     out += [f"near {x}" for x in block.near]
-    out.append(f"inner {block.tags[-1] if block.tags else ''}")
+    out.append(f"inner {block.inner}")
     out.append(f"words {min(6, n.bit_length())}")
     out.append(f"linked {0 if share == 0 else 1 if share < 0.5 else 2}")
     out.append(f"ends {block.text[-1] in _END}")
@@ -233,13 +233,12 @@ class ChainModel:
 
 def train(pages: DataFrame) -> ChainModel:
     """The model of a bounded sample of the pages."""
-    sample = (
-        pages.where(F.octet_length("html").between(1, LABELLED_BYTES))
-        .select("html", F.xxhash64("page_id", "html").alias("h"))
-        .orderBy("h")
-        .limit(LABELLED_PAGES)
-        .collect()
+    usable = pages.where(F.octet_length("html").between(1, LABELLED_BYTES)).select(
+        "html", F.xxhash64("page_id", "html").alias("h")
     )
+    # The hashes are chosen first, so that tasks send no page but those of the sample.
+    least = usable.select("h").orderBy("h").limit(LABELLED_PAGES).agg(F.max("h")).first()[0]
+    sample = usable.where(F.col("h") <= F.lit(least)).orderBy("h").limit(LABELLED_PAGES).collect()
     return ChainModel(labelled_sequences([r.html for r in sample]))
 
 
