@@ -292,13 +292,15 @@ def identify_documents(docs: DataFrame) -> DataFrame:
 
 def identify_pages(pages: DataFrame) -> DataFrame:
     """Raw pages: the ``lang`` of the markup is declared, host and suffix are the address's,
-    tags are taken out of the text."""
-    text = F.regexp_replace(F.coalesce("html", F.lit("")), "(?is)<(script|style)[^>]*>.*?</\\1>|<[^>]*>", " ")
+    tags are taken out of the text. All columns of the input stay, but for those called like
+    a result. A script without an end runs to the end of the page, and a tag ends at the next
+    angle bracket of either kind, so that no expression reads a page twice."""
+    text = F.regexp_replace(F.coalesce("html", F.lit("")), "(?is)<(script|style)[^<>]*+>.*?(?:</\\1>|\\z)|<[^<>]*+>", " ")
     host = F.regexp_extract("url", "^[a-z]+://([^/:?#]+)", 1)
-    declared = F.regexp_extract("html", "(?i)<html[^>]*\\slang=\"?([a-z]+)", 1)
-    frame = pages.withColumns({"text": text, "_address_host": host, "_markup": declared})
+    declared = F.regexp_extract("html", "(?i)<html[^<>]*?\\slang=\"?([a-z]+)", 1)
+    frame = pages.select(F.struct("*").alias("_row"), text.alias("text"), host.alias("_address_host"), declared.alias("_markup"))
     out = identify(frame, F.col("_markup"), F.col("_address_host"), F.substring_index("_address_host", ".", -1))
-    return out.drop("text", "_address_host", "_markup")
+    return out.select(*(F.col("_row")[c].alias(c) for c in pages.columns if c not in RESULTS), *RESULTS)
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
