@@ -9,10 +9,14 @@
 3. Each node of an n-gram is first compared with one hub of it, then, where classes differ
    still, with hubs by other rankings. What is linked is one class, whose inner pairs need no
    comparison any more.
-4. What then still meets from different classes is compared in size-banded tiles: rows of
-   one n-gram and size band, split into blocks of ``BLOCK_ROWS``.
+4. What then still meets from different classes is compared in size-banded tiles. An n-gram
+   belongs to the first of its nodes by a fixed ranking, and a tile holds the nodes of all
+   n-grams of one owner and size band, each once, in blocks of ``BLOCK_ROWS``: nodes that share
+   many n-grams meet in few tiles.
 5. Every comparison first takes the bitmaps: their differing bits bound the overlap from
-   above. Only pairs that may reach the threshold are checked on the sorted hash arrays.
+   above. A tile says which of its nodes have a pair that may reach the threshold; only these
+   get their sorted hash arrays, which decide. Of a tile's links those are given that join
+   classes, fewer than it has nodes.
 
 N-grams are 64-bit hashes, nodes 64-bit hashes of whole sets.
 
@@ -46,10 +50,14 @@ ORDERING_NGRAMS = 1 << 17
 COUNT_ROWS = 1 << 20
 #: An n-gram with more rows is dealt to several tasks.
 HOT_ROWS = 100_000
-BLOCK_ROWS = 256
+#: Rows and n-grams of a block; a tile holds two at most.
+BLOCK_ROWS = 1024
+BLOCK_GRAMS = 1 << 21
+#: Bits for each n-gram where a tile has the n-grams themselves: hardly any pair passes that is no link.
+WIDE_SPREAD = 16
 #: Document ids that are sent to all executors, at most; more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
-_FLUSH_PAIRS = 20_000
+_FLUSH_ROWS = 10_000
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -62,9 +70,9 @@ def _node(found: np.ndarray) -> int:
     return int(mix(np.array([total], dtype=np.uint64)).view(np.int64)[0])
 
 
-def _bitmap(found: np.ndarray) -> bytes:
-    """One bit for each n-gram, in a width of at least twice the set size."""
-    width = max(128, 1 << int(2 * len(found) - 1).bit_length())
+def _bitmap(found: np.ndarray, spread: int = 2) -> bytes:
+    """One bit for each n-gram, in a width of at least ``spread`` times the set size."""
+    width = max(128, 1 << int(spread * len(found) - 1).bit_length())
     bits = np.zeros(width, dtype=np.uint8)
     bits[(found & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits).tobytes()
@@ -228,9 +236,6 @@ def may_reach(bits_a: list[bytes], bits_b: list[bytes], a: np.ndarray, b: np.nda
     return out
 
 
-_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("size", pa.int32())])
-
-
 def _prune(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,71 +246,120 @@ def _prune(percent: int):
     return run, "a bigint, b bigint"
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have the similarity."""
+    if len(x) > len(y):
+        x, y = y, x
+    shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
 def _exact(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for a, b in zip(batch.column("grams_a"), batch.column("grams_b")):
-                x, y = (np.frombuffer(side.as_buffer(), dtype=np.uint64) for side in (a, b))
-                if len(x) > len(y):
-                    x, y = y, x
-                shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+                keep.append(_similar(*(np.frombuffer(side.as_buffer(), dtype=np.uint64) for side in (a, b)), percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run, "a bigint, b bigint"
 
 
-def _tile_pairs(percent: int):
-    """Pairs of one tile (rows sorted by tile) from different classes that may reach the
-    similarity. ``part`` says which block a row stands for: pairs are taken within block
-    0 of a diagonal tile, else between blocks 0 and 1; a guest (row of the next smaller
-    band) only meets own rows."""
+def _fits(i: int, size: np.ndarray, group: np.ndarray, part: np.ndarray, guest: np.ndarray, diagonal: bool, percent: int) -> np.ndarray:
+    """Later rows of a tile that row i is to be compared with: of another class, of sizes that
+    allow the similarity. Pairs are taken within a diagonal tile, else between its two parts;
+    a guest (row of the next smaller band) only meets own rows."""
+    fits = (group[i + 1 :] != group[i]) & ~(guest[i + 1 :] & guest[i])
+    if not diagonal:
+        fits &= part[i + 1 :] != part[i]
+    small, large = np.minimum(size[i + 1 :], size[i]), np.maximum(size[i + 1 :], size[i])
+    return np.flatnonzero(fits & (100 * small >= percent * large)) + i + 1
 
-    def tile(rows: list[tuple], found: list[np.ndarray]) -> None:
-        _, node, size, group, bits, part, guest, diagonal = zip(*rows)
-        node, size, group = (np.array(x, dtype=np.int64) for x in (node, size, group))
-        part, guest = np.array(part), np.array(guest)
-        width = min(map(len, bits))
-        maps = np.stack([np.bitwise_or.reduce(np.frombuffer(x, dtype=np.uint64).reshape(-1, width // 8)) for x in bits])
-        for i in range(len(rows) - 1):
-            fits = (group[i + 1 :] != group[i]) & ~(guest[i + 1 :] & guest[i])
-            if not diagonal[0]:
-                fits &= part[i + 1 :] != part[i]
-            small, large = np.minimum(size[i + 1 :], size[i]), np.maximum(size[i + 1 :], size[i])
-            j = np.flatnonzero(fits & (100 * small >= percent * large)) + i + 1
-            if len(j) == 0:
-                continue
-            both = size[j] + size[i]
-            differing = np.bitwise_count(maps[j] ^ maps[i]).sum(axis=1, dtype=np.int64)
-            j = j[(100 + percent) * ((both - differing) // 2) >= percent * both]
-            if len(j):
-                found.append(np.stack([np.full(len(j), node[i]), node[j], np.maximum(size[j], size[i])]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[np.ndarray] = []
+def _near(maps: np.ndarray, i: int, j: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
+    """Those of rows j whose bitmaps leave room for the similarity with row i."""
+    both = size[j] + size[i]
+    differing = np.bitwise_count(maps[j] ^ maps[i]).sum(axis=1, dtype=np.int64)
+    return j[(100 + percent) * ((both - differing) // 2) >= percent * both]
 
-        def flush() -> pa.RecordBatch:
-            x, y, size = np.concatenate(found, axis=1)
-            found.clear()
-            return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(size.astype(np.int32))], schema=_PAIR)
 
-        held: list[tuple] = []
-        for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
-                if held and held[0][0] != row[0]:
-                    if len(held) > 1:
-                        tile(held, found)
-                    held = []
-                    if len(found) >= _FLUSH_PAIRS:
-                        yield flush()
-                held.append(row)
-        if len(held) > 1:
-            tile(held, found)
+def _folded(bits: list[bytes]) -> np.ndarray:
+    """Bitmaps of a tile in the width of its narrowest."""
+    width = min(map(len, bits))
+    return np.stack([np.bitwise_or.reduce(np.frombuffer(x, dtype=np.uint8).reshape(-1, width)) for x in bits])
+
+
+_MEMBER = pa.schema(
+    [("tile", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("class", pa.int64())]
+    + [("part", pa.int32()), ("guest", pa.bool_()), ("diagonal", pa.bool_())]
+)
+_MEMBER_COLUMNS = "tile bigint, node bigint, size int, class bigint, part int, guest boolean, diagonal boolean"
+
+
+def _by_tile(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows of each tile with several; rows come sorted by tile."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
+            if held and held[0][0] != row[0]:
+                if len(held) > 1:
+                    yield held
+                held = []
+            held.append(row)
+    if len(held) > 1:
+        yield held
+
+
+def _tile_arrays(rows: list[tuple]) -> tuple:
+    _, node, size, group, part, guest, diagonal, _ = zip(*rows)
+    node, size, group = (np.array(x, dtype=np.int64) for x in (node, size, group))
+    return node, size, group, np.array(part), np.array(guest), diagonal[0]
+
+
+def _near_members(percent: int):
+    """Rows of each tile, given with bitmaps, that have a partner there by their bitmaps."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple] = []
+        for rows in _by_tile(batches):
+            _, size, *place = _tile_arrays(rows)
+            maps, met = _folded([r[-1] for r in rows]), np.zeros(len(rows), dtype=bool)
+            for i in range(len(rows) - 1):
+                j = _fits(i, size, *place, percent)
+                j = _near(maps, i, j, size, percent) if len(j) else j
+                met[j] = True
+                met[i] |= len(j) > 0
+            found += [rows[i][:-1] for i in np.flatnonzero(met)]
+            if len(found) >= _FLUSH_ROWS:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*found), _MEMBER)], schema=_MEMBER)
+                found = []
         if found:
-            yield flush()
+            yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*found), _MEMBER)], schema=_MEMBER)
+
+    return run, _MEMBER_COLUMNS
 
-    return run, "a bigint, b bigint, size int"
+
+def _tile_links(percent: int):
+    """Links of each tile, given with sorted hashes, that join classes not joined there yet."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def links(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        node, size, group, *place = _tile_arrays(rows)
+        grams = [np.frombuffer(r[-1], dtype=np.uint64) for r in rows]
+        maps = _folded([_bitmap(g, WIDE_SPREAD) for g in grams])
+        for i in range(len(rows) - 1):
+            j = _fits(i, size, group, *place, percent)
+            for k in _near(maps, i, j, size, percent) if len(j) else j:
+                if group[k] != group[i] and _similar(grams[i], grams[k], percent):
+                    group[group == group[k]] = group[i]
+                    yield int(node[i]), int(node[k])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_tile(batches):
+            if found := list(links(rows)):
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], schema=schema)
+
+    return run, "a bigint, b bigint"
 
 
 def _sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
@@ -315,24 +369,22 @@ def _sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
     return pairs
 
 
-def _verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs that have the similarity, by the n-grams of their texts; only the texts of
-    these pairs are read in again."""
-    pairs = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+def _grams_of(needed: DataFrame, nodes: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """Sorted hashes of some nodes; only the texts of these are read in again."""
     ids = cut(nodes.join(needed, "node", "left_semi").select("doc_id").distinct())
     chosen = texts.join(small_side(ids, ids.count(), BROADCAST_IDS), "doc_id", "left_semi").select("text")
     nameless = texts.where("doc_id is null").select("text")
-    grams = chosen.union(nameless).mapInArrow(*_gram_lists(n)).join(needed, "node", "left_semi")
-    return cut(_sides(pairs, cut(grams), "grams").mapInArrow(*_exact(percent)))
+    # Tasks give a node once each, so one that stands in several tasks comes several times.
+    found = chosen.union(nameless).mapInArrow(*_gram_lists(n)).join(needed, "node", "left_semi")
+    return cut(found.groupBy("node").agg(F.first("grams").alias("grams")))
 
 
-def _shared_enough(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, the larger size) given once for each n-gram they meet at, that meet often
-    enough for the similarity."""
-    needed = F.least(F.lit(SHARED), F.ceil(F.col("size") * percent / 100))
-    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("k"), F.max("size").alias("size"))
-    return counted.where(F.col("k") >= needed).select("a", "b")
+def _verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs that have the similarity, by the n-grams of their texts."""
+    pairs = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    grams = _grams_of(needed, nodes, texts, n)
+    return cut(_sides(pairs, grams, "grams").mapInArrow(*_exact(percent)))
 
 
 def _hub_pairs(rows: DataFrame, rankings: int, percent: int) -> DataFrame:
@@ -370,37 +422,45 @@ def _mixed(meets: DataFrame, classes: DataFrame | None, percent: int) -> DataFra
     return cut(rows)
 
 
-def _rest_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different classes that still meet, pruned inside size-banded tiles."""
+def _tiles(rows: DataFrame, percent: int) -> DataFrame:
+    """Nodes dealt to tiles: by the owner of the n-grams they meet at and by size band, in
+    blocks, each block with each. A node stands in its own band and, as a guest, in the next."""
+    owners = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("node").alias("rank"), "node"))["node"].alias("owner"))
+    members = rows.join(owners, "key").select("owner", "node", "size", "class").distinct()
     band = F.floor(F.log(F.col("size").cast("double")) / float(np.log(100 / percent)) + 1e-9).cast("int")
     guests = F.explode(F.array(F.struct(F.lit(False).alias("guest"), band.alias("band")), F.struct(F.lit(True).alias("guest"), (band + 1).alias("band"))))
-    rows = cut(rows.select("*", guests.alias("g")).select("key", "node", "size", "class", "g.guest", "g.band"))
-    tiles = rows.groupBy("key", "band").agg(
-        F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high"), F.min("guest").alias("alone")
-    )
-    tiles = tiles.where("low < high and not alone").select(
-        "key", "band", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")
-    )
+    members = cut(members.select("*", guests.alias("g")).select("owner", "node", "size", "class", "g.guest", "g.band"))
+    counts = members.groupBy("owner", "band").agg(
+        F.count("*").alias("n"), F.sum("size").alias("grams"), F.min("class").alias("low"), F.max("class").alias("high"),
+        F.min("guest").alias("alone"),
+    )
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("grams") / BLOCK_GRAMS))
+    counts = counts.where("low < high and not alone").select("owner", "band", blocks.cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     partner = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = (
-        rows.join(tiles, ["key", "band"])
-        .select("*", block.alias("block"), partner.alias("partner"))
-        .join(nodes.select("node", "bits"), "node")
-        .select(
-            F.xxhash64("key", "band", F.least("block", "partner"), F.greatest("block", "partner")).alias("tile"),
-            "node",
-            "size",
-            "class",
-            "bits",
-            (F.col("block") > F.col("partner")).cast("int").alias("part"),
-            "guest",
-            (F.col("block") == F.col("partner")).alias("diagonal"),
-        )
+    dealt = members.join(counts, ["owner", "band"]).select("*", block.alias("block"), partner.alias("partner"))
+    return dealt.select(
+        F.xxhash64("owner", "band", F.least("block", "partner"), F.greatest("block", "partner")).alias("tile"),
+        "node",
+        "size",
+        "class",
+        (F.col("block") > F.col("partner")).cast("int").alias("part"),
+        "guest",
+        (F.col("block") == F.col("partner")).alias("diagonal"),
     )
-    pairs = dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(*_tile_pairs(percent))
-    ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    return _shared_enough(pairs.select(*ends, "size"), percent)
+
+
+def _rest_links(rows: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links that join all nodes of different classes that still meet and have the similarity."""
+
+    def in_tiles(members: DataFrame) -> DataFrame:
+        return members.repartition("tile").sortWithinPartitions("tile")
+
+    tiles = _tiles(rows, percent).join(nodes.select("node", "bits"), "node").select(*_MEMBER.names, "bits")
+    near = cut(in_tiles(tiles).mapInArrow(*_near_members(percent)))
+    grams = _grams_of(near.select("node").distinct(), nodes, texts, n)
+    found = near.join(grams, "node").select(*_MEMBER.names, "grams")
+    return cut(in_tiles(found).mapInArrow(*_tile_links(percent)))
 
 
 def linked_classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -441,9 +501,11 @@ def _named_classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataF
     classes, rows = None, meets
     for rankings in (*HUB_ROUNDS, 0):
         rows = _mixed(rows, classes, percent)
-        pairs = _hub_pairs(rows, rankings, percent) if rankings else _rest_pairs(rows, nodes, percent)
-        near = _sides(pairs, nodes, "size", "bits").mapInArrow(*_prune(percent)) if rankings else pairs
-        links = _verify(near, nodes, texts, n, percent)
+        if rankings:
+            near = _sides(_hub_pairs(rows, rankings, percent), nodes, "size", "bits").mapInArrow(*_prune(percent))
+            links = _verify(near, nodes, texts, n, percent)
+        else:
+            links = _rest_links(rows, nodes, texts, n, percent)
         if classes is not None:
             links = links.union(classes.select(F.col("node").alias("a"), F.col("component").alias("b")))
         classes = cut(components(links))
