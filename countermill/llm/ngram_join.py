@@ -6,9 +6,8 @@
    may do without losing a pair); a single-node n-gram is dropped while its rows stream by.
    Prefixes are ``SHARED - 1`` longer than needed, so that a pair must share ``SHARED`` of
    their n-grams (or what its sets need, if fewer).
-3. Each node of an n-gram is first compared with one hub of it, then, where classes differ
-   still, with hubs by other rankings. What is linked is one class, whose inner pairs need no
-   comparison any more.
+3. Each node of an n-gram is first compared with one hub of it. What is linked is one class,
+   whose inner pairs need no comparison any more.
 4. What then still meets from different classes is compared in size-banded tiles. An n-gram
    belongs to the first of its nodes by a fixed ranking, and a tile holds the nodes of all
    n-grams of one owner and size band, each once, in blocks of ``BLOCK_ROWS``: nodes that share
@@ -43,7 +42,7 @@ N = 5
 PERCENT = 75
 SHARED = 4
 #: Numbers of hub rankings in the rounds before all remaining pairs are taken.
-HUB_ROUNDS = (1, 8)
+HUB_ROUNDS = (1,)
 #: The most frequent n-grams whose counts order the prefixes: 16 bytes each.
 ORDERING_NGRAMS = 1 << 17
 #: N-grams gathered in a task before their counts are passed on.
@@ -404,8 +403,7 @@ def _hub_pairs(rows: DataFrame, rankings: int, percent: int) -> DataFrame:
 def _mixed(meets: DataFrame, classes: DataFrame | None, percent: int) -> DataFrame:
     """The rows of n-grams at which nodes of different classes meet, with their class.
 
-    A node that meets others at fewer n-grams than any pair must share has no link left and
-    goes, which is repeated once, as its n-grams may then hold one class only.
+    A node that meets others at fewer n-grams than any pair must share has no link left and goes.
     """
     if classes is None:
         rows = meets.withColumn("class", F.col("node"))
@@ -413,13 +411,11 @@ def _mixed(meets: DataFrame, classes: DataFrame | None, percent: int) -> DataFra
         rows = meets.drop("class").join(classes, "node", "left").select(
             "key", "node", "size", F.coalesce("component", "node").alias("class")
         )
-    for _ in range(2):
-        ends = rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-        rows = cut(rows.join(ends.where("low < high").select("key"), "key"))
-        counted = rows.groupBy("node").agg(F.count("*").alias("k"), F.max("size").alias("size"))
-        needed = F.least(F.lit(SHARED), F.ceil(F.col("size") * percent / 100))
-        rows = rows.join(counted.where(F.col("k") >= needed).select("node"), "node")
-    return cut(rows)
+    ends = rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    rows = cut(rows.join(ends.where("low < high").select("key"), "key"))
+    counted = rows.groupBy("node").agg(F.count("*").alias("k"), F.max("size").alias("size"))
+    needed = F.least(F.lit(SHARED), F.ceil(F.col("size") * percent / 100))
+    return cut(rows.join(counted.where(F.col("k") >= needed).select("node"), "node"))
 
 
 def _tiles(rows: DataFrame, percent: int) -> DataFrame:
