@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from countermill.functions.text import config_text
-from countermill.session import durable
+from countermill.session import durable, small_side
 
 # Sections of a model document.
 ENTITIES, COLUMNS = "REPORTABLE_ENTITIES", "REPORTABLE_ENTITIES_COLUMNS"
@@ -264,35 +264,34 @@ def struct_closure(structs: DataFrame, roots: DataFrame | None = None) -> DataFr
     struct that the path has passed already, which ends it).
 
     One join a level, over what the level before left open. A path passes a struct once, so the
-    rounds end; each round is checkpointed, as the next ones read it twice.
+    rounds end; each round is checkpointed, as the next one and the result read it. Known and
+    undefined references take the same join, so a round has no more partitions than the one before.
     """
-    members = structs.select("struct_name", "member", "enum_ref", "struct_ref").distinct()
-    known = members.select("struct_name").distinct().withColumn("_known", F.lit(True))
+    members = durable(structs.select("struct_name", "member", "enum_ref", "struct_ref").distinct())
     start = (structs if roots is None else roots).select(F.col("struct_name").alias("root")).distinct()
     start = start.filter(F.col("root").isNotNull())
     nothing = F.array().cast("array<string>")
-    open_paths = start.select("root", F.col("root").alias("ref"), nothing.alias("names"), F.array("root").alias("passed"))
+    open_paths = start.select("root", F.col("root").alias("open_ref"), nothing.alias("names"), F.array("root").alias("passed"))
+    found = small_side(members.withColumnRenamed("struct_name", "open_ref").withColumn("_known", F.lit(True)))
+    names = F.concat("names", F.array(F.coalesce("member", F.lit(""))))
+    kind = (
+        F.when(F.col("_known").isNull(), "undefined")
+        .when(F.col("struct_ref").isNotNull() & F.array_contains("passed", F.col("struct_ref")), "cycle")
+        .when(F.col("struct_ref").isNotNull(), "open")
+        .when(F.col("enum_ref").isNotNull(), "enum")
+        .otherwise("member")
+    )
+    known = F.col("_known").isNotNull()
+    ref = F.when(known, F.coalesce("struct_ref", "enum_ref")).otherwise(F.col("open_ref"))
     closed = []
     while True:
-        opened = open_paths.join(known, F.col("ref") == F.col("struct_name"), "left").drop("struct_name")
-        missing = opened.filter(F.col("_known").isNull())
-        step = opened.filter("_known").drop("ref").join(members, F.get("passed", F.size("passed") - 1) == F.col("struct_name"))
-        names = F.concat("names", F.array(F.coalesce("member", F.lit(""))))
-        kind = (
-            F.when(F.col("struct_ref").isNotNull() & F.array_contains("passed", F.col("struct_ref")), "cycle")
-            .when(F.col("struct_ref").isNotNull(), "open")
-            .when(F.col("enum_ref").isNotNull(), "enum")
-            .otherwise("member")
-        )
-        ref = F.coalesce("struct_ref", "enum_ref")
+        step = open_paths.join(found, "open_ref", "left")
         level = durable(
-            step.select("root", names.alias("names"), "passed", kind.alias("kind"), ref.alias("ref")).unionByName(
-                missing.select("root", "names", "passed", F.lit("undefined").alias("kind"), "ref")
-            )
+            step.select("root", F.when(known, names).otherwise(F.col("names")).alias("names"), "passed", kind.alias("kind"), ref.alias("ref"))
         )
         closed.append(level.filter("kind <> 'open'"))
         open_paths = level.filter("kind = 'open'").select(
-            "root", "ref", "names", F.concat("passed", F.array("ref")).alias("passed")
+            "root", F.col("ref").alias("open_ref"), "names", F.concat("passed", F.array("ref")).alias("passed")
         )
         if open_paths.isEmpty():
             break
@@ -304,7 +303,8 @@ def resolve_nested(attributes: DataFrame, enums: DataFrame, structs: DataFrame)
     """Attributes with all members they refer to, through structs of any depth.
 
     As :func:`resolve_references`, with ``path`` and ``kind`` of :func:`struct_closure` for those
-    of a struct; members of an enum have kind ``enum`` and their name as path.
+    of a struct; members of an enum have kind ``enum`` and their name as path. Members are sent to
+    every executor as long as they are few (:func:`countermill.session.small_side`).
     """
     referring = attributes.withColumn("ref", F.coalesce("enum_ref", "struct_ref")).withColumn("_of_enum", F.col("enum_ref").isNotNull())
     roots = referring.filter(~F.col("_of_enum") & F.col("ref").isNotNull()).select(F.col("ref").alias("struct_name"))
@@ -313,7 +313,9 @@ def resolve_nested(attributes: DataFrame, enums: DataFrame, structs: DataFrame)
         F.lit(True).alias("_of_enum"), F.col("enum_name").alias("ref"), F.col("member").alias("path"), F.lit("enum").alias("kind"),
         F.lit(None).cast("string").alias("nested_ref"),
     )
-    found = referring.filter(F.col("ref").isNotNull()).join(of_struct.unionByName(of_enum), ["_of_enum", "ref"], "left")
+    # A few references have many attributes each: dealt by reference, those would meet in a few tasks.
+    members = small_side(durable(of_struct.unionByName(of_enum)))
+    found = referring.filter(F.col("ref").isNotNull()).join(members, ["_of_enum", "ref"], "left")
     return found.unionByName(referring.filter(F.col("ref").isNull()), allowMissingColumns=True).drop("_of_enum")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # UTC: local_timestamp is a label, not an instant, and date_format() must not
 # depend on where the driver runs. The rest leaves sizing to AQE.
@@ -17,6 +18,10 @@ SETTINGS = {
 }
 
 
+# Rows up to which a checkpointed side of a join is broadcast.
+BROADCAST_ROWS = 200_000
+
+
 def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     """Apply the recommended settings to a session builder."""
     for key, value in SETTINGS.items():
@@ -47,3 +52,9 @@ def durable(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, a checkpointed side of a join, with a broadcast hint where its counted rows stay under a
+    bound; Spark knows no size of a checkpoint and would shuffle the other side."""
+    return F.broadcast(df) if df.count() <= most else df

@@ -47,3 +47,22 @@ def test_attributes_get_all_members(spark):
 def test_no_structs(spark):
     nothing = spark.createDataFrame([], STRUCTS)
     assert models.struct_closure(nothing).count() == 0
+
+
+def test_rounds_do_not_add_partitions_to_partitions(spark, tmp_path):
+    depth = 6
+    chain = [(f"s{i}", "m", None, f"s{i + 1}" if i < depth else None) for i in range(depth + 1)]
+    spark.createDataFrame(chain, STRUCTS).write.parquet(str(tmp_path / "structs"))
+    structs = spark.read.parquet(str(tmp_path / "structs"))
+    closure = models.struct_closure(structs)
+    # As many for each round, not twice those of the round before.
+    assert closure.rdd.getNumPartitions() <= 12 * (depth + 1)
+    assert sorted(r.depth for r in closure.collect()) == list(range(1, depth + 2))
+
+
+def test_members_of_few_references_are_broadcast(spark):
+    attributes = spark.createDataFrame([("s", None, "a")] * 3, "name STRING, enum_ref STRING, struct_ref STRING")
+    enums = spark.createDataFrame([("E", "one")], "enum_name STRING, member STRING")
+    found = models.resolve_nested(attributes, enums, spark.createDataFrame(CHAIN, STRUCTS))
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 6
