@@ -1,15 +1,16 @@
 """Entity trees of any depth read with window functions, without Python workers.
 
-A document becomes a run of tokens: start tags, end tags and texts. Its tokens stand in order in one
-window partition, where a running sum of starts and ends is the depth of each. The ancestor of
-a token at depth k is the last start at depth k before it, so one running value for each depth
-gives a token its whole path: no parent is looked up by a join. Every window has the same
-partitions and order, so tokens are shuffled and sorted once.
+A document becomes a run of tokens: start tags, end tags and elements without child elements, each
+with the text behind it. Its tokens stand in order in one window partition, where a running sum of
+starts and ends is the depth of each. The ancestor of a token at depth k is the last start at
+depth k before it, so one running value for each depth gives a token its whole path: no parent
+is looked up by a join. Documents are dealt by their key before they are cut into tokens, and
+every window has the same partitions and order, so tokens are not shuffled and are sorted once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +23,8 @@ from countermill.sources.node_models import MODEL_COLUMNS
 # Quoted values may hold angle brackets.
 TAG = r"""<[^<>"']*(?:"[^"]*"[^<>"']*|'[^']*'[^<>"']*)*>"""
 PIECE = rf"<!--[\s\S]*?-->|<!\[CDATA\[[\s\S]*?\]\]>|<\?[\s\S]*?\?>|<![A-Za-z][^>]*>|{TAG}|[^<]+|<"
-TOKEN = rf"{TAG}|[^<]+|<"
+START = r"""<([^\s/<>"']++)(?=[\s>])[^<>"']*(?:"[^"]*"[^<>"']*|'[^']*'[^<>"']*)*(?<!/)>"""
+TOKEN = rf"{START}[^<]*</\1\s*>[^<]*|{TAG}[^<]*|[^<]+|<"
 ATTRIBUTE = r"""([^\s=<>"'/]+)\s*=\s*("[^"]*"|'[^']*')"""
 
 # The tags that structure a tree.
@@ -68,8 +70,11 @@ def _plain_markup(text: Column) -> Column:
     return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), plain), "")
 
 
-def _attribute(token: Column, name: str) -> Column:
-    found = F.regexp_extract(token, rf"""\s{name}\s*=\s*("[^"]*"|'[^']*')""", 1)
+def _quoted(token: Column, name: str) -> Column:
+    return F.regexp_extract(token, rf"""\s{name}\s*=\s*("[^"]*"|'[^']*')""", 1)
+
+
+def _unquoted(found: Column) -> Column:
     return F.when(found != "", _decoded(F.substr(found, F.lit(2), F.length(found) - 2)))
 
 
@@ -85,18 +90,38 @@ def _attributes(token: Column) -> Column:
 
 
 def tree_tokens(documents: DataFrame, key: str, text: str = "value") -> DataFrame:
-    """(doc, pos, kind, token, tag, running): tokens of each document in order, with the number of
-    elements open after each."""
-    pieces = F.regexp_extract_all(_plain_markup(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
-    tokens = documents.select(F.col(key).alias("doc"), F.posexplode_outer(pieces).alias("pos", "token"))
-    token = F.col("token")
+    """(doc, pos, kind, token, tag, inner, behind, running): tags of each document in order, with the
+    number of elements open after each. ``inner`` is the text right after a start tag, ``behind`` that
+    after an end; an element without child elements is one ``single`` token. ``text`` tokens are
+    those at no tag.
+    """
+    spark = documents.sparkSession
+    # Markup is many times its shuffled size, so partitions are not sized by that.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    dealt = documents.select(F.col(key).alias("doc"), F.col(text).alias("_markup")).repartition(parts, "doc")
+    pieces = F.regexp_extract_all(_plain_markup(F.coalesce("_markup", F.lit(""))), F.lit(TOKEN), F.lit(0))
+    tokens = dealt.select("doc", F.posexplode_outer(pieces).alias("pos", "piece"))
+    tokens = tokens.select("doc", "pos", "piece", F.regexp_extract("piece", f"^{TAG}", 0).alias("token"))
+    tokens = tokens.select("*", F.substr("piece", F.length("token") + 1).alias("rest"))
+    token, rest = F.col("token"), F.col("rest")
+    leaf = rest.contains("</") & token.startswith("<")
     kind = (
-        F.when(~token.startswith("<") | (token == "<"), TEXT)
+        F.when(F.coalesce(token, F.lit("")) == "", TEXT)
         .when(token.startswith("</"), CLOSE)
-        .when(token.endswith("/>"), SINGLE)
+        .when(token.endswith("/>") | leaf, SINGLE)
         .otherwise(OPEN)
     )
-    tagged = tokens.withColumn("kind", kind).withColumn("tag", F.regexp_extract("token", r"^</?([^\s/>]+)", 1))
+    tagged = tokens.select(
+        "doc",
+        "pos",
+        kind.alias("kind"),
+        F.when(token == "", F.col("piece")).otherwise(token).alias("token"),
+        F.regexp_extract("token", r"^</?([^\s/>]+)", 1).alias("tag"),
+        F.when(leaf, F.substring_index(rest, "</", 1)).when(kind == OPEN, rest).alias("inner"),
+        F.when(leaf, F.substr(F.substring_index(rest, "</", -1), F.locate(">", F.substring_index(rest, "</", -1)) + 1))
+        .when(kind != OPEN, rest)
+        .alias("behind"),
+    )
     step = F.when(F.col("kind") == OPEN, 1).when(F.col("kind") == CLOSE, -1).otherwise(0)
     return tagged.withColumn("running", F.sum(step).over(_so_far()).cast("int"))
 
@@ -119,62 +144,97 @@ def _faults(depth: int) -> Column:
     """True at a token that no well-formed document has."""
     owner = F.coalesce(*[F.when(F.col("level") == k, F.col(f"_at{k}")["tag"]) for k in range(1, depth + 1)], F.lit(""))
     wrong_end = (F.col("kind") == CLOSE) & (owner != F.col("tag"))
-    stray = (F.col("kind") == TEXT) & ((F.col("token") == "<") | ((F.col("running") == 0) & (F.trim(F.regexp_replace("token", r"[\s\x{FEFF}]+", "")) != "")))
-    last = F.lead("pos").over(W.partitionBy("doc").orderBy("pos")).isNull() & ((F.col("running") != 0) | (F.col("_n1") != 1))
-    return wrong_end | stray | last | (F.col("running") < 0) | F.col("token").isNull()
+    last = F.col("_last") & ((F.col("running") != 0) | (F.col("_n1") != 1))
+    return wrong_end | F.col("_stray") | last | (F.col("running") < 0)
 
 
 def _walked(tokens: DataFrame) -> tuple[DataFrame, int]:
-    """Tokens with their ancestors ``_at<k>``, starts so far at each depth ``_n<k>`` and ``faulty``."""
-    placed = _with_level(tokens)
-    depth = max(placed.agg(F.max("level")).first()[0] or 1, 1)
+    """Tokens with their ancestors ``_at<k>``, elements so far at odd depths ``_n<k>``, properties so
+    far at even ones ``_p<k>``, and ``_fault``."""
+    depth = max(_with_level(tokens.select("kind", "running")).agg(F.max("level")).first()[0] or 1, 1)
     start = lambda k: F.col("starts") & (F.col("level") == k)
-    depths = range(1, depth + 2)
-    placed = placed.withColumn("_name", F.when(F.col("starts"), _attribute(F.col("token"), "name")))
-    placed = placed.withColumn("_section", F.when(F.col("starts"), _attribute(F.col("token"), "section")))
-    # Starts so far, and of those the properties: elements that are no group.
+    is_text = F.col("kind") == TEXT
+    outside = F.when(F.col("running") == 0, F.regexp_replace(F.when(is_text, F.col("token")).otherwise(F.col("behind")), r"[\s\x{FEFF}]+", ""))
+    stray = F.col("token").isNull() | (is_text & F.col("token").startswith("<")) | (F.coalesce(F.trim(outside), F.lit("")) != "")
+    found = lambda name: F.when(F.col("starts"), _quoted(F.col("token"), name)).alias(f"_{name}")
+    placed = _with_level(tokens).select("*", found("name"), found("section"), stray.alias("_stray"))
+    is_reference = F.col("starts") & (F.col("tag") == REFERENCE) & (F.col("level") % 2 == 1)
+    placed = placed.select(
+        "doc", "pos", "kind", "tag", "running", "level", "starts", "_stray",
+        _unquoted(F.col("_name")).alias("_name"),
+        _unquoted(F.col("_section")).alias("_section"),
+        F.when(is_reference, F.col("token")).alias("_reference"),
+        F.when(F.col("inner") != "", _decoded(F.col("inner"))).alias("_text"),
+    )
+    # Starts so far at odd depths, and at even ones the properties: elements that are no group.
     placed = placed.select(
         "*",
-        *[F.count_if(start(k)).over(_so_far()).alias(f"_n{k}") for k in depths],
-        *[F.count_if(start(k) & (F.col("tag") != GROUP)).over(_so_far()).alias(f"_p{k}") for k in depths],
+        F.lead("pos").over(W.partitionBy("doc").orderBy("pos")).isNull().alias("_last"),
+        *[F.count_if(start(k)).over(_so_far()).alias(f"_n{k}") for k in range(1, depth + 2, 2)],
+        *[F.count_if(start(k) & (F.col("tag") != GROUP)).over(_so_far()).alias(f"_p{k}") for k in range(2, depth + 2, 2)],
     )
 
     def ancestor(k: int) -> Column:
         # What an element knows when it starts; counts say how many children came before its own.
-        at = F.struct(
-            "pos", "tag", F.coalesce("_name", F.lit("")).alias("name"), F.col("_name").alias("given_name"),
-            F.coalesce("_section", F.lit("")).alias("section"), (F.col(f"_n{k}") - 1).alias("place"),
-            F.col(f"_n{k + 1}").alias("children"), F.col(f"_p{k + 1}").alias("properties"),
-        )
+        if k % 2:
+            place, children = (F.col(f"_n{k}") - 1).alias("place"), F.col(f"_p{k + 1}").alias("properties")
+            at = F.struct("pos", "tag", F.col("_name").alias("given_name"), place, children)
+        else:
+            at = F.struct("pos", "tag", F.col("_section").alias("section"), F.col(f"_n{k + 1}").alias("children"))
         return F.last(F.when(start(k), at), ignorenulls=True).over(_so_far()).alias(f"_at{k}")
 
     walked = placed.select("*", *[ancestor(k) for k in range(1, depth + 1)])
-    walked = walked.withColumn("_fault", _faults(depth))
-    return walked.withColumn("faulty", F.max("_fault").over(_whole())), depth
+    return walked.withColumn("_fault", _faults(depth)), depth
+
 
+def _by_depth(depth: int, of: Callable[[int], Column]) -> Column:
+    """``of(k)`` of the odd depth ``_owner``, at which the entity of a token stands."""
+    return F.coalesce(*[F.when(F.col("_owner") == k, of(k)) for k in range(1, depth + 1, 2)])
 
-def _entity(level: int) -> tuple[Column, list[Column]]:
-    """Test that the element at an odd depth is an entity, and its columns."""
+
+def _entity_rows(walked: DataFrame, depth: int) -> DataFrame:
+    """Tokens that give rows, with the entity's columns: its properties, a reference where it starts,
+    any other entity without a property where it ends. Tokens with a fault stay, too."""
     at = lambda k: F.col(f"_at{k}")
-    groups = range(2, level, 2)
-    is_entity = reduce(lambda a, k: a & (at(k)["tag"] == GROUP), groups, F.lit(True))
+    name = lambda k: F.coalesce(at(k)["given_name"], F.lit(""))
+    section = lambda k: F.coalesce(at(k)["section"], F.lit(""))
 
     def path(upto: int) -> Column:
-        steps = [at(1)["name"]]
-        steps += [F.concat(at(k - 1)["section"], F.lit(":"), at(k)["name"]) for k in range(3, upto + 1, 2)]
-        return F.concat_ws("/", *steps)
+        steps = [F.concat(section(k - 1), F.lit(":"), name(k)) for k in range(3, upto + 1, 2)]
+        return F.concat_ws("/", name(1), *steps)
+
+    def is_entity(level: int) -> Column:
+        return reduce(lambda a, k: a & (at(k)["tag"] == GROUP), range(2, level, 2), F.lit(True))
 
     missing = F.lit(None).cast("string")
-    place = at(level)["place"] - at(level - 1)["children"] if level > 1 else F.lit(0)
-    columns = [
+    odd = F.col("level") % 2 == 1
+    owned = walked.withColumn("_owner", F.when(odd, F.col("level")).otherwise(F.col("level") - 1))
+    owned = owned.select(
+        "*",
+        (_by_depth(depth, lambda k: at(k)["tag"]) == REFERENCE).alias("_of_reference"),
+        _by_depth(depth, lambda k: F.col(f"_p{k + 1}") - at(k)["properties"]).alias("_properties"),
+        _by_depth(depth, is_entity).alias("_is_entity"),
+    )
+    is_property = ~odd & F.col("starts") & (F.col("tag") != GROUP) & ~F.col("_of_reference")
+    ends = odd & F.col("kind").isin(CLOSE, SINGLE) & (F.col("_properties") == 0) & ~F.col("_of_reference")
+    given = F.col("_is_entity") & (is_property | (odd & F.col("starts") & F.col("_of_reference")) | ends)
+    owned = owned.withColumn("_given", F.coalesce(given, F.lit(False))).filter(F.col("_given") | F.col("_fault"))
+    return owned.select(
+        "doc",
+        "pos",
+        "_fault",
+        "_given",
+        "_reference",
         at(1)["given_name"].alias("model"),
-        path(level).alias("path"),
-        (path(level - 2) if level > 1 else missing).alias("parent_path"),
-        (at(level - 1)["section"] if level > 1 else missing).alias("section"),
-        at(level)["given_name"].alias("name"),
-        place.cast("int").alias("entity_pos"),
-    ]
-    return is_entity, columns
+        _by_depth(depth, path).alias("path"),
+        _by_depth(depth, lambda k: path(k - 2) if k > 1 else missing).alias("parent_path"),
+        _by_depth(depth, lambda k: section(k - 1) if k > 1 else missing).alias("section"),
+        _by_depth(depth, lambda k: at(k)["given_name"]).alias("name"),
+        _by_depth(depth, lambda k: at(k)["place"] - at(k - 1)["children"] if k > 1 else F.lit(0)).cast("int").alias("entity_pos"),
+        F.when(is_property, F.col("_properties") - 1).cast("int").alias("_prop_pos"),
+        F.when(is_property, F.col("tag")).alias("_prop"),
+        F.when(is_property, F.col("_text")).alias("_value"),
+    )
 
 
 def tree_rows(documents: DataFrame, key: str, text: str = "value") -> DataFrame:
@@ -184,48 +244,25 @@ def tree_rows(documents: DataFrame, key: str, text: str = "value") -> DataFrame:
     ``key`` must tell documents apart. A document that is not well-formed gives no rows, see
     :func:`faulty_trees`; an entity without a name has an empty one in its path.
     """
-    walked, depth = _walked(tree_tokens(documents, key, text))
-    follows = F.lead("kind").over(W.partitionBy("doc").orderBy("pos")) == TEXT
-    following = F.lead("token").over(W.partitionBy("doc").orderBy("pos"))
-    is_reference = F.col("starts") & (F.col("tag") == REFERENCE)
-    # Below the next window, so that each is evaluated once for all depths.
-    walked = walked.withColumn("_listed", F.when(is_reference, _attributes(F.col("token"))))
-    walked = walked.withColumn("_text", _decoded(F.when((F.col("kind") == OPEN) & follows, following))).filter(~F.col("faulty"))
-    nothing = F.array(F.struct(F.lit(0).alias("prop_pos"), F.lit(None).cast("string").alias("prop"), F.lit(None).cast("string").alias("value")))
-
-    def rows_at(level: int) -> Column:
-        """Rows that a token gives for the entity at an odd depth above it, else NULL."""
-        is_entity, columns = _entity(level)
-        at = F.col(f"_at{level}")
-        reference = at["tag"] == REFERENCE
-        ends = (F.col("level") == level) & F.col("kind").isin(CLOSE, SINGLE)
-        empty = F.col(f"_p{level + 1}") == at["properties"]
-        # A reference gives its attributes where it starts, any other entity without a property
-        # one empty row where it ends.
-        of_reference = F.when(F.size("_listed") > 0, F.col("_listed")).otherwise(nothing)
-        own = F.struct(
-            (F.col(f"_p{level + 1}") - at["properties"] - 1).cast("int").alias("prop_pos"),
-            F.col("tag").alias("prop"),
-            F.col("_text").alias("value"),
-        )
-        is_property = (F.col("level") == level + 1) & F.col("starts") & (F.col("tag") != GROUP) & ~reference
-        found = (
-            F.when(is_property, F.array(own))
-            .when(F.col("starts") & (F.col("level") == level) & reference, of_reference)
-            .when(ends & empty & ~reference, nothing)
-        )
-        return F.when(is_entity & found.isNotNull(), F.struct(*columns, found.alias("found")))
-
-    entity = F.coalesce(*[rows_at(level) for level in range(1, depth + 1, 2)])
-    rows = walked.select("doc", entity.alias("e")).filter(F.col("e").isNotNull())
-    flat = rows.select("doc", "e.*").select("doc", *MODEL_COLUMNS[:6], F.inline("found"))
-    return flat.select("doc", *MODEL_COLUMNS[:8], F.when(F.col("prop").isNotNull(), unescape_xml("value")).alias("value"))
+    rows = _entity_rows(*_walked(tree_tokens(documents, key, text)))
+    # Of a document with a fault, no token gives rows; tokens that have neither are let go first.
+    rows = rows.withColumn("faulty", F.max("_fault").over(_whole())).filter(~F.col("faulty") & F.col("_given"))
+    listed = F.when(F.col("_reference").isNotNull(), _attributes(F.col("_reference")))
+    flat = rows.select("doc", *MODEL_COLUMNS[:6], "_prop_pos", "_prop", "_value", F.inline_outer(listed))
+    value = F.when(F.col("_prop_pos").isNotNull(), F.col("_value")).otherwise(F.col("value"))
+    return flat.select(
+        "doc",
+        *MODEL_COLUMNS[:6],
+        F.coalesce("_prop_pos", "prop_pos", F.lit(0)).alias("prop_pos"),
+        F.coalesce("_prop", "prop").alias("prop"),
+        F.when(F.coalesce("_prop", "prop").isNotNull(), unescape_xml(value)).alias("value"),
+    )
 
 
 def faulty_trees(documents: DataFrame, key: str, text: str = "value") -> DataFrame:
     """``doc`` of documents that are not well-formed, empty and NULL ones too."""
     walked, _ = _walked(tree_tokens(documents, key, text))
-    return walked.filter("faulty").select("doc").distinct()
+    return walked.filter("_fault").select("doc").distinct()
 
 
 def scan_tree_rows(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -52,3 +52,20 @@ def test_files_and_no_documents(spark, tmp_path):
     assert found.select("doc").distinct().count() == 3
     assert rows(found.drop("doc")) == rows(node_models.scan_model_rows(spark, str(tmp_path)))
     assert model_trees.tree_rows(spark.createDataFrame([], "id INT, value STRING"), "id").count() == 0
+
+
+def test_one_token_for_a_leaf_and_markup_dealt_by_documents(spark):
+    markup = """<a><b x="1>">t &lt;</b>\n<c/> mixed <d ></d ><ab>1</ab><a>2</a></a>"""
+    tokens = model_trees.tree_tokens(spark.createDataFrame([(1, markup)], "id INT, value STRING"), "id")
+    found = [(r.kind, r.tag, r.inner, r.behind, r.running) for r in tokens.orderBy("pos").collect()]
+    assert found == [
+        ("open", "a", "", None, 1), ("single", "b", "t &lt;", "\n", 1), ("single", "c", None, " mixed ", 1), ("single", "d", "", "", 1),
+        ("single", "ab", "1", "", 1), ("single", "a", "2", "", 1), ("close", "a", None, "", 0),
+    ]
+    # As many tasks as there are cores, however small the markup is before it is cut up.
+    assert tokens.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_close_tags_that_only_begin_like_the_start(spark):
+    bad = spark.createDataFrame([(1, "<ab>x</a>"), (2, "<a>x</ab>"), (3, "<a/>x"), (4, "x<a/>"), (5, "<a>1</a>x")], "id INT, value STRING")
+    assert sorted(r.doc for r in model_trees.faulty_trees(bad, "id").collect()) == [1, 2, 3, 4, 5]
