@@ -4,11 +4,13 @@ The model has orders 1 to ``ORDER`` over the bytes of trusted texts (label ``qua
 digits made equal). Counts of the highest order come from all of them; each lower order counts
 the distinct n-grams of the next one that end in it. Counts are hash-partitioned tables:
 grouped by suffix for the lower orders, by context for the totals, and joined on the context
-for discounted shares. The ``MODEL_ROWS`` most frequent n-grams of each order are kept; a
-context's backoff weight is what their shares leave.
+for discounted shares. All n-grams are kept; a context's backoff weight is what their shares
+leave.
 
-Every text is then scored against that bounded table, with the distinct n-grams of a slice
-looked up once. A trusted text in ``HELD_OUT`` of ten folds is not counted; the quantile of
+Up to ``MODEL_ROWS`` n-grams of an order, the tables are broadcast and every text is scored
+against them, with the distinct n-grams of a slice looked up once. Larger ones stay tables:
+the distinct n-grams of all texts are joined to them order by order, and those of each text to
+the log-probabilities found. A trusted text in ``HELD_OUT`` of ten folds is not counted; the quantile of
 their perplexities, by language, is the threshold.
 
 Defined results: a null or empty text has no perplexity and is not kept; a null language is a
@@ -97,32 +99,44 @@ def _discounts(counts: DataFrame) -> list[float]:
     return [min(max(d, 0.1), k - 0.05) for k, d in enumerate(raw, 1)]
 
 
-def train(trusted: DataFrame) -> list[tuple[np.ndarray, ...]]:
-    """For each order: n-grams and their discounted shares, contexts and their backoff weights;
-    n-grams and contexts sorted."""
+def count_tables(trusted: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """For each order: n-grams with their discounted shares, (code, share), and contexts with
+    their backoff weights, (context, left)."""
     counts = cut(trusted.select("text").mapInArrow(_count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")))
     tables = []
     for order in range(ORDER, 0, -1):
         d1, d2, d3 = _discounts(counts)
         context = F.shiftrightunsigned("code", 8)
         totals = counts.groupBy(context.alias("context")).agg(F.sum("n").alias("total"))
-        kept = counts.orderBy(F.desc("n"), "code").limit(MODEL_ROWS).withColumn("context", context)
+        kept = counts.withColumn("context", context)
         taken = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
         shares = cut(kept.join(totals, "context").select("context", "code", ((F.col("n") - taken) / F.col("total")).alias("share")))
-        left = shares.groupBy("context").agg((1 - F.sum("share")).alias("left"))
-        found = [c.to_numpy() for c in shares.select("code", "share").toArrow().columns]
-        rest = [c.to_numpy() for c in left.toArrow().columns]
-        table = []
-        for keys, values in (found, rest):
-            by_key = np.argsort(keys)
-            table += [keys[by_key].astype(np.uint64), values[by_key]]
-        tables.append(tuple(table))
+        left = cut(shares.groupBy("context").agg((1 - F.sum("share")).alias("left")))
+        tables.append((shares.select("code", "share"), left))
         if order > 1:
             shorter = F.col("code").bitwiseAND(F.lit((1 << (8 * (order - 1))) - 1))
             counts = cut(counts.groupBy(shorter.alias("code")).agg(F.count("*").alias("n")))
     return tables[::-1]
 
 
+def _collected(tables: list[tuple[DataFrame, DataFrame]]) -> list[tuple[np.ndarray, ...]]:
+    out = []
+    for pair in tables:
+        table = []
+        for frame in pair:
+            keys, values = (c.to_numpy() for c in frame.toArrow().columns)
+            by_key = np.argsort(keys)
+            table += [keys[by_key].astype(np.uint64), values[by_key]]
+        out.append(tuple(table))
+    return out
+
+
+def train(trusted: DataFrame) -> list[tuple[np.ndarray, ...]]:
+    """For each order: n-grams and their discounted shares, contexts and their backoff weights;
+    n-grams and contexts sorted."""
+    return _collected(count_tables(trusted))
+
+
 def _found(table: np.ndarray, values: np.ndarray, keys: np.ndarray, absent: float) -> np.ndarray:
     if len(table) == 0:
         return np.full(len(keys), absent)
@@ -158,6 +172,41 @@ def _perplexities(model, columns: list[str]):
     return run
 
 
+def _codes_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(digest, code, n): distinct codes of each text."""
+    for batch in batches:
+        offsets, raw = text_buffers(batch.column("text"))
+        for begin, end in slices(offsets):
+            codes, at = _codes(raw, offsets, begin, end)
+            rows = np.repeat(np.arange(begin, end), at[1:] - at[:-1])
+            order = np.lexsort((codes, rows))
+            codes, rows = codes[order], rows[order]
+            new = np.flatnonzero(np.concatenate((np.ones(min(len(codes), 1), dtype=bool), (codes[1:] != codes[:-1]) | (rows[1:] != rows[:-1]))))
+            counts = np.diff(np.append(new, len(codes)))
+            arrays = [batch.column("digest").take(pa.array(rows[new])), pa.array(codes[new].view(np.int64)), pa.array(counts.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["digest", "code", "n"])
+
+
+def _joined_perplexities(rows: DataFrame, tables: list[tuple[DataFrame, DataFrame]], columns: list[str]) -> DataFrame:
+    """``columns`` and the perplexity of each text, by joins with tables of any size. Equal texts are
+    scored together: their sums and sizes grow alike."""
+    chances = rows.select("text").mapInArrow(_count, "code bigint, n bigint").select("code").distinct().withColumn("p", F.lit(1 / 256))
+    for order, (shares, left) in enumerate(tables, 1):
+        gram = F.col("code").bitwiseAND(F.lit((1 << (8 * order)) - 1))
+        chances = chances.withColumn("_gram", gram).withColumn("_context", F.shiftrightunsigned(gram, 8))
+        known = small_side(shares.withColumnRenamed("code", "_gram"), shares.count(), BROADCAST_ROWS)
+        backoff = small_side(left.withColumnRenamed("context", "_context"), left.count(), BROADCAST_ROWS)
+        chances = chances.join(known, "_gram", "left").join(backoff, "_context", "left")
+        p = F.coalesce("share", F.lit(0.0)) + F.coalesce("left", F.lit(1.0)) * F.col("p")
+        chances = chances.select("code", p.alias("p"))
+    chances = cut(chances.select("code", F.log(F.greatest("p", F.lit(1e-12))).alias("logp")))
+    digest = F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest")
+    of_texts = rows.select(digest, "text").mapInArrow(_codes_of_texts, "digest binary, code bigint, n bigint")
+    sums = of_texts.join(chances, "code").groupBy("digest").agg(F.sum(F.col("n") * F.col("logp")).alias("s"), F.sum("n").alias("size"))
+    found = sums.select("digest", F.exp(-F.col("s") / F.col("size")).alias("perplexity"))
+    return rows.select(*columns, digest).join(found, "digest", "left").select(*columns, "perplexity")
+
+
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """(doc_id, lang, perplexity, threshold, kept) of every document."""
     spark = docs.sparkSession
@@ -170,12 +219,14 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
         .select("doc_id", (F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == HELD_OUT).alias("held"))
     )
     trust = small_side(trust, trust.count(), BROADCAST_ROWS)
-    model = spark.sparkContext.broadcast(train(rows.join(trust.where(~F.col("held")), "doc_id")))
-    scored = cut(
-        rows.mapInArrow(
-            _perplexities(model, ["doc_id", "_lang", "lang"]), "doc_id bigint, _lang string, lang string, perplexity double"
-        ).withColumn("perplexity", F.round("perplexity", 6))
-    )
+    tables = count_tables(rows.join(trust.where(~F.col("held")), "doc_id"))
+    columns = ["doc_id", "_lang", "lang"]
+    if max(shares.count() for shares, _ in tables) <= MODEL_ROWS:
+        model = spark.sparkContext.broadcast(_collected(tables))
+        found = rows.mapInArrow(_perplexities(model, columns), "doc_id bigint, _lang string, lang string, perplexity double")
+    else:
+        found = _joined_perplexities(rows, tables, columns)
+    scored = cut(found.withColumn("perplexity", F.round("perplexity", 6)))
     held = cut(scored.join(trust.where("held"), "doc_id").where("perplexity is not null"))
     level = F.percentile_approx("perplexity", quantile, ACCURACY)
     overall = held.agg(level).first()[0]
