@@ -4,8 +4,9 @@ P(w | v, class) discounts the class's counts and gives the freed mass to P(w | c
 does the same with the documents that hold w and gives its freed mass to one backoff shared by
 both classes. An expression whose document counts do not tell the classes apart (a
 log-likelihood ratio test below ``SIGNIFICANT``) is left to that backoff altogether, with the
-same probability in both. The ``MODEL_ROWS`` most significant of each order form the model,
-which is therefore bounded. Counts cover all labelled training documents.
+same probability in both. All others form the model. Up to ``MODEL_ROWS`` of an order it is
+broadcast; a larger one stays a table, to which the distinct word pairs of all texts are joined.
+Counts cover all labelled training documents.
 
 The score of a text is a logistic function of the difference of its two log-likelihoods per
 word (with ``PRIOR_WORDS`` neutral words added, so short texts stay near neutral). That
@@ -63,8 +64,9 @@ def _places(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def _counts(order: int, vocabulary):
-    """Per task: occurrences and documents of each word (or pair of model words), by class."""
-    names = ["key", "before", "n1", "n0", "d1", "d0"]
+    """Per task: occurrences and documents of each word (or pair of words, of those in the
+    vocabulary where one is given), by class."""
+    names = ["key", "before", "after", "n1", "n0", "d1", "d0"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary.value if vocabulary is not None else None
@@ -73,36 +75,38 @@ def _counts(order: int, vocabulary):
 
         def emptied() -> pa.RecordBatch:
             nonlocal rows
-            key, before, toxic, first = (np.concatenate(x) for x in zip(*held))
+            key, before, after, toxic, first = (np.concatenate(x) for x in zip(*held))
             held.clear()
             rows = 0
             found, at, inverse = np.unique(key, return_index=True, return_inverse=True)
             sums = [np.bincount(inverse, w, len(found)) for w in (toxic, 1 - toxic, first * toxic, first * (1 - toxic))]
-            arrays = [pa.array(found.view(np.int64)), pa.array(before[at].view(np.int64))]
+            arrays = [pa.array(found.view(np.int64)), pa.array(before[at].view(np.int64)), pa.array(after[at].view(np.int64))]
             return pa.RecordBatch.from_arrays([*arrays, *(pa.array(s.astype(np.int64)) for s in sums)], names=names)
 
         for batch in batches:
             labels = batch.column("toxic").to_pylist()
             for i, hashes in _documents(batch.column("text")):
-                key, before = hashes, hashes
+                key, before, after = hashes, hashes, hashes
                 if order == 2:
                     if len(hashes) < 2:
                         continue
-                    inside = _places(known, hashes) >= 0
-                    both = inside[1:] & inside[:-1]
-                    key, before = ngrams(hashes, 2)[both], hashes[:-1][both]
+                    key, before, after = ngrams(hashes, 2), hashes[:-1], hashes[1:]
+                    if known is not None:
+                        inside = _places(known, hashes) >= 0
+                        both = inside[1:] & inside[:-1]
+                        key, before, after = key[both], before[both], after[both]
                 if len(key) == 0:
                     continue
                 new = np.zeros(len(key))
                 new[np.unique(key, return_index=True)[1]] = 1
-                held.append((key, before, np.full(len(key), labels[i], dtype=float), new))
+                held.append((key, before, after, np.full(len(key), labels[i], dtype=float), new))
                 rows += len(key)
                 if rows >= _FLUSH:
                     yield emptied()
         if held:
             yield emptied()
 
-    return run, "key bigint, before bigint, n1 bigint, n0 bigint, d1 bigint, d0 bigint"
+    return run, "key bigint, before bigint, after bigint, n1 bigint, n0 bigint, d1 bigint, d0 bigint"
 
 
 def _ratio_test(toxic: int, ordinary: int) -> Column:
@@ -117,17 +121,25 @@ def _ratio_test(toxic: int, ordinary: int) -> Column:
     return out
 
 
-def _count_table(texts: DataFrame, order: int, vocabulary, sizes: dict[int, int]) -> dict[str, np.ndarray]:
-    """The most significant expressions with their counts, sorted by key; ``MODEL_ROWS`` at
-    most."""
+def _count_table(texts: DataFrame, order: int, words_table: DataFrame, vocabulary, sizes: dict[int, int]) -> DataFrame:
+    """All significant expressions with their counts; pairs are those of words in ``words_table``,
+    which ``vocabulary`` has as an array where it is small."""
     sums = [F.sum(c).alias(c) for c in ("n1", "n0", "d1", "d0")]
-    counted = texts.mapInArrow(*_counts(order, vocabulary)).groupBy("key").agg(F.min("before").alias("before"), *sums)
-    tested = counted.withColumn("g", _ratio_test(sizes[1], sizes[0])).where(F.col("g") >= SIGNIFICANT)
-    found = tested.orderBy(F.desc("g"), "key").limit(MODEL_ROWS).drop("g")
-    table = {c: x.to_numpy() for c, x in zip(counted.columns, found.toArrow().columns)}
-    by_key = np.argsort(table["key"].view(np.uint64))
-    table = {c: x[by_key] for c, x in table.items()}
-    return table | {c: table[c].view(np.uint64) for c in ("key", "before")}
+    ends = [F.min(c).alias(c) for c in ("before", "after")]
+    counted = texts.mapInArrow(*_counts(order, vocabulary)).groupBy("key").agg(*ends, *sums)
+    tested = counted.withColumn("g", _ratio_test(sizes[1], sizes[0])).where(F.col("g") >= SIGNIFICANT).drop("g")
+    if order == 2 and vocabulary is None:
+        for end in ("before", "after"):
+            tested = tested.join(words_table.select(F.col("key").alias(end)), end, "left_semi")
+    return cut(tested.select(*counted.columns))
+
+
+def _collected(table: DataFrame) -> dict[str, np.ndarray]:
+    """The columns of a table, sorted by key."""
+    found = {c: x.to_numpy() for c, x in zip(table.columns, table.toArrow().columns)}
+    by_key = np.argsort(found["key"].view(np.uint64))
+    found = {c: x[by_key] for c, x in found.items()}
+    return found | {c: found[c].view(np.uint64) for c in ("key", "before")}
 
 
 def _discounted(counts: np.ndarray, documents: int) -> tuple[np.ndarray, float]:
@@ -211,6 +223,68 @@ def _per_word(model, columns: list[str]):
     return run
 
 
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(digest, key, first, before, word, n): distinct pairs of words that follow each other in a
+    text, by their hash, and its first word, which has none before it."""
+    for batch in batches:
+        for i, hashes in _documents(batch.column("text")):
+            if len(hashes) == 0:
+                continue
+            found, at, n = np.unique(ngrams(hashes, 2) if len(hashes) > 1 else hashes[:0], return_index=True, return_counts=True)
+            numbers = [np.append(hashes[:1], found), np.append(hashes[:1], hashes[at]), np.append(hashes[:1], hashes[at + 1])]
+            first = np.arange(len(found) + 1) == 0
+            key, before, word = (x.astype(np.uint64).view(np.int64) for x in numbers)
+            key, before, word, first = pa.array(key), pa.array(before, mask=first), pa.array(word), pa.array(first)
+            digest = batch.column("digest").take(pa.array(np.full(len(key), i)))
+            counts = pa.array(np.append(1, n).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([digest, key, first, before, word, counts], names=["digest", "key", "first", "before", "word", "n"])
+
+
+def _model_tables(single: DataFrame, pairs: DataFrame, sizes: dict[int, int]) -> tuple[DataFrame, DataFrame]:
+    """:class:`Model` as tables: words with their probabilities and backoff masses, pairs with
+    what is kept of them."""
+    totals = single.agg(
+        F.sum(F.col("d1") + F.col("d0")).alias("all"),
+        *[F.sum(f"d{c}").alias(f"sum{c}") for c in "10"],
+        *[F.sum(F.least(f"d{c}", F.lit(DISCOUNT))).alias(f"taken{c}") for c in "10"],
+    ).first()
+    shared = (F.col("d1") + F.col("d0")) / max(totals["all"] or 0, 1)
+    chances = []
+    for c in "10":
+        total = float(totals[f"sum{c}"] or 0) + sizes[int(c)]
+        freed = ((totals[f"taken{c}"] or 0.0) + DISCOUNT) / total
+        chances.append(((F.col(f"d{c}") - F.least(f"d{c}", F.lit(DISCOUNT))) / total + freed * shared).alias(f"p{c}"))
+    owners = single.select(F.col("key").alias("before"), F.col("n1").alias("of1"), F.col("n0").alias("of0"))
+    kept = [((F.col(f"n{c}") - F.least(f"n{c}", F.lit(DISCOUNT))) / F.greatest(f"of{c}", F.lit(1))).alias(f"kept{c}") for c in "10"]
+    kept_pairs = cut(pairs.join(owners, "before").select("key", "before", *kept))
+    used = kept_pairs.groupBy(F.col("before").alias("key")).agg(*[F.sum(f"kept{c}").alias(f"used{c}") for c in "10"])
+    left = [F.greatest(F.lit(0.05), F.least(F.lit(1.0), 1 - F.coalesce(f"used{c}", F.lit(0.0)))).alias(f"left{c}") for c in "10"]
+    return cut(single.select("key", *chances).join(used, "key", "left").select("key", "p1", "p0", *left)), kept_pairs.drop("before")
+
+
+def _joined_per_word(frame: DataFrame, tables: tuple[DataFrame, DataFrame], columns: list[str]) -> DataFrame:
+    """``columns`` and ``x`` as :func:`_per_word` gives it, by joins with tables of any size. Equal
+    texts are scored together: every text has one first word, which tells how many there are."""
+    model, kept = tables
+    digest = F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest")
+    schema = "digest binary, key bigint, first boolean, before bigint, word bigint, n bigint"
+    found = frame.select(digest, "text").mapInArrow(_occurrences, schema)
+    after = model.select(F.col("key").alias("word"), "p1", "p0")
+    before = model.select(F.col("key").alias("before"), "left1", "left0")
+    distinct = found.groupBy("key").agg(F.min("before").alias("before"), F.min("word").alias("word"))
+    known = distinct.join(after, "word").join(before, "before", "left").join(kept, "key", "left")
+    # Without a known word before it, a word has the chances of the word alone. A pair that is kept
+    # has a known word before it.
+    back = [F.coalesce(f"left{c}", F.lit(1.0)) * F.col(f"p{c}") + F.coalesce(f"kept{c}", F.lit(0.0)) for c in "10"]
+    differences = cut(known.select("key", (F.log(back[0]) - F.log(back[1])).alias("d")))
+    sums = found.join(differences, "key", "left").groupBy("digest").agg(
+        F.sum(F.col("n") * F.coalesce("d", F.lit(0.0))).alias("s"), F.sum("n").alias("size"), F.count_if("first").alias("copies")
+    )
+    x = (F.col("s") / F.col("copies")) / (F.col("size") / F.col("copies") + PRIOR_WORDS)
+    per_text = sums.select("digest", x.alias("x"))
+    return frame.select(*columns, digest).join(per_text, "digest", "left").select(*columns, F.coalesce("x", F.lit(0.0)).alias("x"))
+
+
 def _logistic(x: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> tuple[float, float]:
     """Slope and intercept by Newton steps on weighted counts, lightly held to (10, -2)."""
     design = np.stack([x, np.ones_like(x)])
@@ -247,16 +321,28 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
         share = labelled.agg(F.avg("toxic")).first()[0] or 0.0
         flat = F.lit(float(share))
         return texts.select("doc_id", held_out.alias("held_out"), flat.alias("score"), (flat >= THRESHOLD).cast("int").alias("predicted"))
-    single = _count_table(counted, 1, None, sizes)
-    pairs = _count_table(counted, 2, spark.sparkContext.broadcast(single["key"]), sizes)
-    model = spark.sparkContext.broadcast(Model(single, pairs, sizes))
+    single = _count_table(counted, 1, None, None, sizes)
+    few = single.count() <= MODEL_ROWS
+    known = _collected(single) if few else None
+    pairs = _count_table(counted, 2, single, spark.sparkContext.broadcast(known["key"]) if few else None, sizes)
+    if few and pairs.count() <= MODEL_ROWS:
+        model = spark.sparkContext.broadcast(Model(known, _collected(pairs), sizes))
+
+        def per_word(frame: DataFrame, column: str, kind: str) -> DataFrame:
+            return frame.mapInArrow(_per_word(model, [column]), f"{column} {kind}, x double")
+    else:
+        tables = _model_tables(single, pairs, sizes)
+
+        def per_word(frame: DataFrame, column: str, kind: str) -> DataFrame:
+            return _joined_per_word(frame, tables, [column])
+
     calibrating = labelled.where(F.col("fold") == CALIBRATING).select("text", "toxic")
-    seen = calibrating.mapInArrow(_per_word(model, ["toxic"]), "toxic int, x double")
+    seen = per_word(calibrating, "toxic", "int")
     bin_of = F.floor((F.greatest(F.lit(-REACH), F.least(F.lit(REACH), F.col("x"))) + REACH) * (BINS / (2 * REACH)))
     found = seen.groupBy(bin_of.alias("bin")).agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).toArrow()
     at, toxic, ordinary = (np.asarray(c.to_numpy(), dtype=float) for c in found.columns)
     slope, intercept = _logistic((at + 0.5) * (2 * REACH / BINS) - REACH, toxic, ordinary)
-    scored = texts.mapInArrow(_per_word(model, ["doc_id"]), "doc_id bigint, x double")
+    scored = per_word(texts, "doc_id", "bigint")
     p = F.round(1 / (1 + F.exp(-(F.col("x") * slope + intercept))), 6)
     return scored.select(
         "doc_id", held_out.alias("held_out"), p.alias("score"), (p >= THRESHOLD).cast("int").alias("predicted")

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import importlib
 import random
 import zlib
 
+import pytest
+
 from countermill.llm import quality_lm, toxicity
 from tests.llm.data import SCHEMA, clashing_documents, edge_documents, edge_rows, no_documents, prose
 
@@ -108,3 +111,25 @@ def test_quality_edges(spark):
     assert quality_lm.classify(no_documents(spark), labels).count() == 0
     none = spark.createDataFrame([], LABELS)
     assert quality_lm.classify(edge_documents(spark), none).count() == len(edge_rows())
+
+
+def _labelled(spark):
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(400):
+        words = prose(i, 40).split()
+        for _ in range(5 if i % 4 == 0 else 0):
+            words.insert(rng.randrange(len(words)), rng.choice(["idiot", "scum", "stupid trash"]))
+        rows.append((i, " ".join(words), ("en", "de")[i % 2], "s", 0))
+        labels.append((i, int(i % 7 != 0), int(i % 4 == 0)))
+    rows += [(500, rows[8][1], "en", "s", 0), (501, rows[8][1], "en", "s", 0), (502, None, "en", "s", 0), (503, "", "en", "s", 0), (504, "scum", None, "s", 0), (None, "x y", "en", "s", 0)]
+    return spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, LABELS)
+
+
+@pytest.mark.parametrize("operator", [toxicity.score, quality_lm.classify])
+def test_a_model_beyond_the_bound_loses_nothing(spark, monkeypatch, operator):
+    docs, labels = _labelled(spark)
+    plain = lambda: sorted(([round(v, 4) if isinstance(v, float) else v for v in r] for r in operator(docs, labels).collect()), key=repr)
+    whole = plain()
+    monkeypatch.setattr(importlib.import_module(operator.__module__), "MODEL_ROWS", 3)
+    assert plain() == whole
