@@ -1,9 +1,9 @@
 """Importance resampling of documents towards the benchmark's distribution of word runs.
 
 Words come from an untrained pre-tokenizer: a Regex Split over the ASCII-lowered bytes returns
-them with offsets, byte for byte, so offset pairs give the words' lengths. Runs of 1 to 3 offset
-pairs are features; a run's bucket is the CRC-32 of its words joined by spaces, computed for
-whole arrays from the words' checksums and lengths (``crc``).
+them with byte offsets. Runs of 1 to 3 offset pairs are features; a run's bucket is the CRC-32 of
+its words joined by spaces, computed from the words' checksums and lengths (``crc``) for whole
+arrays, which hold the words of many short texts.
 
 One pass over the texts writes each row's buckets, two bytes a feature, to a table. Its counts
 are added inside each task, so ``BUCKETS`` rows a task are shuffled; the gains of all buckets
@@ -22,8 +22,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from countermill.llm.common import cut
-from countermill.llm.crc import joined
+from countermill.llm.crc import checksums, followed, joined
 from countermill.llm.sql_parts import CRC_TABLE, ascii_lower, crc32
 from countermill.operators.ordering import numbered
 
@@ -41,11 +42,13 @@ LEAST_WORDS = 20
 PERCENT = 5
 SEED = 42
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Bytes read by the pre-tokenizer at once, buckets sent to Spark at once, and words whose checksums a worker keeps.
-PART_BYTES = 1 << 20
+#: Bytes read by the pre-tokenizer at once, texts whose words share arrays, and buckets sent to Spark at once.
+PART_BYTES = 1 << 14
+GROUP_BYTES = 1 << 18
 BATCH_BYTES = 16 << 20
-KNOWN_WORDS = 1 << 20
 
+#: Bytes as the pre-tokenizer sees them: those from 128 up are word characters, each as good as any.
+_SEEN = bytes(range(128)) + b"z" * 128
 _BETWEEN = re.compile(rb"[\x00-\x2F\x3A-\x60\x7B-\x7F]")
 
 
@@ -53,12 +56,11 @@ class WordRuns:
     """Buckets of all runs of consecutive words of a text."""
 
     def __init__(self, longest: int = RUN, buckets: int = BUCKETS, part_bytes: int = PART_BYTES) -> None:
-        from tokenizers import Regex, pre_tokenizers
+        from tokenizers import PreTokenizedString, Regex, pre_tokenizers
 
+        self.pieces = PreTokenizedString
         self.split = pre_tokenizers.Split(Regex(WORD), behavior="removed", invert=True)
         self.longest, self.buckets, self.part_bytes = longest, buckets, part_bytes
-        self.known: dict[str, int] = {}
-        self.spaced: dict[str, int] = {}
 
     def _parts(self, text: bytes) -> Iterator[bytes]:
         """The text in parts that end between words, unless one word is longer than a part."""
@@ -70,34 +72,51 @@ class WordRuns:
             start = end
         yield text[start:]
 
-    def _words(self, part: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Checksum, checksum with a space after it, and bytes of each word. Bytes are read as
-        Latin-1, one character each: bytes from 128 up are word characters either way."""
-        pairs = self.split.pre_tokenize_str(part.decode("latin-1"))
-        known, spaced = self.known, self.spaced
-        if len(known) > KNOWN_WORDS:
-            known.clear(), spaced.clear()
-        for word, _ in pairs:
-            if word not in known:
-                raw = word.encode("latin-1")
-                known[word] = zlib.crc32(raw)
-                spaced[word] = zlib.crc32(raw + b" ")
-        n = len(pairs)
-        offsets = np.fromiter((o for _, pair in pairs for o in pair), np.int64, 2 * n).reshape(n, 2)
-        own = np.fromiter((known[w] for w, _ in pairs), np.uint32, n)
-        with_space = np.fromiter((spaced[w] for w, _ in pairs), np.uint32, n)
-        return own, with_space, offsets[:, 1] - offsets[:, 0]
+    def _offsets(self, part: bytes) -> np.ndarray:
+        """(start, end) of each word, in bytes."""
+        pieces = self.pieces(part.translate(_SEEN).decode("ascii"))
+        self.split.pre_tokenize(pieces)
+        pairs = pieces.get_splits(offset_referential="original", offset_type="byte")
+        return np.fromiter(chain.from_iterable(map(itemgetter(1), pairs)), np.int64, 2 * len(pairs)).reshape(-1, 2)
 
     def buckets_of(self, text: bytes) -> tuple[int, np.ndarray]:
         """Number of words, and the bucket of every run."""
-        parts = map(self._words, self._parts(text.lower()))  # of bytes, so A to Z alone
-        own, with_space, length = (np.concatenate(x) for x in zip(*parts))
-        found, run, run_spaced = [own], own, with_space
+        return next(self.buckets_of_all([text]))
+
+    def buckets_of_all(self, texts: Sequence[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+        """Number of words, and the bucket of every run, of each text."""
+        data = b"\n".join(texts).lower()  # of bytes, so A to Z alone
+        found, begin = [], 0
+        for part in self._parts(data):
+            found.append(self._offsets(part) + begin)
+            begin += len(part)
+        offsets = np.concatenate(found)
+        starts, length = offsets[:, 0], offsets[:, 1] - offsets[:, 0]
+        own = checksums(data, starts, length)
+        runs, run = [own], own
         for extra in range(1, min(self.longest, len(own))):
-            run = joined(run_spaced[:-1], own[extra:], length[extra:])
-            run_spaced = joined(run_spaced[:-1], with_space[extra:], length[extra:] + 1)
-            found.append(run)
-        return len(own), (np.concatenate(found) % np.uint32(self.buckets)).astype("<u2")
+            run = joined(followed(run[:-1], 0x20), own[extra:], length[extra:])
+            runs.append(run)
+        runs = [(r % np.uint32(self.buckets)).astype("<u2") for r in runs]
+        ends = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts])).tolist()
+        for first, end in zip([0, *ends], ends):
+            # Runs of a text end before the next one: no run goes over both.
+            yield end - first, np.concatenate([r[first : max(first, end - extra)] for extra, r in enumerate(runs)])
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
+    """Consecutive doc_ids and texts of about ``GROUP_BYTES``, one at least."""
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
+            ids.append(doc_id.as_py())
+            texts.append(text.as_py() or b"")
+            size += len(texts[-1]) + 1
+            if size > GROUP_BYTES:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
 
 
 def _reader(longest: int, buckets: int):
@@ -107,10 +126,9 @@ def _reader(longest: int, buckets: int):
         runs = WordRuns(longest, buckets)
         held: list[tuple] = []
         size = 0
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-                words, found = runs.buckets_of(text.as_py() or b"")
-                held.append((doc_id.as_py(), words, found.tobytes()))
+        for ids, texts in _groups(batches):
+            for doc_id, (words, found) in zip(ids, runs.buckets_of_all(texts)):
+                held.append((doc_id, words, found.tobytes()))
                 size += len(held[-1][2]) + 32
                 if size > BATCH_BYTES:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*held), schema)], schema=schema)

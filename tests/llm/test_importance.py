@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from countermill.llm import crc, importance
@@ -69,6 +70,42 @@ def test_buckets_do_not_depend_on_parts(part_bytes):
         assert sorted(found.tolist()) == sorted(buckets(text))
 
 
+def test_checksums_of_words_equal_whole_ones():
+    rng = random.Random(6)
+    sizes = [rng.choice([0, 1, 2, 5, 31, 32, 33, 34, 300]) for _ in range(500)]
+    for some in ([], [7], [0], [40], sizes):
+        data = rng.randbytes(sum(some))
+        starts = np.cumsum([0, *some])[:-1].astype(np.int64)
+        words = [data[a : a + n] for a, n in zip(starts, some)]
+        found = crc.checksums(data, starts, np.array(some, np.int64))
+        assert found.tolist() == [zlib.crc32(w) for w in words]
+        assert crc.followed(found, 0x20).tolist() == [zlib.crc32(w + b" ") for w in words]
+
+
+def test_many_short_texts_share_arrays(monkeypatch):
+    rng = random.Random(7)
+    texts = [rng.choice([None, "", "One", "a b", "é-x  Y\n", "x" * 90, "one TWO three 4 " * rng.randrange(9)]) for _ in range(900)]
+    calls = []
+    monkeypatch.setattr(importance, "joined", lambda *columns: calls.append(1) or crc.joined(*columns))
+    batches = [
+        pa.record_batch({"doc_id": pa.array(range(a, a + 300)), "text": pa.array([t and t.encode() for t in texts[a : a + 300]], pa.binary())})
+        for a in (0, 300, 600)
+    ]
+    out = [r for b in importance._reader(3, 10000)(iter(batches)) for r in b.to_pylist()]
+    assert [r["doc_id"] for r in out] == list(range(900))
+    for text, row in zip(texts, out):
+        assert row["n_words"] == n_words(text)
+        assert np.frombuffer(row["buckets"], "<u2").tolist() == buckets(text)
+    assert len(calls) <= 4
+
+
+def test_bytes_that_are_no_text_are_word_characters():
+    texts = [b"\xff\xfe A", b"", b"b\x80\xc3 \xff"]
+    found = [(n, b.tolist()) for n, b in importance.WordRuns(part_bytes=2).buckets_of_all(texts)]
+    crcs = [[zlib.crc32(w) % 10000 for w in ws] for ws in ([b"\xff\xfe", b"a", b"\xff\xfe a"], [], [b"b\x80\xc3", b"\xff", b"b\x80\xc3 \xff"])]
+    assert found == [(2, crcs[0]), (0, []), (2, crcs[2])]
+
+
 @pytest.mark.parametrize("make", [edge_documents, clashing_documents, no_documents])
 def test_edges_equal_brute_force(spark, make):
     items = spark.createDataFrame([(1, "one two three"), (2, None), (3, "One, two")], "item_id bigint, text string")
