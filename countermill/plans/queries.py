@@ -37,6 +37,9 @@ QUERIES: dict[str, Query] = {}
 # Days the lifecycle queries run "on"; the current date never enters a query.
 EVENT_DAY, ORDER_DAY = "2024-01-20", "2000-01-01"
 
+# Documents that a file of a group holds, about; a file is read whole by one task.
+DOCUMENTS_PER_FILE = 1_000_000
+
 
 def query(function: Query) -> Query:
     QUERIES[f"q_{function.__name__}"] = function
@@ -238,10 +241,15 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _grouped_files(spark: SparkSession, sf_dir: str, folder: str, groups: int = 8) -> None:
-    """The documents as one file for each group of users, several documents in each."""
+    """The documents as one file for each group of users, several documents in each; a very big
+    group is a folder of several files, with all documents of a user in one of them."""
     records = CF.parse_mdc_text(S.mdc_documents(spark, sf_dir), "value", "file")
-    group = (F.substring_index("source_file", "/", 1).cast("int") % groups).alias("group_id")
-    grouped = records.select("mfh", "md", group).repartition("group_id")
+    user = F.substring_index("source_file", "/", 1)
+    group = user.cast("int") % groups
+    # There are no more documents than events.
+    parts = S.table(spark, sf_dir, "events").count() // (groups * DOCUMENTS_PER_FILE) + 1
+    task = F.coalesce(F.pmod(group, F.lit(groups)) * parts, F.lit(0)) + F.pmod(F.xxhash64(user), F.lit(parts)).cast("int")
+    grouped = records.select("mfh", "md", group.alias("group_id"), task.alias("_task")).repartitionById(groups * parts, "_task").drop("_task")
     grouped.write.format("xml").option("rowTag", "mdc").option("rootTag", "files").partitionBy("group_id").save(folder)
 
 
@@ -279,11 +287,15 @@ def batch_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = F.count(F.lit(1)).alias("rows")
     long = seen("long", "counter_name STRING, counter_value BIGINT, date_id STRING")
     entity = seen("entity", "measurement STRING, view BIGINT, date_id STRING")
-    states = seen("files", "path STRING, status STRING")
+    # A folder counts once, however many files it has, and again when any of them is seen again.
+    name, folder = F.col("status").alias("name"), F.regexp_extract("path", "([^/]*)/[^/]*$", 1).alias("folder")
+    paths = seen("files", "path STRING, status STRING").groupBy("sink", name, folder, "path").agg(rows)
+    states = paths.groupBy("sink", "name", "folder").agg(F.max("rows").alias("rows")).groupBy("sink", "name").agg(F.sum("rows").alias("rows"))
+    no_day, no_total = F.lit(None).cast("string").alias("date_id"), F.lit(None).cast("bigint").alias("total")
     return (
         long.groupBy("sink", "date_id", F.col("counter_name").alias("name")).agg(rows, F.sum("counter_value").alias("total"))
         .unionByName(entity.groupBy("sink", "date_id", F.col("measurement").alias("name")).agg(rows, F.sum("view").alias("total")))
-        .unionByName(states.groupBy("sink", F.lit(None).cast("string").alias("date_id"), F.col("status").alias("name")).agg(rows, F.lit(None).cast("bigint").alias("total")))
+        .unionByName(states.select("sink", no_day, "name", "rows", no_total))
     )
 
 

@@ -5,6 +5,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from countermill.operators import flatten
+from countermill.plans import queries
 from countermill.sources import counter_files as CF
 from countermill.streaming.fanout import Sink, commits, committed, start_fan_out
 from countermill.streaming.ingest import file_states, long_writer, start_ingest
@@ -105,3 +106,22 @@ def test_found_files_lists_empty_nested_and_foreign_ones(spark, tmp_path):
     assert CF.found_files(spark, str(tmp_path / "in"), "*.xml").count() == 3
     scanned = spark.read.text(str(tmp_path / "in")).select(F.col("_metadata.file_path").alias("path")).distinct()
     assert scanned.join(found, "path").count() == 2
+
+
+def test_a_big_group_of_documents_is_written_in_several_files(spark, tmp_path, monkeypatch):
+    events = spark.range(240).selectExpr(
+        "id AS event_id", "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, id div 40) AS ts", "id % 40 AS user_id", "'view' AS event_type", "1.0D AS value"
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    queries._grouped_files(spark, str(tmp_path), str(tmp_path / "one"))
+    assert len(list((tmp_path / "one").glob("*/part-*"))) == 8
+    monkeypatch.setattr(queries, "DOCUMENTS_PER_FILE", 15)
+    queries._grouped_files(spark, str(tmp_path), str(tmp_path / "in"))
+    files = [f.read_text() for f in (tmp_path / "in").glob("*/part-*")]
+    assert len(files) > 8 and sum(f.count("<mdc>") for f in files) == 240
+    assert all(sum(f"MeContext={user}<" in f for f in files) == 1 for user in range(40))
+    found = rows(queries.batch_fanout(spark, str(tmp_path)))
+    assert found == sorted(
+        [("entity", "20240101", f"Cell{n}", 8, 4800) for n in range(5)]
+        + [("files", None, "Dropped", 2, None), ("files", None, "Parsed", 8, None), ("long", "20240101", "view", 240, 24000)], key=str
+    )
