@@ -1,11 +1,10 @@
-"""Entity trees of any depth read with window functions, without Python workers.
-
-A document becomes a run of tokens: start tags, end tags and elements without child elements, each
-with the text behind it. Its tokens stand in order in one window partition, where a running sum of
-starts and ends is the depth of each. The ancestor of a token at depth k is the last start at
-depth k before it, so one running value for each depth gives a token its whole path: no parent
-is looked up by a join. Documents are dealt by their key before they are cut into tokens, and
-every window has the same partitions and order, so tokens are not shuffled and are sorted once.
+"""Entity trees of any depth read with native expressions, without Python workers.
+
+A document is dealt and sorted once, whole. It is cut into runs: end tags that follow each other, or
+a start tag with the elements without child elements behind it. A fold over its runs carries the open
+elements, each with its path and the number of its children so far, so a run needs no look at
+what came before it and all its elements share one path. Runs are cut into elements where rows are
+made. Depth is not known beforehand: no pass over the documents looks for it.
 """
 
 from __future__ import annotations
@@ -20,12 +19,35 @@ from pyspark.sql import functions as F
 from countermill.functions.text import unescape_xml
 from countermill.sources.node_models import MODEL_COLUMNS
 
-# Quoted values may hold angle brackets.
-TAG = r"""<[^<>"']*(?:"[^"]*"[^<>"']*|'[^']*'[^<>"']*)*>"""
-PIECE = rf"<!--[\s\S]*?-->|<!\[CDATA\[[\s\S]*?\]\]>|<\?[\s\S]*?\?>|<![A-Za-z][^>]*>|{TAG}|[^<]+|<"
-START = r"""<([^\s/<>"']++)(?=[\s>])[^<>"']*(?:"[^"]*"[^<>"']*|'[^']*'[^<>"']*)*(?<!/)>"""
-TOKEN = rf"{START}[^<]*</\1\s*>[^<]*|{TAG}[^<]*|[^<]+|<"
-ATTRIBUTE = r"""([^\s=<>"'/]+)\s*=\s*("[^"]*"|'[^']*')"""
+# Quoted values may hold angle brackets. Groups are repeated possessively: their parts exclude each other,
+# so there is nothing to try again, and no stack is needed for each repetition.
+WITHIN = r"""[^<>"']*(?:"[^"]*"[^<>"']*|'[^']*'[^<>"']*)*+"""
+TAG = f"<{WITHIN}>"
+BLANK = r" \t\n\x0B\f\r"
+ELEMENT = f"<(?![!?]){WITHIN}>"
+# Comments, CDATA sections, instructions and declarations, and texts that hold them.
+ASIDE = rf"<(?:!--[\s\S]*?-->|!\[CDATA\[[\s\S]*?\]\]>|\?[\s\S]*?\?>|![A-Za-z][^>]*>|[!?]{WITHIN}>)"
+PIECE = rf"{ASIDE}|[^<]+(?:{ELEMENT}[^<]*)*+|(?:{ELEMENT}[^<]*)++|<"
+MIXED = rf"[^<]*(?:{ASIDE}[^<]*)*+"
+
+
+def _leaf(group: int, text: str) -> str:
+    """An element without child elements and the text behind it; its name is the ``group`` of the expression."""
+    name = rf"""(?:([^{BLANK}/<>"']+)(?=[{BLANK}>]))?+"""
+    return rf"<(?![!?/]){name}{WITHIN}>(?:(?<=/>)|{text}</\{group}[{BLANK}]*>){text}"
+
+
+TOKEN = rf"{_leaf(1, '[^<]*')}|{TAG}[^<]*|[^<]+|<"
+RUN = (
+    rf"(?:</{WITHIN}>{MIXED})++|(?:{_leaf(1, MIXED)})++|{ELEMENT}{MIXED}(?:{_leaf(2, MIXED)})*+|"
+    rf"[^<]+(?:{ASIDE}[^<]*)*+|(?:{ASIDE}[^<]*)++|<"
+)
+ATTRIBUTE = rf"""[^{BLANK}=<>"'/]++[{BLANK}]*+=[{BLANK}]*+(?:"[^"]*"|'[^']*')"""
+BLANKS = r"[\s\x{FEFF}]+"
+
+# A fold copies what it holds at each step, so rows of a long document are collected by few runs, then by
+# few of those blocks and so on.
+BLOCKS = (16384, 1024, 64, 8)
 
 # The tags that structure a tree.
 GROUP, REFERENCE = "Components", "EntityRef"
@@ -55,7 +77,8 @@ def _code_points(text: Column) -> Column:
 def _decoded(text: Column) -> Column:
     """Text of the markup, with character references as the characters they stand for."""
     named = {"&lt;": "<", "&gt;": ">", "&apos;": "'", "&quot;": '"', "&amp;": "&"}
-    return reduce(lambda t, n: F.replace(t, F.lit(n), F.lit(named[n])), named, _code_points(text))
+    plain = reduce(lambda t, n: F.replace(t, F.lit(n), F.lit(named[n])), named, _code_points(text))
+    return F.when(text.contains("&"), plain).otherwise(text)
 
 
 def _plain_markup(text: Column) -> Column:
@@ -74,19 +97,34 @@ def _quoted(token: Column, name: str) -> Column:
     return F.regexp_extract(token, rf"""\s{name}\s*=\s*("[^"]*"|'[^']*')""", 1)
 
 
-def _unquoted(found: Column) -> Column:
-    return F.when(found != "", _decoded(F.substr(found, F.lit(2), F.length(found) - 2)))
+def _within(quoted: Column) -> Column:
+    return F.when(quoted != "", F.substr(quoted, F.lit(2), F.length(quoted) - 2))
 
 
-def _attributes(token: Column) -> Column:
-    """All attributes but the name as (prop_pos, prop, value), in order."""
-    keys = F.regexp_extract_all(token, F.lit(ATTRIBUTE), F.lit(1))
-    values = F.regexp_extract_all(token, F.lit(ATTRIBUTE), F.lit(2))
-    pairs = F.zip_with(
-        keys, values, lambda k, v: F.struct(k.alias("prop"), _decoded(F.substr(v, F.lit(2), F.length(v) - 2)).alias("value"))
-    )
-    others = F.filter(pairs, lambda p: p["prop"] != "name")
-    return F.transform(others, lambda p, i: F.struct(i.alias("prop_pos"), p["prop"].alias("prop"), p["value"].alias("value")))
+def _start(token: Column) -> Column:
+    return F.regexp_extract(token, f"^{TAG}", 0)
+
+
+def _tag(token: Column) -> Column:
+    return F.regexp_extract(token, r"^</?([^\s/>]+)", 1)
+
+
+def _behind_leaf(rest: Column) -> Column:
+    end = F.substring_index(rest, "</", -1)
+    return F.substr(end, F.locate(">", end) + 1)
+
+
+def _tokens(text: Column) -> Column:
+    """Start tags, end tags and elements without child elements in order, each with the text behind it."""
+    return F.regexp_extract_all(_plain_markup(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
+
+
+def _dealt(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc, _markup), documents dealt to tasks by their key."""
+    spark = documents.sparkSession
+    # Markup is many times its shuffled size, so partitions are not sized by that.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return documents.select(F.col(key).alias("doc"), F.col(text).alias("_markup")).repartition(parts, "doc")
 
 
 def tree_tokens(documents: DataFrame, key: str, text: str = "value") -> DataFrame:
@@ -95,13 +133,9 @@ def tree_tokens(documents: DataFrame, key: str, text: str = "value") -> DataFram
     after an end; an element without child elements is one ``single`` token. ``text`` tokens are
     those at no tag.
     """
-    spark = documents.sparkSession
-    # Markup is many times its shuffled size, so partitions are not sized by that.
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-    dealt = documents.select(F.col(key).alias("doc"), F.col(text).alias("_markup")).repartition(parts, "doc")
-    pieces = F.regexp_extract_all(_plain_markup(F.coalesce("_markup", F.lit(""))), F.lit(TOKEN), F.lit(0))
-    tokens = dealt.select("doc", F.posexplode_outer(pieces).alias("pos", "piece"))
-    tokens = tokens.select("doc", "pos", "piece", F.regexp_extract("piece", f"^{TAG}", 0).alias("token"))
+    dealt = _dealt(documents, key, text)
+    tokens = dealt.select("doc", F.posexplode_outer(_tokens(F.col("_markup"))).alias("pos", "piece"))
+    tokens = tokens.select("doc", "pos", "piece", _start(F.col("piece")).alias("token"))
     tokens = tokens.select("*", F.substr("piece", F.length("token") + 1).alias("rest"))
     token, rest = F.col("token"), F.col("rest")
     leaf = rest.contains("</") & token.startswith("<")
@@ -116,127 +150,254 @@ def tree_tokens(documents: DataFrame, key: str, text: str = "value") -> DataFram
         "pos",
         kind.alias("kind"),
         F.when(token == "", F.col("piece")).otherwise(token).alias("token"),
-        F.regexp_extract("token", r"^</?([^\s/>]+)", 1).alias("tag"),
+        _tag(F.col("token")).alias("tag"),
         F.when(leaf, F.substring_index(rest, "</", 1)).when(kind == OPEN, rest).alias("inner"),
-        F.when(leaf, F.substr(F.substring_index(rest, "</", -1), F.locate(">", F.substring_index(rest, "</", -1)) + 1))
-        .when(kind != OPEN, rest)
-        .alias("behind"),
+        F.when(leaf, _behind_leaf(rest)).when(kind != OPEN, rest).alias("behind"),
     )
     step = F.when(F.col("kind") == OPEN, 1).when(F.col("kind") == CLOSE, -1).otherwise(0)
-    return tagged.withColumn("running", F.sum(step).over(_so_far()).cast("int"))
+    so_far = W.partitionBy("doc").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return tagged.withColumn("running", F.sum(step).over(so_far).cast("int"))
 
 
-def _so_far():
-    return W.partitionBy("doc").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
+def _let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)``, with ``value`` evaluated once and, unlike by an array's transform, not copied."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda known, _: known, of)
 
 
-def _whole():
-    return W.partitionBy("doc").orderBy("pos").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+def _interleaved(copies: Column) -> Column:
+    """Markup of documents with the same key: their first tokens, their second ones and so on. A document
+    without tokens leaves none, as it is faulty."""
 
+    def at(tokens: Column) -> Column:
+        places = F.sequence(F.lit(0), F.array_max(F.transform(tokens, F.size)) - 1)
+        return F.flatten(F.transform(places, lambda i: F.filter(F.transform(tokens, lambda t: F.get(t, i)), F.isnotnull)))
 
-def _with_level(tokens: DataFrame) -> DataFrame:
-    """Add ``level``, the depth of a tag's element or of a text's parent, and what starts there."""
-    inside = F.when(F.col("kind").isin(SINGLE, CLOSE), F.col("running") + 1).otherwise(F.col("running"))
-    return tokens.withColumn("level", inside).withColumn("starts", F.col("kind").isin(OPEN, SINGLE))
+    def joined(tokens: Column) -> Column:
+        return F.when(F.exists(tokens, lambda t: F.size(t) == 0), F.lit("")).otherwise(F.array_join(at(tokens), ""))
 
+    return _let(F.transform(copies, _tokens), joined)
 
-def _faults(depth: int) -> Column:
-    """True at a token that no well-formed document has."""
-    owner = F.coalesce(*[F.when(F.col("level") == k, F.col(f"_at{k}")["tag"]) for k in range(1, depth + 1)], F.lit(""))
-    wrong_end = (F.col("kind") == CLOSE) & (owner != F.col("tag"))
-    last = F.col("_last") & ((F.col("running") != 0) | (F.col("_n1") != 1))
-    return wrong_end | F.col("_stray") | last | (F.col("running") < 0)
 
-
-def _walked(tokens: DataFrame) -> tuple[DataFrame, int]:
-    """Tokens with their ancestors ``_at<k>``, elements so far at odd depths ``_n<k>``, properties so
-    far at even ones ``_p<k>``, and ``_fault``."""
-    depth = max(_with_level(tokens.select("kind", "running")).agg(F.max("level")).first()[0] or 1, 1)
-    start = lambda k: F.col("starts") & (F.col("level") == k)
-    is_text = F.col("kind") == TEXT
-    outside = F.when(F.col("running") == 0, F.regexp_replace(F.when(is_text, F.col("token")).otherwise(F.col("behind")), r"[\s\x{FEFF}]+", ""))
-    stray = F.col("token").isNull() | (is_text & F.col("token").startswith("<")) | (F.coalesce(F.trim(outside), F.lit("")) != "")
-    found = lambda name: F.when(F.col("starts"), _quoted(F.col("token"), name)).alias(f"_{name}")
-    placed = _with_level(tokens).select("*", found("name"), found("section"), stray.alias("_stray"))
-    is_reference = F.col("starts") & (F.col("tag") == REFERENCE) & (F.col("level") % 2 == 1)
-    placed = placed.select(
-        "doc", "pos", "kind", "tag", "running", "level", "starts", "_stray",
-        _unquoted(F.col("_name")).alias("_name"),
-        _unquoted(F.col("_section")).alias("_section"),
-        F.when(is_reference, F.col("token")).alias("_reference"),
-        F.when(F.col("inner") != "", _decoded(F.col("inner"))).alias("_text"),
-    )
-    # Starts so far at odd depths, and at even ones the properties: elements that are no group.
-    placed = placed.select(
-        "*",
-        F.lead("pos").over(W.partitionBy("doc").orderBy("pos")).isNull().alias("_last"),
-        *[F.count_if(start(k)).over(_so_far()).alias(f"_n{k}") for k in range(1, depth + 2, 2)],
-        *[F.count_if(start(k) & (F.col("tag") != GROUP)).over(_so_far()).alias(f"_p{k}") for k in range(2, depth + 2, 2)],
+def _whole_documents(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc, markup): one row for each key."""
+    # Ordered by their key, so documents are sorted once.
+    of_key = W.partitionBy("doc").orderBy("doc").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    dealt = _dealt(documents, key, text).select(
+        "doc",
+        F.collect_list(F.coalesce("_markup", F.lit(""))).over(of_key).alias("_copies"),
+        F.row_number().over(W.partitionBy("doc").orderBy("doc")).alias("_nth"),
     )
+    markup = F.when(F.size("_copies") > 1, _interleaved(F.col("_copies"))).otherwise(F.get("_copies", F.lit(0)))
+    return dealt.filter("_nth = 1").select("doc", markup.alias("markup"))
+
+
+def _behind(token: Column) -> Column:
+    """Text behind the end of a token."""
+    rest = F.substr(token, F.length(_start(token)) + 1)
+    return F.when(rest.contains("</"), _behind_leaf(rest)).otherwise(rest)
+
+
+def _run(piece: Column, of: Callable[[Column], Column]) -> Column:
+    """``of`` a run of tokens as (kind, tag, start, first, tokens, properties): ``first`` is the token that opens an element,
+    ``start`` its tag and ``tag`` its name; ``tokens`` are the others, ``properties`` those of them that are no group."""
+    no_group = lambda t: ~(t.startswith(f"<{GROUP}") & (_tag(t) == GROUP))
+
+    def cut(plain: Column) -> Column:
+        return _let(F.regexp_extract_all(plain, F.lit(TOKEN), F.lit(0)), lambda tokens: begun(plain, tokens, F.get(tokens, F.lit(0))))
+
+    def begun(plain: Column, tokens: Column, first: Column) -> Column:
+        return _let(_start(F.coalesce(first, F.lit(""))), lambda start: told(plain, tokens, first, start))
+
+    def told(plain: Column, tokens: Column, first: Column, start: Column) -> Column:
+        is_leaf = start.endswith("/>") | F.substr(first, F.length(start) + 1).contains("</")
+        kind = F.when(start == "", TEXT).when(start.startswith("</"), CLOSE).when(is_leaf, SINGLE).otherwise(OPEN)
+        return _let(kind, lambda k: parted(plain, tokens, first, start, k))
+
+    def parted(plain: Column, tokens: Column, first: Column, start: Column, kind: Column) -> Column:
+        has_groups = F.substr(plain, F.lit(2)).contains(f"<{GROUP}") | ((kind == SINGLE) & plain.startswith(f"<{GROUP}"))
+
+        def filled(others: Column) -> Column:
+            properties = F.when(has_groups, F.filter(others, no_group)).otherwise(others)
+            fields = {"kind": kind, "tag": F.when(kind == OPEN, _tag(start)), "start": start, "first": first}
+            parts = fields | {"tokens": others, "properties": properties}
+            return _let(F.struct(*[c.alias(name) for name, c in parts.items()]), of)
+
+        return _let(F.when(kind == OPEN, F.slice(tokens, 2, F.size(tokens))).otherwise(tokens), filled)
+
+    has_aside = piece.contains("<!") | piece.contains("<?")
+    return _let(F.when(has_aside, _plain_markup(piece)).otherwise(piece), cut)
+
+
+# An open element. Children of a group (and the root) are entities, those of an entity its properties and
+# groups. ``path`` is that of an entity; of a group, what comes before the names of its entities.
+FRAME = (
+    "tag STRING, is_group BOOLEAN, given BOOLEAN, model STRING, path STRING, parent_path STRING, section STRING, name STRING,"
+    "place INT, children INT, properties INT"
+)
+# Elements without child elements that give rows: entities of a group from ``place`` on, or properties of
+# an entity from ``number`` on; without tokens, the entity itself as it has no property.
+ENTRY = (
+    "model STRING, path STRING, parent_path STRING, section STRING, name STRING, place INT, number INT,"
+    "are_entities BOOLEAN, tokens ARRAY<STRING>"
+)
+FRAMES, ENTRIES = f"ARRAY<STRUCT<{FRAME}>>", f"ARRAY<STRUCT<{ENTRY}>>"
+
+
+def _struct(ddl: str, values: dict[str, Column]) -> Column:
+    return F.struct(*[values[name].alias(name) for name in (field.split()[0] for field in ddl.split(","))])
+
+
+def _frame(of: Column, **changed: Column) -> Column:
+    return _struct(FRAME, {field.split()[0]: of[field.split()[0]] for field in FRAME.split(",")} | changed)
+
 
-    def ancestor(k: int) -> Column:
-        # What an element knows when it starts; counts say how many children came before its own.
-        if k % 2:
-            place, children = (F.col(f"_n{k}") - 1).alias("place"), F.col(f"_p{k + 1}").alias("properties")
-            at = F.struct("pos", "tag", F.col("_name").alias("given_name"), place, children)
-        else:
-            at = F.struct("pos", "tag", F.col("_section").alias("section"), F.col(f"_n{k + 1}").alias("children"))
-        return F.last(F.when(start(k), at), ignorenulls=True).over(_so_far()).alias(f"_at{k}")
-
-    walked = placed.select("*", *[ancestor(k) for k in range(1, depth + 1)])
-    return walked.withColumn("_fault", _faults(depth)), depth
-
-
-def _by_depth(depth: int, of: Callable[[int], Column]) -> Column:
-    """``of(k)`` of the odd depth ``_owner``, at which the entity of a token stands."""
-    return F.coalesce(*[F.when(F.col("_owner") == k, of(k)) for k in range(1, depth + 1, 2)])
-
-
-def _entity_rows(walked: DataFrame, depth: int) -> DataFrame:
-    """Tokens that give rows, with the entity's columns: its properties, a reference where it starts,
-    any other entity without a property where it ends. Tokens with a fault stay, too."""
-    at = lambda k: F.col(f"_at{k}")
-    name = lambda k: F.coalesce(at(k)["given_name"], F.lit(""))
-    section = lambda k: F.coalesce(at(k)["section"], F.lit(""))
-
-    def path(upto: int) -> Column:
-        steps = [F.concat(section(k - 1), F.lit(":"), name(k)) for k in range(3, upto + 1, 2)]
-        return F.concat_ws("/", name(1), *steps)
-
-    def is_entity(level: int) -> Column:
-        return reduce(lambda a, k: a & (at(k)["tag"] == GROUP), range(2, level, 2), F.lit(True))
-
-    missing = F.lit(None).cast("string")
-    odd = F.col("level") % 2 == 1
-    owned = walked.withColumn("_owner", F.when(odd, F.col("level")).otherwise(F.col("level") - 1))
-    owned = owned.select(
-        "*",
-        (_by_depth(depth, lambda k: at(k)["tag"]) == REFERENCE).alias("_of_reference"),
-        _by_depth(depth, lambda k: F.col(f"_p{k + 1}") - at(k)["properties"]).alias("_properties"),
-        _by_depth(depth, is_entity).alias("_is_entity"),
+def _state(frames: Column, entries: Column, fault: Column) -> Column:
+    return F.struct(frames.alias("frames"), entries.alias("entries"), F.coalesce(fault, F.lit(True)).alias("fault"))
+
+
+def _last(values: Column) -> Column:
+    return F.get(values, F.size(values) - 1)
+
+
+def _entry(of: Column, tokens: Column) -> Column:
+    """Elements below the open element ``of``, which has counted none of them yet."""
+    place = F.when(of["is_group"], of["children"]).otherwise(of["place"])
+    same = {name: of[name] for name in ["model", "path", "parent_path", "section", "name"]}
+    values = {"place": place, "number": of["properties"]}
+    return _struct(ENTRY, same | values | {"are_entities": of["is_group"], "tokens": tokens})
+
+
+def _with_entry(state: Column, condition: Column, entry: Column) -> Column:
+    return F.when(condition, F.array_append(state["entries"], entry)).otherwise(state["entries"])
+
+
+def _inside(state: Column, text: Column) -> Column:
+    """True where no text but blanks stands outside of the root."""
+    blank = F.trim(F.regexp_replace(text, BLANKS, "")) == ""
+    return F.when(F.size(state["frames"]) == 1, blank).otherwise(F.lit(True))
+
+
+def _opened(of: Column, run: Column) -> Column:
+    """The element that a run opens below the open element ``of``."""
+    none = {"children": F.lit(0), "properties": F.lit(0)}
+
+    def entity(name: Column) -> Column:
+        path = F.concat(of["path"], F.coalesce(name, F.lit("")))
+        model = F.when(of["parent_path"].isNull(), name).otherwise(of["model"])
+        own = {"is_group": F.lit(False), "model": model, "path": path, "name": name, "place": of["children"]}
+        return _frame(of, tag=run["tag"], **own, **none)
+
+    def group(section: Column) -> Column:
+        path = F.concat(of["path"], F.lit("/"), section, F.lit(":"))
+        given = of["given"] & (run["tag"] == GROUP)
+        above = {"path": path, "parent_path": of["path"], "section": section, "name": F.lit(None).cast("string")}
+        return _frame(of, tag=run["tag"], is_group=F.lit(True), given=given, place=F.lit(0), **above, **none)
+
+    value = lambda name: _let(_let(_quoted(run["start"], name), _within), _decoded)
+    as_group = _let(F.coalesce(value("section"), F.lit("")), group)
+    return F.when(of["is_group"], _let(value("name"), entity)).otherwise(as_group)
+
+
+def _with_leaves(state: Column, below: Column, of: Column, run: Column) -> Column:
+    """The state with the leaves of a run below its innermost open element ``of``; ``below`` are the others."""
+    tokens = F.when(of["is_group"], run["tokens"]).otherwise(run["properties"])
+    gives = of["given"] & (of["is_group"] | (of["tag"] != REFERENCE)) & (F.size(tokens) > 0)
+    counted = _frame(
+        of, children=of["children"] + F.size(run["tokens"]), properties=of["properties"] + F.size(run["properties"])
     )
-    is_property = ~odd & F.col("starts") & (F.col("tag") != GROUP) & ~F.col("_of_reference")
-    ends = odd & F.col("kind").isin(CLOSE, SINGLE) & (F.col("_properties") == 0) & ~F.col("_of_reference")
-    given = F.col("_is_entity") & (is_property | (odd & F.col("starts") & F.col("_of_reference")) | ends)
-    owned = owned.withColumn("_given", F.coalesce(given, F.lit(False))).filter(F.col("_given") | F.col("_fault"))
-    return owned.select(
-        "doc",
-        "pos",
-        "_fault",
-        "_given",
-        "_reference",
-        at(1)["given_name"].alias("model"),
-        _by_depth(depth, path).alias("path"),
-        _by_depth(depth, lambda k: path(k - 2) if k > 1 else missing).alias("parent_path"),
-        _by_depth(depth, lambda k: section(k - 1) if k > 1 else missing).alias("section"),
-        _by_depth(depth, lambda k: at(k)["given_name"]).alias("name"),
-        _by_depth(depth, lambda k: at(k)["place"] - at(k - 1)["children"] if k > 1 else F.lit(0)).cast("int").alias("entity_pos"),
-        F.when(is_property, F.col("_properties") - 1).cast("int").alias("_prop_pos"),
-        F.when(is_property, F.col("tag")).alias("_prop"),
-        F.when(is_property, F.col("_text")).alias("_value"),
+    return _state(F.array_append(below, counted), _with_entry(state, gives, _entry(of, tokens)), F.lit(False))
+
+
+def _after_open(state: Column, run: Column) -> Column:
+    def below(of: Column) -> Column:
+        is_property = run["tag"] != GROUP
+        gives = F.when(of["is_group"], run["tag"] == REFERENCE).otherwise(is_property & (of["tag"] != REFERENCE))
+        counted = _frame(of, children=of["children"] + 1, properties=of["properties"] + is_property.cast("int"))
+        entries = _with_entry(state, of["given"] & gives, _entry(of, F.array(run["first"])))
+        frames = F.array_append(F.slice(state["frames"], 1, F.size(state["frames"]) - 1), counted)
+        after = _state(frames, entries, F.lit(False))
+        return _let(after, lambda s: _let(_opened(of, run), lambda element: _with_leaves(s, s["frames"], element, run)))
+
+    return _let(_last(state["frames"]), below)
+
+
+def _after_leaves(state: Column, run: Column) -> Column:
+    below = F.slice(state["frames"], 1, F.size(state["frames"]) - 1)
+    after = _let(_last(state["frames"]), lambda of: _with_leaves(state, below, of, run))
+    return F.when(_inside(state, _behind(_last(run["tokens"]))), after).otherwise(_faulty(state))
+
+
+def _after_close(state: Column, run: Column) -> Column:
+    left = F.size(state["frames"]) - F.size(run["tokens"])
+
+    def ended(closed: Column) -> Column:
+        same = F.transform(closed, lambda f: f["tag"]) == F.reverse(F.transform(run["tokens"], _tag))
+        is_empty = lambda f: ~f["is_group"] & f["given"] & (f["properties"] == 0) & (f["tag"] != REFERENCE)
+        as_entries = F.transform(F.filter(closed, is_empty), lambda f: _entry(f, F.lit(None).cast("array<string>")))
+        entries = F.when(F.exists(closed, is_empty), F.concat(state["entries"], as_entries)).otherwise(state["entries"])
+        after = _state(F.slice(state["frames"], 1, left), entries, ~same)
+        return _let(after, lambda s: F.when(_inside(s, _behind(_last(run["tokens"]))), s).otherwise(_faulty(s)))
+
+    known = _let(F.slice(state["frames"], left + 1, F.size(run["tokens"])), ended)
+    return F.when(left < 1, _faulty(state)).otherwise(known)
+
+
+def _faulty(state: Column) -> Column:
+    return _state(state["frames"], state["entries"], F.lit(True))
+
+
+def _after(state: Column, piece: Column) -> Column:
+    """The state after a run of tokens."""
+    return F.when(state["fault"], state).otherwise(_run(piece, lambda run: _after_run(state, run)))
+
+
+def _after_run(state: Column, run: Column) -> Column:
+    text = F.coalesce(run["first"], F.lit(""))
+    is_text = ~text.startswith("<") & _inside(state, text)
+    return (
+        F.when(run["kind"] == OPEN, _after_open(state, run))
+        .when(run["kind"] == CLOSE, _after_close(state, run))
+        .when(run["kind"] == SINGLE, _after_leaves(state, run))
+        .when((run["kind"] == TEXT) & is_text, state)
+        .otherwise(_faulty(state))
     )
 
 
+def _walked(markup: Column, result: Callable[[Column, Column], Column]) -> Column:
+    """``result`` of the entries of a document and of its fault."""
+    none, nothing = F.lit(None).cast("string"), F.lit(0)
+    document = {"tag": F.lit(""), "is_group": F.lit(True), "given": F.lit(True), "path": F.lit("")}
+    unknown = dict.fromkeys(["model", "parent_path", "section", "name"], none)
+    root = _struct(FRAME, document | unknown | dict.fromkeys(["place", "children", "properties"], nothing))
+    state_type = f"STRUCT<frames: {FRAMES}, entries: {ENTRIES}, fault: BOOLEAN>"
+
+    def folded(state: Column, pieces: Column, blocks: Sequence[int]) -> Column:
+        begin = _state(state["frames"], F.array().cast(ENTRIES), state["fault"]).cast(state_type)
+        if not blocks:
+            return F.aggregate(pieces, begin, _after)
+        numbers = F.sequence(F.lit(0), F.floor(F.size(pieces) / blocks[0]).cast("int"))
+
+        def block(state: Column, number: Column) -> Column:
+            found = folded(state, F.slice(pieces, number * blocks[0] + 1, F.lit(blocks[0])), blocks[1:])
+            return _let(found, lambda s: _state(s["frames"], F.concat(state["entries"], s["entries"]), s["fault"]))
+
+        return F.aggregate(numbers, begin, block)
+
+    def whole(state: Column) -> Column:
+        unfinished = (F.size(state["frames"]) != 1) | (F.get(state["frames"], F.lit(0))["children"] != 1)
+        return result(state["entries"], state["fault"] | unfinished)
+
+    begin = _state(F.array(root), F.array().cast(ENTRIES), F.lit(False))
+    pieces = F.regexp_extract_all(markup, F.lit(RUN), F.lit(0))
+    return _let(pieces, lambda found: _let(begin, lambda state: _let(folded(state, found, BLOCKS), whole)))
+
+
+def _attributes(start: Column) -> Column:
+    """All attributes but the name, as they stand in the start tag of a reference."""
+    found = F.regexp_extract_all(F.substr(start, F.lit(len(REFERENCE) + 2)), F.lit(ATTRIBUTE), F.lit(0))
+    return F.filter(found, lambda a: ~(a.startswith("name") & a.rlike(r"^name\s*=")))
+
+
 def tree_rows(documents: DataFrame, key: str, text: str = "value") -> DataFrame:
     """Entity-tree documents as property rows of any depth, with ``doc``, the document's key.
 
@@ -244,25 +405,52 @@ def tree_rows(documents: DataFrame, key: str, text: str = "value") -> DataFrame:
     ``key`` must tell documents apart. A document that is not well-formed gives no rows, see
     :func:`faulty_trees`; an entity without a name has an empty one in its path.
     """
-    rows = _entity_rows(*_walked(tree_tokens(documents, key, text)))
-    # Of a document with a fault, no token gives rows; tokens that have neither are let go first.
-    rows = rows.withColumn("faulty", F.max("_fault").over(_whole())).filter(~F.col("faulty") & F.col("_given"))
-    listed = F.when(F.col("_reference").isNotNull(), _attributes(F.col("_reference")))
-    flat = rows.select("doc", *MODEL_COLUMNS[:6], "_prop_pos", "_prop", "_value", F.inline_outer(listed))
-    value = F.when(F.col("_prop_pos").isNotNull(), F.col("_value")).otherwise(F.col("value"))
-    return flat.select(
+    found = _walked(F.col("markup"), lambda entries, fault: F.when(~fault, entries))
+    entries = _whole_documents(documents, key, text).select("doc", F.inline(found))
+    is_entity = F.col("are_entities")
+    given = [c for c in entries.columns if c != "tokens"]
+    elements = entries.select(*given, F.posexplode_outer("tokens").alias("_at", "_token"))
+    # One step at a time: what is read more than once is a column.
+    started = elements.withColumn("_start", _start(F.col("_token")))
+    # Text of a property stands up to its end or its first child element.
+    inner = F.when(~F.col("_start").endswith("/>"), F.substring_index(F.substr("_token", F.length("_start") + 1), "<", 1))
+    read = started.withColumns({
+        "_quoted": F.when(is_entity, _quoted(F.col("_start"), "name")),
+        "_tag": F.when(~is_entity, _tag(F.col("_start"))),
+        "_inner": F.when(~is_entity, inner),
+        "_is_reference": is_entity & F.col("_start").startswith(f"<{REFERENCE}") & (_tag(F.col("_start")) == REFERENCE),
+    }).withColumn("_within", _within(F.col("_quoted"))).withColumn("_name", _decoded(F.col("_within")))
+    at_root = is_entity & F.col("parent_path").isNull()
+    named = read.select(
         "doc",
-        *MODEL_COLUMNS[:6],
-        F.coalesce("_prop_pos", "prop_pos", F.lit(0)).alias("prop_pos"),
-        F.coalesce("_prop", "prop").alias("prop"),
-        F.when(F.coalesce("_prop", "prop").isNotNull(), unescape_xml(value)).alias("value"),
+        F.when(at_root, F.col("_name")).otherwise(F.col("model")).alias("model"),
+        F.when(is_entity, F.concat("path", F.coalesce("_name", F.lit("")))).otherwise(F.col("path")).alias("path"),
+        "parent_path",
+        "section",
+        F.when(is_entity, F.col("_name")).otherwise(F.col("name")).alias("name"),
+        F.when(is_entity, F.col("place") + F.col("_at")).otherwise(F.col("place")).alias("entity_pos"),
+        F.when(~is_entity, F.col("number") + F.col("_at")).alias("_number"),
+        "_tag",
+        "_inner",
+        F.posexplode_outer(F.when(F.col("_is_reference"), _attributes(F.col("_start")))).alias("_nth", "_attribute"),
+    )
+    blanks = F.lit(" \t\n\x0b\f\r")
+    listed = named.select(
+        *[c for c in named.columns if c not in ("_number", "_nth", "_tag", "_attribute")],
+        F.coalesce("_number", "_nth", F.lit(0)).alias("prop_pos"),
+        F.coalesce("_tag", F.rtrim(F.substring_index("_attribute", "=", 1), blanks)).alias("prop"),
+        F.ltrim(F.substr("_attribute", F.locate("=", F.col("_attribute")) + 1), blanks).alias("_quoted"),
     )
+    texts = listed.withColumn("_text", F.coalesce("_inner", _within(F.col("_quoted"))))
+    values = texts.withColumn("_value", F.coalesce(_decoded(F.col("_text")), F.lit("")))
+    value = F.when(F.col("_value").contains("&"), unescape_xml("_value")).otherwise(F.col("_value"))
+    return values.select("doc", *MODEL_COLUMNS[:6], "prop_pos", "prop", F.when(F.col("prop").isNotNull(), value).alias("value"))
 
 
 def faulty_trees(documents: DataFrame, key: str, text: str = "value") -> DataFrame:
     """``doc`` of documents that are not well-formed, empty and NULL ones too."""
-    walked, _ = _walked(tree_tokens(documents, key, text))
-    return walked.filter("_fault").select("doc").distinct()
+    fault = _walked(F.col("markup"), lambda _, fault: fault)
+    return _whole_documents(documents, key, text).select("doc", fault.alias("_fault")).filter("_fault").select("doc")
 
 
 def scan_tree_rows(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

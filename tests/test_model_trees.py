@@ -69,3 +69,43 @@ def test_one_token_for_a_leaf_and_markup_dealt_by_documents(spark):
 def test_close_tags_that_only_begin_like_the_start(spark):
     bad = spark.createDataFrame([(1, "<ab>x</a>"), (2, "<a>x</ab>"), (3, "<a/>x"), (4, "x<a/>"), (5, "<a>1</a>x")], "id INT, value STRING")
     assert sorted(r.doc for r in model_trees.faulty_trees(bad, "id").collect()) == [1, 2, 3, 4, 5]
+
+
+def test_depth_is_not_looked_up_beforehand(spark, documents):
+    spark.sparkContext.setJobGroup("plan of trees", "no job before the result is read")
+    try:
+        found = model_trees.tree_rows(documents, "id")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan of trees")
+        assert found.count() > 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_long_and_deep_documents(spark):
+    order = '<EntityDef name="o%d"><S>a &lt; b</S><!-- x --><Components section="L"><EntityRef name="r" a="%d"/></Components></EntityDef>'
+    long = '<EntityDef name="m"><Components section="O">' + "".join(order % (i, i) for i in range(700)) + "</Components><Z/></EntityDef>"
+    deep = "".join(f'<EntityDef name="n{i}"><P>{i}</P><Components section="s{i}">' for i in range(40)) + "</Components></EntityDef>" * 40
+    odd = [
+        '<EntityRef name="x" a="1"><Components section="S"><EntityDef name="y"/></Components></EntityRef>',
+        '<EntityDef><Components><EntityDef name="u"><Q a="&gt;">1<R/>2</Q></EntityDef><EntityRef b = "1"\n c=\'&amp;lt;\'/></Components></EntityDef>',
+        '<EntityDef name="z"><Components section="S"/><P><![CDATA[</P>]]>x<?i > ?></P><Components section="T"><Other/></Components></EntityDef>',
+    ]
+    documents = spark.createDataFrame(list(enumerate([long, deep])), "id INT, value STRING")
+    assert rows(model_trees.tree_rows(documents, "id").drop("doc")) == rows(node_models.model_rows(documents))
+    # Paths of entities and sections without a name hold an empty one here.
+    documents = spark.createDataFrame(list(enumerate(odd)), "id INT, value STRING")
+    without = ["path", "parent_path", "section"]
+    found, walked = model_trees.tree_rows(documents, "id").drop("doc"), node_models.model_rows(documents)
+    assert rows(found.drop(*without)) == rows(walked.drop(*without))
+    paths = {r.path for r in found.collect()}
+    assert paths == {"x", "x/S:y", "", "/:u", "/:", "z", "z/T:"}
+
+
+def test_documents_with_one_key_are_read_token_by_token(spark):
+    twice = [(1, '<a name="x"><P>1</P></a>')] * 2 + [(None, '<a name="y"><P>2</P></a>'), (2, "<a/>"), (2, None)]
+    found = model_trees.tree_rows(spark.createDataFrame(twice, "id INT, value STRING"), "id")
+    assert rows(found) == rows(
+        spark.createDataFrame(
+            [(1, "x", "x", None, None, "x", 0, 0, "a", ""), (None, "y", "y", None, None, "y", 0, 0, "P", "2")], found.schema
+        )
+    )
